@@ -1,0 +1,21 @@
+"""Join helpers with an explicit, checked broadcast decision."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension sides above this many rows are joined with a shuffle instead.
+DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast only after proving the side has at most ``max_rows``.
+
+    The check is ``limit(max_rows + 1).count()``: it stops reading as soon as
+    the bound is exceeded, so it stays cheap even when the side is huge.  Above
+    the bound the frame is returned unhinted and the planner (with AQE's
+    runtime statistics) picks a shuffle join.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -1,0 +1,31 @@
+"""End-to-end chains: raw candles -> staging -> fact -> sector metrics."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from marketlake.operators import marts, metrics, staging
+
+
+@dataclass
+class Star:
+    """The star schema built from one set of raw inputs."""
+
+    stg_candles: DataFrame
+    dim_companies: DataFrame
+    fct_daily_prices: DataFrame
+
+
+def build_price_star(raw_candles: DataFrame, seed: DataFrame, raw_profiles: DataFrame,
+                     candle_tiebreak=("event_id",)) -> Star:
+    stg = staging.stg_candles(raw_candles, tiebreak=[c for c in candle_tiebreak if c in raw_candles.columns])
+    profiles = staging.stg_company_profiles(raw_profiles, seed)
+    companies = marts.dim_companies(seed, profiles)
+    fact = marts.fct_daily_prices(stg, companies)
+    return Star(stg, companies, fact)
+
+
+def sector_performance(star: Star) -> DataFrame:
+    return metrics.sector_performance(star.fct_daily_prices)
