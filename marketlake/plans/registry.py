@@ -28,22 +28,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def finish(df: DataFrame) -> DataFrame:
-    """Round doubles to 9 places and fold -0.0 (comparison hygiene only)."""
+def finish(df: DataFrame, exact=()) -> DataFrame:
+    """Round doubles to 9 places and fold -0.0 (comparison hygiene only);
+    columns in ``exact`` were already rounded to significant digits."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DoubleType):
+        if isinstance(f.dataType, T.DoubleType) and f.name not in exact:
             c = (F.round(c, 9) + F.lit(0.0)).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
 
-def register(key: str, sql: str | None):
+def sig10(c):
+    """Round to 10 significant digits (compounded returns can reach 1e6+,
+    where a fixed number of decimals no longer hides summation order)."""
+    inv = F.pow(F.lit(10.0), F.lit(9) - F.floor(F.log10(F.abs(c))))
+    return F.when(c == 0, F.lit(0.0)).otherwise(F.round(c * inv) / inv)
+
+
+def sig10_sql(c: str) -> str:
+    inv = f"pow(10.0, 9 - floor(log10(abs({c}))))"
+    return f"(case when {c} = 0 then 0.0 else round({c} * {inv}) / {inv} end)"
+
+
+def register(key: str, sql: str | None, exact=()):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_conf(spark)
-            return finish(fn(spark, sf_dir))
+            return finish(fn(spark, sf_dir), exact)
         run.__name__ = key
         run.__doc__ = fn.__doc__
         QUERIES[key] = run
@@ -170,3 +183,329 @@ def q_sector_performance(spark, sf_dir):
 def q_sector_volatility(spark, sf_dir):
     """A-3 annualised sector return and volatility over 12 months."""
     return metrics.sector_volatility(star(spark, sf_dir).fct_daily_prices, AS_OF)
+
+
+# --- more staging ---------------------------------------------------------------
+@register("normalize_symbol", O.build("select event_id, upper(trim(symbol)) as symbol_norm from fx_candles"))
+def q_normalize_symbol(spark, sf_dir):
+    """T-1 upper(trim(symbol)), Unicode-aware."""
+    from marketlake.functions import normalize_symbol
+    return fx.fx_candles(spark, sf_dir).select("event_id", normalize_symbol("symbol").alias("symbol_norm"))
+
+
+@register("canonical_share_class", O.build(
+    "select event_id, case when upper(trim(symbol))='BRK-B' then 'BRK.B' else upper(trim(symbol)) end "
+    "as symbol_canonical from fx_financials"))
+def q_canonical_share_class(spark, sf_dir):
+    """T-2 dashed share class -> dotted seed spelling."""
+    from marketlake.functions import canonical_share_class
+    return fx.fx_financials(spark, sf_dir).select("event_id", canonical_share_class("symbol").alias("symbol_canonical"))
+
+
+@register("dedup_latest", O.build(
+    "select event_id, symbol_norm, trading_date, close, volume, _loaded_at from ("
+    "select event_id, upper(trim(symbol)) as symbol_norm, trading_date, close, volume, _loaded_at, "
+    "row_number() over (partition by upper(trim(symbol)), trading_date order by _loaded_at desc nulls last, "
+    "event_id desc nulls last) as rn from fx_candles) t where rn = 1", round_cols=("close", "volume")))
+def q_dedup_latest(spark, sf_dir):
+    """T-3 newest row per key (map-side partial max)."""
+    from marketlake.functions import normalize_symbol
+    from marketlake.operators.dedup import dedup_latest
+    c = fx.fx_candles(spark, sf_dir).select(
+        "event_id", normalize_symbol("symbol").alias("symbol_norm"), "trading_date", "close", "volume", "_loaded_at")
+    return dedup_latest(c, ["symbol_norm", "trading_date"], ["_loaded_at", "event_id"])
+
+
+@register("json_field_coalesce", O.build(
+    'select event_id, cast(coalesce("52_week_high", week_52_high) as double) as week_52_high, '
+    'cast(coalesce("52_week_low", week_52_low) as double) as week_52_low from fx_financials',
+    round_cols=("week_52_high", "week_52_low")))
+def q_json_field_coalesce(spark, sf_dir):
+    """T-5 first non-NULL of the legacy and current 52-week columns."""
+    f = fx.fx_financials(spark, sf_dir)
+    return f.select("event_id", staging.week52_coalesce(f, staging.WEEK52_HIGH_NAMES).alias("week_52_high"),
+                    staging.week52_coalesce(f, staging.WEEK52_LOW_NAMES).alias("week_52_low"))
+
+
+FIN_DOUBLES = ("pe_ratio", "pb_ratio", "eps_ttm", "dividend_yield", "beta", "week_52_high", "week_52_low",
+               "market_cap")
+
+
+def stg_fin(spark, sf_dir):
+    return staging.stg_company_financials(fx.fx_financials(spark, sf_dir), tiebreak=["event_id"])
+
+
+def stg_news(spark, sf_dir):
+    return staging.stg_company_news(fx.fx_news(spark, sf_dir), tiebreak=["event_id"])
+
+
+def stg_profiles(spark, sf_dir):
+    return staging.stg_company_profiles(fx.fx_profiles(spark, sf_dir), fx.fx_sector_map(spark, sf_dir))
+
+
+@register("stg_company_financials", O.build("select * from stg_company_financials", round_cols=FIN_DOUBLES))
+def q_stg_company_financials(spark, sf_dir):
+    """T-6 staged financials."""
+    return stg_fin(spark, sf_dir)
+
+
+@register("stg_company_news", O.build("select * from stg_company_news"))
+def q_stg_company_news(spark, sf_dir):
+    """T-7 staged news."""
+    return stg_news(spark, sf_dir)
+
+
+@register("sector_alias_map", O.build("select * from sector_map_aliases"))
+def q_sector_alias_map(spark, sf_dir):
+    """T-8 seed symbols under dotted and dashed spellings."""
+    return staging.sector_alias_map(fx.fx_sector_map(spark, sf_dir))
+
+
+@register("classify_sector", O.build(
+    f"select symbol, industry, {O.CLASSIFY('industry')} as sector_rule from fx_profiles"))
+def q_classify_sector(spark, sf_dir):
+    """T-9 ordered first-match industry classifier."""
+    from marketlake.functions import classify_sector
+    return fx.fx_profiles(spark, sf_dir).select("symbol", "industry", classify_sector("industry").alias("sector_rule"))
+
+
+@register("stg_company_profiles", O.build("select * from stg_company_profiles", round_cols=("market_cap",)))
+def q_stg_company_profiles(spark, sf_dir):
+    """T-10 staged profiles with sector."""
+    return stg_profiles(spark, sf_dir)
+
+
+# --- more marts ---------------------------------------------------------------------
+def _dates(spark, sf_dir):
+    return stg(spark, sf_dir), stg_fin(spark, sf_dir), stg_news(spark, sf_dir)
+
+
+@register("date_union", O.build("select * from all_dates"))
+def q_date_union(spark, sf_dir):
+    """M-2 union of all staged date keys."""
+    return marts.date_union(*_dates(spark, sf_dir))
+
+
+@register("date_bounds", O.build("select * from date_bounds", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
+def q_date_bounds(spark, sf_dir):
+    """M-3 min/max date with defaults."""
+    return marts.date_bounds(marts.date_union(*_dates(spark, sf_dir)), AS_OF)
+
+
+@register("date_spine", O.build("select * from date_spine", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
+def q_date_spine(spark, sf_dir):
+    """M-4 one row per calendar day."""
+    return marts.date_spine(marts.date_bounds(marts.date_union(*_dates(spark, sf_dir)), AS_OF))
+
+
+@register("trading_days", O.build("select * from trading_days"))
+def q_trading_days(spark, sf_dir):
+    """M-5 distinct candle dates."""
+    return marts.trading_days(stg(spark, sf_dir))
+
+
+@register("dim_dates", O.build("select * from dim_dates", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
+def q_dim_dates(spark, sf_dir):
+    """M-6 date dimension."""
+    return marts.dim_dates(*_dates(spark, sf_dir), AS_OF)
+
+
+@register("fct_company_financials", O.build("select * from fct_company_financials", round_cols=FIN_DOUBLES))
+def q_fct_company_financials(spark, sf_dir):
+    """M-8 financials fact."""
+    return marts.fct_company_financials(stg_fin(spark, sf_dir))
+
+
+@register("news_surrogate_key", O.build(
+    "select symbol, news_ts, headline, url, news_id from fct_company_news"))
+def q_news_surrogate_key(spark, sf_dir):
+    """M-9 NULL-safe surrogate key of a news story."""
+    return stg_news(spark, sf_dir).select("symbol", "news_ts", "headline", "url",
+                                          marts.news_surrogate_key().alias("news_id"))
+
+
+@register("fct_company_news", O.build("select * from fct_company_news"))
+def q_fct_company_news(spark, sf_dir):
+    """M-10 news fact."""
+    return marts.fct_company_news(stg_news(spark, sf_dir))
+
+
+# --- long-range metrics and dashboard queries ------------------------------------------
+AS_OF_LONG = dt.date(1998, 6, 30)
+AS_OF_LONG_S = AS_OF_LONG.isoformat()
+
+
+def star_scale(spark, sf_dir):
+    """Multi-year star over lineitem-derived candles (one symbol per supplier)."""
+    return build_price_star(fx.fx_candles_scale(spark, sf_dir), fx.fx_sector_map_scale(spark, sf_dir),
+                            fx.fx_profiles(spark, sf_dir))
+
+
+@register("monthly_top_worst_sector", O.build(
+    "select month_start, max(case when rb = 1 then sector end) as best_sector, "
+    f"max(case when rb = 1 then {sig10_sql('monthly_return')} end) as best_return, "
+    "max(case when rw = 1 then sector end) as worst_sector, "
+    f"max(case when rw = 1 then {sig10_sql('monthly_return')} end) as worst_return "
+    "from (select *, row_number() over (partition by month_start order by monthly_return desc, sector) as rb, "
+    "row_number() over (partition by month_start order by monthly_return asc, sector) as rw "
+    "from (select cast(date_trunc('month', date_key) as date) as month_start, sector, "
+    "exp(sum(coalesce(avg_log_return, 0.0))) - 1 as monthly_return from sector_daily_scale group by 1, 2) m) r "
+    "group by month_start"), exact=("best_return", "worst_return"))
+def q_monthly_top_worst_sector(spark, sf_dir):
+    """A-4 best and worst sector per month (our definition)."""
+    r = metrics.monthly_top_worst_sector(star_scale(spark, sf_dir).fct_daily_prices)
+    return r.withColumn("best_return", sig10(F.col("best_return"))).withColumn(
+        "worst_return", sig10(F.col("worst_return")))
+
+
+@register("sector_outperformance_12m", O.build(
+    f"select sector, {sig10_sql('return_12m')} as return_12m, n_days, rank from ("
+    "select sector, exp(sum(coalesce(avg_log_return, 0.0))) - 1 as return_12m, count(*) as n_days, "
+    "row_number() over (order by exp(sum(coalesce(avg_log_return, 0.0))) - 1 desc, sector) as rank "
+    f"from sector_daily_scale where date_key >= date '{AS_OF_LONG_S}' - interval 12 month "
+    f"and date_key <= date '{AS_OF_LONG_S}' group by sector) q"), exact=("return_12m",))
+def q_sector_outperformance_12m(spark, sf_dir):
+    """Q-1 sectors ranked by 12-month compounded return."""
+    r = metrics.sector_outperformance_12m(star_scale(spark, sf_dir).fct_daily_prices, AS_OF_LONG)
+    return r.withColumn("return_12m", sig10(F.col("return_12m")))
+
+
+@register("sector_volatility_ranking", O.build(
+    "select *, row_number() over (order by annualized_volatility desc nulls last, sector) as rank from vol",
+    extra={"vol": O.sector_volatility_sql(AS_OF_S)},
+    round_cols=("annualized_return", "annualized_volatility", "return_risk_ratio")))
+def q_sector_volatility_ranking(spark, sf_dir):
+    """Q-2 sectors by annualised volatility."""
+    return metrics.sector_volatility_ranking(star(spark, sf_dir).fct_daily_prices, AS_OF)
+
+
+@register("sector_return_series", O.build(
+    "select sector, date_key, cumulative_return_pct, avg_daily_return_pct from sector_performance",
+    round_cols=("cumulative_return_pct", "avg_daily_return_pct")))
+def q_sector_return_series(spark, sf_dir):
+    """Q-3 cumulative return series per sector."""
+    return metrics.sector_return_series(star(spark, sf_dir).fct_daily_prices)
+
+
+@register("compare_financials", O.build(
+    "select f.symbol, c.company_name, c.sector, f.date_key as as_of_date, f.pe_ratio, f.pb_ratio, f.eps_ttm, "
+    "f.dividend_yield, f.beta, f.market_cap from (select *, row_number() over (partition by symbol "
+    "order by date_key desc, _loaded_at desc) as rn from fct_company_financials) f "
+    "left join dim_companies c on f.symbol = c.symbol where f.rn = 1",
+    round_cols=("pe_ratio", "pb_ratio", "eps_ttm", "dividend_yield", "beta", "market_cap")))
+def q_compare_financials(spark, sf_dir):
+    """Q-6 latest indicators per company with sector."""
+    s = star(spark, sf_dir)
+    return metrics.compare_financials(marts.fct_company_financials(stg_fin(spark, sf_dir)), s.dim_companies)
+
+
+# --- data quality ---------------------------------------------------------------------------
+@register("check_not_null", O.build(
+    "select *, concat_ws(',', case when symbol is null then 'symbol' end, case when date_key is null then "
+    "'date_key' end, case when sector is null then 'sector' end, case when close is null then 'close' end, "
+    "case when volume is null then 'volume' end) as failed_columns from fct_daily_prices "
+    "where symbol is null or date_key is null or sector is null or close is null or volume is null",
+    round_cols=FACT_DOUBLES))
+def q_check_not_null(spark, sf_dir):
+    """D-1 not_null over fact columns (sector is NULL for symbols missing from the seed)."""
+    from marketlake.operators.quality import check_not_null
+    return check_not_null(star(spark, sf_dir).fct_daily_prices, ["symbol", "date_key", "sector", "close", "volume"])
+
+
+@register("check_unique", O.build(
+    "select symbol as unique_field, count(*) as n_records from stg_company_financials "
+    "where symbol is not null group by symbol having count(*) > 1"))
+def q_check_unique(spark, sf_dir):
+    """D-2 unique (failing values with counts)."""
+    from marketlake.operators.quality import check_unique
+    return check_unique(stg_fin(spark, sf_dir), "symbol")
+
+
+@register("check_unique_combination", O.build(
+    "select symbol, trading_date, count(*) as n_records from (select upper(trim(symbol)) as symbol, "
+    "trading_date from fx_candles) t group by symbol, trading_date having count(*) > 1"))
+def q_check_unique_combination(spark, sf_dir):
+    """D-3 unique combination on raw candles (duplicate loads)."""
+    from marketlake.functions import normalize_symbol
+    from marketlake.operators.quality import check_unique_combination
+    raw = fx.fx_candles(spark, sf_dir).select(normalize_symbol("symbol").alias("symbol"), "trading_date")
+    return check_unique_combination(raw, ["symbol", "trading_date"])
+
+
+@register("check_accepted_values", O.build(
+    f"select sector as value_field, count(*) as n_records from stg_company_profiles "
+    f"where sector is not null and sector not in ({O.ACCEPTED}) group by sector"))
+def q_check_accepted_values(spark, sf_dir):
+    """D-4 accepted sector names."""
+    from marketlake.functions import SECTORS
+    from marketlake.operators.quality import check_accepted_values
+    return check_accepted_values(stg_profiles(spark, sf_dir), "sector", SECTORS)
+
+
+@register("check_relationships", O.build(
+    "select * from fct_daily_prices f where f.symbol is not null and not exists "
+    "(select 1 from fx_sector_map s where upper(trim(s.symbol)) = f.symbol)", round_cols=FACT_DOUBLES))
+def q_check_relationships(spark, sf_dir):
+    """D-5 fact symbols missing from the company dimension."""
+    from marketlake.operators.quality import check_relationships
+    s = star(spark, sf_dir)
+    return check_relationships(s.fct_daily_prices, "symbol", s.dim_companies, "symbol")
+
+
+@register("check_between", O.build(
+    "select * from stg_candles_long where not (close between 0 and 100000)",
+    round_cols=("open", "high", "low", "close")))
+def q_check_between(spark, sf_dir):
+    """D-6 close within [0, 100000]."""
+    from marketlake.operators.quality import check_between
+    return check_between(staging.stg_candles(fx.fx_candles_long(spark, sf_dir), ["event_id"]), "close", 0, 100000)
+
+
+@register("assert_positive_volume", O.build("select * from fct_daily_prices where volume <= 0",
+                                            round_cols=FACT_DOUBLES))
+def q_assert_positive_volume(spark, sf_dir):
+    """D-7 non-positive volume in the fact."""
+    from marketlake.operators.quality import assert_positive_volume
+    return assert_positive_volume(star(spark, sf_dir).fct_daily_prices)
+
+
+@register("assert_valid_return_range", O.build("select * from fct_daily_prices where abs(daily_return) > 0.5",
+                                               round_cols=FACT_DOUBLES))
+def q_assert_valid_return_range(spark, sf_dir):
+    """D-8 daily returns beyond +-50%."""
+    from marketlake.operators.quality import assert_valid_return_range
+    return assert_valid_return_range(star(spark, sf_dir).fct_daily_prices)
+
+
+FRESH_AT = dt.datetime(2024, 2, 3, 0, 0, 0)
+
+
+@register("source_freshness", O.build(
+    "select max_loaded_at, age_hours, case when max_loaded_at is null then 'error' when age_hours > 96 then "
+    "'error' when age_hours > 36 then 'warn' else 'pass' end as status from (select max(_loaded_at) as "
+    "max_loaded_at, epoch_us(timestamp '2024-02-03 00:00:00' - max(_loaded_at)) / 3.6e9 as age_hours "
+    "from fx_candles) t", round_cols=("age_hours",)))
+def q_source_freshness(spark, sf_dir):
+    """D-9 freshness of raw candles at an injected time."""
+    from marketlake.operators.quality import source_freshness
+    return source_freshness(fx.fx_candles(spark, sf_dir), FRESH_AT)
+
+
+# --- column helpers -------------------------------------------------------------------------------
+@register("fn_safe_divide", O.build(
+    f"select event_id, {O.SAFE_DIV('close - open', 'cast(round(volume) as bigint)')} as ratio from fx_candles",
+    round_cols=("ratio",)))
+def q_fn_safe_divide(spark, sf_dir):
+    """safe_divide: NULL on NULL or zero denominators."""
+    from marketlake.functions import round_to_long, safe_divide
+    c = fx.fx_candles(spark, sf_dir)
+    return c.select("event_id", safe_divide(F.col("close") - F.col("open"), round_to_long("volume")).alias("ratio"))
+
+
+@register("fn_cents_to_dollars", O.build(
+    "select o_orderkey, round((o_orderkey * 13) / 100.0, 2) as dollars from orders", round_cols=("dollars",)))
+def q_fn_cents_to_dollars(spark, sf_dir):
+    """cents_to_dollars(c, 2) = round(c / 100, 2)."""
+    from marketlake.functions import cents_to_dollars
+    o = fx.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", cents_to_dollars(F.col("o_orderkey") * 13).alias("dollars"))
