@@ -177,3 +177,97 @@ def fx_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value") * 1000).alias("market_cap"),
         F.col("ts").alias("_loaded_at"),
     )
+
+
+# --- landed payloads (JSON text per API response) ------------------------------
+FIXED_LOADED_AT = "2024-02-01 00:00:00"
+
+
+def epoch_of(ts: Column) -> Column:
+    """Whole epoch seconds of a UTC wall-clock ``timestamp_ntz``."""
+    return (F.unix_date(ts.cast("date")).cast("long") * 86400 + F.hour(ts) * 3600
+            + F.minute(ts) * 60 + F.second(ts))
+
+
+def fx_candle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 3-bar candle response per event: ``signup`` -> ``no_data``,
+    ``error`` -> a short volume array, every 10th purchase -> NULL."""
+    e = table(spark, sf_dir, "events")
+    t0 = F.unix_date(F.col("ts").cast("date")).cast("long") * 86400
+    v, k = F.col("value"), _k().cast("double")
+    body = F.struct(
+        F.when(F.col("event_type") == "signup", F.lit("no_data")).otherwise(F.lit("ok")).alias("s"),
+        F.array(t0, t0 + 86400, t0 + 172800).alias("t"),
+        F.array(v, v + 1, v + 2).alias("o"),
+        F.array(v + 1, v + 2, v + 3).alias("h"),
+        F.array(v - 1, v, v + 1).alias("l"),
+        F.array(v, v + 0.5, v + 1.5).alias("c"),
+        F.when(F.col("event_type") == "error", F.array(k, k + 1)).otherwise(F.array(k, k + 1, k + 2)).alias("v"),
+    )
+    null_payload = (F.col("event_type") == "purchase") & (F.col("event_id") % 10 == 0)
+    return e.select(sym(F.col("user_id"), ".").alias("symbol"),
+                    F.when(null_payload, F.lit(None).cast("string")).otherwise(F.to_json(body)).alias("payload"))
+
+
+def fx_profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One profile object per customer; some lack a ticker or have an empty one."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    k = F.col("c_custkey")
+    ticker = (F.when(k % 19 == 0, F.lit(None).cast("string")).when(k % 23 == 0, F.lit(""))
+              .otherwise(sym(k, "-")))
+    body = F.struct(
+        ticker.alias("ticker"), F.col("c_name").alias("name"), F.lit("X").alias("exchange"),
+        F.col("c_mktsegment").alias("finnhubIndustry"), F.col("n_name").alias("country"),
+        F.col("c_acctbal").alias("marketCapitalization"), F.concat(F.lit("L"), k.cast("string")).alias("logo"),
+        F.lit("2001-02-03").alias("ipo"), F.concat(F.lit("W"), k.cast("string")).alias("weburl"),
+    )
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.to_json(body).alias("payload"))
+
+
+def fx_news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 2-item news list per event (second item without a time); ``error``
+    events get an error object, ``signup`` events an empty list."""
+    e = table(spark, sf_dir, "events")
+    item1 = F.struct(epoch_of(F.col("ts")).alias("datetime"), F.col("event_type").alias("headline"),
+                     F.lit("S").alias("summary"), F.lit("src").alias("source"), F.lit("company").alias("category"),
+                     F.concat(F.lit("http://x/"), F.col("event_id").cast("string")).alias("url"),
+                     F.lit(None).cast("string").alias("image"))
+    item2 = F.struct(F.lit(None).cast("long").alias("datetime"), F.lit("h2").alias("headline"),
+                     F.lit(None).cast("string").alias("summary"), F.lit("src2").alias("source"),
+                     F.lit("company").alias("category"), F.lit(None).cast("string").alias("url"),
+                     F.lit(None).cast("string").alias("image"))
+    payload = (F.when(F.col("event_type") == "error", F.lit('{"error":"denied"}'))
+               .when(F.col("event_type") == "signup", F.lit("[]"))
+               .otherwise(F.to_json(F.array(item1, item2))))
+    return e.select(sym(F.col("user_id"), ".").alias("symbol"), payload.alias("payload"))
+
+
+def fx_financial_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metrics response per event: NULL (signup), ``{}`` (view), without
+    ``metric`` (click) or full."""
+    e = table(spark, sf_dir, "events")
+    v, k = F.col("value"), _k().cast("double")
+    metric = F.struct(v.alias("peBasicExclExtraTTM"), (v / 2).alias("pbAnnual"), (v / 10).alias("epsTTM"),
+                      (k / 100).alias("dividendYieldIndicatedAnnual"), F.lit(1.0).alias("beta"),
+                      k.alias("52WeekHigh"), (k / 2).alias("52WeekLow"), (v * 1000).alias("marketCapitalization"))
+    payload = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+               .when(F.col("event_type") == "view", F.lit("{}"))
+               .when(F.col("event_type") == "click", F.lit('{"symbol":"X"}'))
+               .otherwise(F.to_json(F.struct(metric.alias("metric")))))
+    return e.select(sym(F.col("user_id"), "-").alias("symbol"), payload.alias("payload"))
+
+
+def fx_fallback_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second provider's flat daily bars (NULL close and volume on errors)."""
+    e = table(spark, sf_dir, "events")
+    err = F.col("event_type") == "error"
+    return e.select(
+        "event_id",
+        sym(F.col("user_id"), ".").alias("symbol"),
+        F.col("ts").cast("date").alias("Date"),
+        F.col("value").alias("Open"), (F.col("value") + 1).alias("High"),
+        F.greatest(F.col("value") - 1, F.lit(0.01)).alias("Low"),
+        F.when(err, F.lit(None).cast("double")).otherwise(F.col("value")).alias("Close"),
+        F.when(err, F.lit(None).cast("double")).otherwise(_k().cast("double") * 0.5).alias("Volume"),
+    )

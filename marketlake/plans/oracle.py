@@ -325,3 +325,32 @@ def build(body: str, extra: dict[str, str] | None = None, round_cols=(), order_f
         repl = ", ".join(f"round({c}, 9) + 0.0 as {c}" for c in round_cols)
         body = f"select * replace ({repl}) from ({body}) q"
     return with_clause + body
+
+
+# --- sources -------------------------------------------------------------------
+LOADED = "timestamp '2024-02-01 00:00:00'"
+
+CTES["fx_fallback_bars"] = f"""
+select event_id, {SYM('user_id','.')} as symbol, cast(ts as date) as "Date", value as "Open",
+  value+1 as "High", greatest(value-1,0.01) as "Low",
+  case when event_type='error' then null else value end as "Close",
+  case when event_type='error' then null else cast({J} as double)*0.5 end as "Volume",
+  user_id
+from events"""
+
+CTES["flat_candles"] = f"""
+select {SYM('user_id','.')} as symbol, cast(ts as date) + cast(i as integer) as trading_date,
+  value + i as open,
+  case i when 0 then value + 1 when 1 then value + 2 else value + 3 end as high,
+  case i when 0 then value - 1 when 1 then value else value + 1 end as low,
+  case i when 0 then value when 1 then value + 0.5 else value + 1.5 end as close,
+  cast({J} as double) + i as volume, {LOADED} as _loaded_at, user_id
+from events, range(3) r(i)
+where event_type not in ('signup', 'error') and not (event_type = 'purchase' and event_id % 10 = 0)"""
+
+CTES["fallback_candles"] = f"""
+select symbol, replace(symbol, '.', '-') as provider_ticker, "Date" as trading_date,
+  coalesce("Open", 0.0) as open, coalesce("High", 0.0) as high, coalesce("Low", 0.0) as low,
+  coalesce("Close", 0.0) as close, cast(trunc(coalesce("Volume", 0.0)) as bigint) as volume,
+  {LOADED} as _loaded_at
+from fx_fallback_bars"""

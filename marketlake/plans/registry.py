@@ -509,3 +509,182 @@ def q_fn_cents_to_dollars(spark, sf_dir):
     from marketlake.functions import cents_to_dollars
     o = fx.table(spark, sf_dir, "orders")
     return o.select("o_orderkey", cents_to_dollars(F.col("o_orderkey") * 13).alias("dollars"))
+
+
+# --- sources, payloads, raw sinks -------------------------------------------------------------
+from marketlake.session import scratch_path  # noqa: E402
+from marketlake.sources import payloads as PL  # noqa: E402
+from marketlake.sources import providers as PR  # noqa: E402
+from marketlake.sources import raw as RAW  # noqa: E402
+from marketlake.sources import writers as WR  # noqa: E402
+from marketlake.sources.universe import filter_universe  # noqa: E402
+
+LOADED_AT = F.to_timestamp_ntz(F.lit(fx.FIXED_LOADED_AT))
+CANDLE_DOUBLES = ("open", "high", "low", "close", "volume")
+
+
+def landed_candles(spark, sf_dir) -> str:
+    """Write the raw candles Hive-partitioned into a fresh shared path."""
+    root = scratch_path(spark, "raw")
+    WR.write_raw_partitioned(fx.fx_candles(spark, sf_dir), root, "candles")
+    return root
+
+
+@register("scan_raw_hive", O.build(
+    "select *, cast(year(trading_date) as integer) as year, cast(month(trading_date) as integer) as month, "
+    "cast(day(trading_date) as integer) as day from fx_candles", round_cols=CANDLE_DOUBLES))
+def q_scan_raw_hive(spark, sf_dir):
+    """S-1 read Hive-partitioned raw candles with partition columns."""
+    root = landed_candles(spark, sf_dir)
+    return RAW.read_raw(spark, root, "candles", schema=fx.fx_candles(spark, sf_dir).schema)
+
+
+@register("scan_seed", O.build("select symbol, sector from fx_sector_map"))
+def q_scan_seed(spark, sf_dir):
+    """S-2 sector seed read from CSV with a header."""
+    path = scratch_path(spark, "seed")
+    fx.fx_sector_map(spark, sf_dir).write.mode("overwrite").option("header", True).csv(path)
+    return RAW.read_seed(spark, path)
+
+
+@register("universe_filter", O.build(
+    "select event_id, symbol from fx_candles where upper(trim(symbol)) in "
+    "(select upper(trim(symbol)) from fx_sector_map)"))
+def q_universe_filter(spark, sf_dir):
+    """S-3 keep symbols of the seed universe."""
+    c = fx.fx_candles(spark, sf_dir).select("event_id", "symbol")
+    return filter_universe(c, seed=fx.fx_sector_map(spark, sf_dir))
+
+
+@register("flatten_candles", O.build(
+    "select symbol, trading_date, open, high, low, close, volume, _loaded_at from flat_candles",
+    round_cols=CANDLE_DOUBLES))
+def q_flatten_candles(spark, sf_dir):
+    """S-4 parallel-array candle payloads -> rows."""
+    rows, _rejects = PL.flatten_candles(fx.fx_candle_payloads(spark, sf_dir), LOADED_AT)
+    return rows
+
+
+@register("flatten_profiles", O.build(
+    f"select {O.SYM('c_custkey', '-')} as symbol, c_name as company_name, 'X' as exchange, "
+    "c_mktsegment as industry, n_name as country, c_acctbal as market_cap, concat('L', c_custkey) as logo_url, "
+    "'2001-02-03' as ipo_date, concat('W', c_custkey) as web_url, "
+    f"{O.LOADED} as _loaded_at from customer join nation on c_nationkey = n_nationkey "
+    "where c_custkey % 19 <> 0 and c_custkey % 23 <> 0", round_cols=("market_cap",)))
+def q_flatten_profiles(spark, sf_dir):
+    """S-5 profile payloads -> rows (no ticker -> skipped)."""
+    return PL.flatten_profiles(fx.fx_profile_payloads(spark, sf_dir), LOADED_AT)
+
+
+@register("flatten_news", O.build(
+    f"select {O.SYM('user_id', '.')} as symbol, date_trunc('second', ts) as datetime, event_type as headline, "
+    "'S' as summary, 'src' as source, 'company' as category, concat('http://x/', event_id) as url, "
+    f"cast(null as varchar) as image, {O.LOADED} as _loaded_at from events "
+    "where event_type not in ('error', 'signup') union all "
+    f"select {O.SYM('user_id', '.')} as symbol, cast(null as timestamp) as datetime, 'h2' as headline, "
+    "cast(null as varchar) as summary, 'src2' as source, 'company' as category, cast(null as varchar) as url, "
+    f"cast(null as varchar) as image, {O.LOADED} as _loaded_at from events "
+    "where event_type not in ('error', 'signup')"))
+def q_flatten_news(spark, sf_dir):
+    """S-6 news list payloads -> rows (NULL time survives)."""
+    n = PL.flatten_news(fx.fx_news_payloads(spark, sf_dir), LOADED_AT)
+    return n.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+
+
+@register("flatten_financials", O.build(
+    f"select {O.SYM('user_id', '-')} as symbol, "
+    "case when event_type = 'click' then null else value end as pe_ratio, "
+    "case when event_type = 'click' then null else value / 2 end as pb_ratio, "
+    "case when event_type = 'click' then null else value / 10 end as eps_ttm, "
+    f"case when event_type = 'click' then null else cast({O.J} as double) / 100 end as dividend_yield, "
+    "case when event_type = 'click' then null else 1.0::double end as beta, "
+    f"case when event_type = 'click' then null else cast({O.J} as double) end as week_52_high, "
+    f"case when event_type = 'click' then null else cast({O.J} as double) / 2 end as week_52_low, "
+    "case when event_type = 'click' then null else value * 1000 end as market_cap, "
+    f"{O.LOADED} as _loaded_at from events where event_type not in ('signup', 'view')",
+    round_cols=("pe_ratio", "pb_ratio", "eps_ttm", "dividend_yield", "beta", "week_52_high", "week_52_low",
+                "market_cap")))
+def q_flatten_financials(spark, sf_dir):
+    """S-7 metric payloads -> one row each (no metric -> NULL row)."""
+    return PL.flatten_financials(fx.fx_financial_payloads(spark, sf_dir), LOADED_AT)
+
+
+@register("normalize_fallback_candles", O.build("select * from fallback_candles",
+                                                round_cols=("open", "high", "low", "close")))
+def q_normalize_fallback_candles(spark, sf_dir):
+    """S-8 second provider's bars in candle shape (NULL -> 0)."""
+    return PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), LOADED_AT)
+
+
+@register("provider_fallback", O.build(
+    "select symbol, trading_date, open, high, low, close, volume, _loaded_at, 'finnhub' as provider "
+    "from flat_candles where user_id % 3 <> 0 union all "
+    "select symbol, trading_date, open, high, low, close, cast(volume as double) as volume, _loaded_at, "
+    "'yfinance' as provider from fallback_candles where symbol not in "
+    "(select distinct symbol from flat_candles where user_id % 3 <> 0)", round_cols=CANDLE_DOUBLES))
+def q_provider_fallback(spark, sf_dir):
+    """S-9 primary provider first, fallback for symbols it lacks (a third
+    of the symbols are denied by the primary)."""
+    pay = fx.fx_candle_payloads(spark, sf_dir)
+    users = fx.table(spark, sf_dir, "events").select(fx.sym(F.col("user_id"), ".").alias("symbol"),
+                                                      (F.col("user_id") % 3 != 0).alias("granted")).distinct()
+    granted = pay.join(users.where("granted").select("symbol"), "symbol", "left_semi")
+    primary, _ = PL.flatten_candles(granted, LOADED_AT)
+    primary = primary.withColumn("provider", F.lit("finnhub"))
+    fallback = (PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), LOADED_AT)
+                .drop("provider_ticker").withColumn("volume", F.col("volume").cast("double"))
+                .withColumn("provider", F.lit("yfinance")))
+    return PR.provider_fallback(primary, fallback)
+
+
+@register("concat_non_empty", O.build(
+    "select event_id, symbol, trading_date, open, high, low, "
+    "case when day(trading_date) > 20 then null else close end as close, "
+    "case when day(trading_date) between 11 and 20 then null else volume end as volume, _loaded_at "
+    "from fx_candles", round_cols=CANDLE_DOUBLES))
+def q_concat_non_empty(spark, sf_dir):
+    """S-10 union by name of three slices with differing columns."""
+    c = fx.fx_candles(spark, sf_dir)
+    d = F.dayofmonth("trading_date")
+    a = c.where(d <= 10)
+    b = c.where(d.between(11, 20)).drop("volume")
+    z = c.where(d > 20).drop("close")
+    out = PR.concat_non_empty([a, None, b, z])
+    return out.select(*c.columns)
+
+
+AS_OF_WINDOW = dt.date(1996, 6, 30)
+
+
+@register("ingest_window", O.build(
+    "select event_id, symbol, trading_date from fx_candles_long "
+    f"where trading_date between date '{AS_OF_WINDOW.isoformat()}' - 365 and date '{AS_OF_WINDOW.isoformat()}'"))
+def q_ingest_window(spark, sf_dir):
+    """S-11 backfill window [as_of - 365, as_of]."""
+    c = fx.fx_candles_long(spark, sf_dir).select("event_id", "symbol", "trading_date")
+    return RAW.ingest_window(c, AS_OF_WINDOW, "backfill")
+
+
+@register("write_raw_partitioned", O.build(
+    "select cast(year(trading_date) as integer) as year, cast(month(trading_date) as integer) as month, "
+    "cast(day(trading_date) as integer) as day, count(*) as n_rows from fx_candles group by 1, 2, 3"))
+def q_write_raw_partitioned(spark, sf_dir):
+    """S-12 rows per year/month/day partition after a partitioned write."""
+    root = landed_candles(spark, sf_dir)
+    back = RAW.read_raw(spark, root, "candles", schema=fx.fx_candles(spark, sf_dir).schema)
+    return back.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+RUN_DATE = dt.date(2025, 12, 30)
+
+
+@register("write_raw_period", O.build(
+    "select *, cast(2026 as integer) as year, cast(1 as integer) as week from fx_news"))
+def q_write_raw_period(spark, sf_dir):
+    """S-13 weekly news object written twice for the same run (no duplicates;
+    2025-12-30 is ISO week 1 of 2026)."""
+    root = scratch_path(spark, "raw")
+    news = fx.fx_news(spark, sf_dir)
+    WR.write_raw_period(news, root, "company_news", RUN_DATE, "week")
+    WR.write_raw_period(news, root, "company_news", RUN_DATE, "week")
+    return RAW.read_raw(spark, root, "company_news", schema=news.schema)
