@@ -60,8 +60,8 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     or rewritten.
     """
     keys = list(keys)
-    if partition_col not in keys:
-        raise ValueError("the partition column must be part of the unique key")
+    # The partition column must be a function of the key (e.g. the key's
+    # date or its month) so a key never moves between partitions.
     staged = scratch_path(spark, "upsert-stage")
     updates.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
     upd = spark.read.schema(schema).parquet(staged)

@@ -688,3 +688,141 @@ def q_write_raw_period(spark, sf_dir):
     WR.write_raw_period(news, root, "company_news", RUN_DATE, "week")
     WR.write_raw_period(news, root, "company_news", RUN_DATE, "week")
     return RAW.read_raw(spark, root, "company_news", schema=news.schema)
+
+
+# --- incremental loads, history, layout -------------------------------------------------------
+from marketlake.operators import incremental as INC  # noqa: E402
+from marketlake.operators import layout as LAY  # noqa: E402
+from marketlake.operators.snapshot import PROFILE_CHECK_COLS, scd2_apply  # noqa: E402
+
+WATERMARK_CUT = dt.date(2024, 1, 20)
+
+
+def written_fact(spark, sf_dir):
+    """The price fact written day-partitioned and clustered, read back."""
+    fact = star(spark, sf_dir).fct_daily_prices
+    path = scratch_path(spark, "fct_daily_prices")
+    LAY.write_partitioned(fact, path, "date_key", cluster_cols=["symbol", "sector"])
+    return LAY.read_partitioned(spark, path, fact.schema)
+
+
+def written_news(spark, sf_dir):
+    news = marts.fct_company_news(stg_news(spark, sf_dir))
+    path = scratch_path(spark, "fct_company_news")
+    LAY.write_partitioned(news, path, "date_key", cluster_cols=["symbol", "source"])
+    return LAY.read_partitioned(spark, path, news.schema)
+
+
+@register("watermark_filter", O.build(
+    "select * from fct_daily_prices where date_key > (select coalesce(max(date_key), date '1900-01-01') "
+    f"from fct_daily_prices where date_key <= date '{WATERMARK_CUT.isoformat()}')", round_cols=FACT_DOUBLES))
+def q_watermark_filter(spark, sf_dir):
+    """I-1 strict global watermark against an existing target (windows see
+    all history; only the filter is incremental)."""
+    fact = star(spark, sf_dir).fct_daily_prices
+    path = scratch_path(spark, "fct_target")
+    LAY.write_partitioned(fact.where(F.col("date_key") <= F.lit(WATERMARK_CUT)), path, "date_key")
+    target = LAY.read_partitioned(spark, path, fact.schema)
+    return INC.watermark_filter(fact, target)
+
+
+UPSERT_SPLIT = dt.date(1996, 1, 1)
+UPSERT_OVERLAP = dt.date(1995, 7, 1)
+
+
+@register("keyed_upsert", O.build(
+    f"select *, case when date_key >= date '{UPSERT_OVERLAP.isoformat()}' then 2 else 1 end as batch, "
+    "cast(date_trunc('month', date_key) as date) as date_month from stg_candles_long",
+    round_cols=("open", "high", "low", "close")))
+def q_keyed_upsert(spark, sf_dir):
+    """I-2 merge a second, overlapping batch into a month-partitioned table."""
+    s = LAY.month_partition(staging.stg_candles(fx.fx_candles_long(spark, sf_dir), ["event_id"]))
+    b1 = s.where(F.col("date_key") < F.lit(UPSERT_SPLIT)).withColumn("batch", F.lit(1))
+    b2 = s.where(F.col("date_key") >= F.lit(UPSERT_OVERLAP)).withColumn("batch", F.lit(2))
+    path = scratch_path(spark, "upsert_target")
+    INC.full_refresh(b1, path, "date_month")
+    INC.keyed_upsert(spark, path, b2, ["symbol", "date_key"], "date_month", b1.schema)
+    return spark.read.schema(b1.schema).parquet(path)
+
+
+@register("full_refresh", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
+def q_full_refresh(spark, sf_dir):
+    """I-3 static overwrite twice: the table equals one clean build."""
+    fact = star(spark, sf_dir).fct_daily_prices
+    path = scratch_path(spark, "fct_full")
+    INC.full_refresh(fact, path, "date_key")
+    INC.full_refresh(fact, path, "date_key")
+    return LAY.read_partitioned(spark, path, fact.schema)
+
+
+RUN1 = dt.datetime(2024, 2, 1)
+RUN2 = dt.datetime(2024, 3, 1)
+_G1 = "select * from stg_company_profiles where symbol not like '%7'"
+_G2 = ("select symbol, company_name, sector, coalesce(industry, 'Filled') as industry, country, "
+       "case when symbol like '%3' then market_cap + 1 else market_cap end as market_cap, ipo_date, logo_url, "
+       "web_url, exchange, timestamp '2024-03-01 00:00:00' as _loaded_at from stg_company_profiles "
+       "where symbol not like '%5'")
+_SAME = " and ".join(f"g1.{c} is not distinct from g2.{c}" for c in PROFILE_CHECK_COLS)
+_PCOLS = ["symbol", "company_name", "sector", "industry", "country", "market_cap", "ipo_date", "logo_url",
+          "web_url", "exchange", "_loaded_at"]
+_G1C = ", ".join(f"g1.{c}" for c in _PCOLS)
+_G2C = ", ".join(f"g2.{c}" for c in _PCOLS)
+_R1, _R2, _NT = "timestamp '2024-02-01 00:00:00'", "timestamp '2024-03-01 00:00:00'", "cast(null as timestamp)"
+
+
+@register("scd2_snapshot", O.build(
+    f"select {_G1C}, {_R1} as valid_from, {_NT} as valid_to, true as is_current from g1 left join g2 "
+    f"on g1.symbol = g2.symbol where g2.symbol is null or ({_SAME}) "
+    f"union all select {_G1C}, {_R1}, {_R2}, false from g1 join g2 on g1.symbol = g2.symbol where not ({_SAME}) "
+    f"union all select {_G2C}, {_R2}, {_NT}, true from g2 join g1 on g1.symbol = g2.symbol where not ({_SAME}) "
+    f"union all select {_G2C}, {_R2}, {_NT}, true from g2 left join g1 on g1.symbol = g2.symbol "
+    "where g1.symbol is null", extra={"g1": _G1, "g2": _G2}, round_cols=("market_cap",)))
+def q_scd2_snapshot(spark, sf_dir):
+    """I-4 two snapshot runs: changed, unchanged (only _loaded_at moved),
+    vanished (stays open), new, NULL -> value."""
+    p = stg_profiles(spark, sf_dir)
+    g1 = p.where(~F.col("symbol").endswith("7"))
+    g2 = p.where(~F.col("symbol").endswith("5")).select(
+        "symbol", "company_name", "sector", F.coalesce("industry", F.lit("Filled")).alias("industry"), "country",
+        F.when(F.col("symbol").endswith("3"), F.col("market_cap") + 1).otherwise(F.col("market_cap")).alias("market_cap"),
+        "ipo_date", "logo_url", "web_url", "exchange",
+        F.to_timestamp_ntz(F.lit("2024-03-01 00:00:00")).alias("_loaded_at"))
+    h1 = scd2_apply(None, g1, "symbol", PROFILE_CHECK_COLS, RUN1)
+    path = scratch_path(spark, "snap_company_profiles")
+    h1.write.mode("overwrite").parquet(path)
+    h1 = spark.read.schema(h1.schema).parquet(path)
+    return scd2_apply(h1, g2, "symbol", PROFILE_CHECK_COLS, RUN2)
+
+
+@register("partitioned_fact_write", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
+def q_partitioned_fact_write(spark, sf_dir):
+    """I-5 day-partitioned price fact, read back."""
+    return written_fact(spark, sf_dir)
+
+
+@register("clustered_fact_write", O.build("select * from fct_company_news"))
+def q_clustered_fact_write(spark, sf_dir):
+    """I-6 news fact partitioned by day, clustered by (symbol, source)."""
+    return written_news(spark, sf_dir)
+
+
+Q4_START, Q4_END = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
+
+
+@register("price_history", O.build(
+    f"select * from fct_daily_prices where date_key between date '{Q4_START.isoformat()}' "
+    f"and date '{Q4_END.isoformat()}'", round_cols=FACT_DOUBLES))
+def q_price_history(spark, sf_dir):
+    """Q-4 price fact for a date range (partition-pruned read)."""
+    return metrics.price_history(written_fact(spark, sf_dir), Q4_START, Q4_END)
+
+
+Q5_START, Q5_END = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
+
+
+@register("company_news_range", O.build(
+    f"select * from fct_company_news where date_key between date '{Q5_START.isoformat()}' "
+    f"and date '{Q5_END.isoformat()}'"))
+def q_company_news_range(spark, sf_dir):
+    """Q-5 news for a period (partition-pruned read)."""
+    return metrics.company_news_range(written_news(spark, sf_dir), Q5_START, Q5_END)
