@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators.joins import broadcast_if_bounded
 from marketlake.session import scratch_path
 
 FIRST_WATERMARK = dt.date(1900, 1, 1)
@@ -95,7 +94,3 @@ def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame,
         full_refresh(fresh, target_path, partition_col)
         return
     keyed_upsert(spark, target_path, watermark_filter(fresh, target, partition_col), keys, partition_col, schema)
-
-
-def semi_join_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.join(broadcast_if_bounded(keys_df.select(*keys).distinct()), list(keys), "left_semi")

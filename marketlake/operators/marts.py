@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.columns import canonical_share_class, normalize_symbol, surrogate_key, ts_text
 from marketlake.operators.dedup import dedup_latest
-from marketlake.operators.joins import broadcast_if_bounded
 from marketlake.operators.timeseries import price_features
 
 PROFILE_COLUMNS = ["company_name", "industry", "country", "market_cap", "ipo_date",
@@ -35,7 +34,7 @@ def dim_companies(seed: DataFrame, profiles: DataFrame) -> DataFrame:
     """
     s = seed.select(normalize_symbol("symbol").alias("symbol"), "sector")
     p = profiles.select(canonical_share_class("symbol").alias("symbol"), *PROFILE_COLUMNS)
-    newest = broadcast_if_bounded(dedup_latest(p, ["symbol"], ["_loaded_at"]))
+    newest = dedup_latest(p, ["symbol"], ["_loaded_at"])
     j = s.join(newest, "symbol", "left")
     return j.select(
         "symbol", F.coalesce(F.col("company_name"), F.col("symbol")).alias("company_name"), "sector",
@@ -77,11 +76,11 @@ def trading_days(candles: DataFrame) -> DataFrame:
 def dim_dates(candles: DataFrame, financials: DataFrame, news: DataFrame | None, as_of: dt.date) -> DataFrame:
     """M-6: calendar attributes and a trading flag for every spine day.
 
-    Both sides are bounded by the number of calendar days in the spine, so
-    the trading-day set is broadcast after its size check.
+    Both sides are bounded by the number of calendar days in the spine; the
+    planner broadcasts the trading-day set under its size threshold.
     """
     spine = date_spine(date_bounds(date_union(candles, financials, news), as_of))
-    td = broadcast_if_bounded(trading_days(candles).withColumn("_trading", F.lit(True)))
+    td = trading_days(candles).withColumn("_trading", F.lit(True))
     d = F.col("date_key")
     return spine.join(td, "date_key", "left").select(
         d,
@@ -98,10 +97,14 @@ def fct_daily_prices(stg: DataFrame, companies: DataFrame) -> DataFrame:
     """M-7: returns + volume stats + cumulative return, with the sector.
 
     One shuffle on ``symbol`` feeds all windows (no self-join of the volume
-    statistics); the company dimension is broadcast after its size check.
+    statistics).  The window output is already hash-partitioned and sorted by
+    ``symbol``, so a sort-merge join with the company dimension shuffles only
+    the dimension; AQE turns it into a broadcast join when the dimension's
+    measured size is under the threshold.  No hint: nothing is broadcast on
+    an unproven size.
     """
     feats = price_features(stg)
-    comp = broadcast_if_bounded(companies.select("symbol", "sector"))
+    comp = companies.select("symbol", "sector")
     return feats.join(comp, "symbol", "left").select(*FACT_PRICE_COLUMNS)
 
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from marketlake.functions.columns import safe_divide
 from marketlake.operators.dedup import dedup_latest
-from marketlake.operators.joins import broadcast_if_bounded
 from marketlake.operators.timeseries import cumulative
 
 # Trading days per year used to annualise.
@@ -139,7 +138,7 @@ def company_news_range(news: DataFrame, start: dt.date, end: dt.date, symbols=No
 def compare_financials(fin: DataFrame, companies: DataFrame) -> DataFrame:
     """Q-6: latest indicators per company with its sector."""
     latest = dedup_latest(fin, ["symbol"], ["date_key", "_loaded_at"])
-    comp = broadcast_if_bounded(companies.select("symbol", "company_name", "sector"))
+    comp = companies.select("symbol", "company_name", "sector")
     return latest.join(comp, "symbol", "left").select(
         "symbol", "company_name", "sector", F.col("date_key").alias("as_of_date"),
         "pe_ratio", "pb_ratio", "eps_ttm", "dividend_yield", "beta", "market_cap",

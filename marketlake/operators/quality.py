@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.operators.joins import broadcast_if_bounded
 
 # Raw-candle freshness thresholds in hours.
 FRESHNESS_WARN_HOURS = 36
@@ -49,7 +48,7 @@ def check_accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> Dat
 
 def check_relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """D-5: child rows whose non-NULL key has no parent row."""
-    keys = broadcast_if_bounded(parent.select(F.col(parent_col).alias("__pk")).distinct())
+    keys = parent.select(F.col(parent_col).alias("__pk")).distinct()
     return (child.where(F.col(col).isNotNull())
             .join(keys, F.col(col) == F.col("__pk"), "left_anti"))
 

@@ -15,7 +15,6 @@ from marketlake.functions.columns import (
 )
 from marketlake.functions.sectors import classify_sector
 from marketlake.operators.dedup import dedup_latest
-from marketlake.operators.joins import broadcast_if_bounded
 
 # Legacy and current column names of the 52-week range in raw financials.
 WEEK52_HIGH_NAMES = ("52_week_high", "week_52_high")
@@ -112,7 +111,7 @@ def stg_company_profiles(raw: DataFrame, seed: DataFrame, tiebreak: Sequence[str
     from the ordered industry classifier (T-9)."""
     base = raw.where(F.col("symbol").isNotNull()).withColumn("symbol", normalize_symbol("symbol"))
     latest = dedup_latest(base, ["symbol"], ["_loaded_at", *tiebreak])
-    aliases = broadcast_if_bounded(sector_alias_map(seed))
+    aliases = sector_alias_map(seed)
     joined = latest.join(aliases, latest["symbol"] == aliases["symbol_key"], "left")
     return joined.select(
         latest["symbol"],

@@ -73,15 +73,17 @@ def price_features(stg: DataFrame) -> DataFrame:
     w = symbol_window()
     w20 = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
     daily, log_ret = return_columns()
-    feats = (
-        stg.withColumn("prev_close", F.lag("close").over(w))
-        .withColumn("volume_sma_20", F.avg("volume").over(w20))
-        .withColumn("volume_stddev_20", F.stddev_pop("volume").over(w20))
-        .withColumn("daily_return", daily)
-        .withColumn("log_return", log_ret)
-        .withColumn("volume_zscore",
-                    safe_divide(F.col("volume") - F.col("volume_sma_20"),
-                                F.nullif(F.col("volume_stddev_20"), F.lit(0.0))))
-        .withColumn("cumulative_return", cumulative("log_return"))
+    base = stg.select(
+        "*",
+        F.lag("close").over(w).alias("prev_close"),
+        F.avg("volume").over(w20).alias("volume_sma_20"),
+        F.stddev_pop("volume").over(w20).alias("volume_stddev_20"),
     )
+    feats = base.select(
+        "*",
+        daily.alias("daily_return"),
+        log_ret.alias("log_return"),
+        safe_divide(F.col("volume") - F.col("volume_sma_20"),
+                    F.nullif(F.col("volume_stddev_20"), F.lit(0.0))).alias("volume_zscore"),
+    ).withColumn("cumulative_return", cumulative("log_return"))
     return feats.where(F.col("prev_close").isNotNull())

@@ -12,10 +12,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.session import sf_path
+from marketlake.sources.raw import spread_narrow_scan
+
+
+# Primary keys used to spread a scan that is narrower than the cluster.
+SPREAD_KEYS = {
+    "events": ["event_id"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber"],
+    "customer": ["c_custkey"],
+}
+
+
+_READS: dict[tuple[int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(sf_path(sf_dir, name))
+    """A driver table, read once per session (schema inference runs a job;
+    the immutable DataFrame is shared by every view that needs it)."""
+    path = sf_path(sf_dir, name)
+    key = (id(spark._jsparkSession), path)
+    if key not in _READS:
+        df = spark.read.parquet(path)
+        if name in SPREAD_KEYS:
+            df = spread_narrow_scan(df, SPREAD_KEYS[name])
+        _READS[key] = df
+    return _READS[key]
 
 
 def sym(n: Column, sep: str) -> Column:

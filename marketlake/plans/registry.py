@@ -519,7 +519,9 @@ from marketlake.sources import raw as RAW  # noqa: E402
 from marketlake.sources import writers as WR  # noqa: E402
 from marketlake.sources.universe import filter_universe  # noqa: E402
 
-LOADED_AT = F.to_timestamp_ntz(F.lit(fx.FIXED_LOADED_AT))
+def loaded_at():
+    """Load stamp of the landed payloads (a fixed UTC wall-clock time)."""
+    return F.to_timestamp_ntz(F.lit(fx.FIXED_loaded_at()))
 CANDLE_DOUBLES = ("open", "high", "low", "close", "volume")
 
 
@@ -561,7 +563,7 @@ def q_universe_filter(spark, sf_dir):
     round_cols=CANDLE_DOUBLES))
 def q_flatten_candles(spark, sf_dir):
     """S-4 parallel-array candle payloads -> rows."""
-    rows, _rejects = PL.flatten_candles(fx.fx_candle_payloads(spark, sf_dir), LOADED_AT)
+    rows, _rejects = PL.flatten_candles(fx.fx_candle_payloads(spark, sf_dir), loaded_at())
     return rows
 
 
@@ -573,7 +575,7 @@ def q_flatten_candles(spark, sf_dir):
     "where c_custkey % 19 <> 0 and c_custkey % 23 <> 0", round_cols=("market_cap",)))
 def q_flatten_profiles(spark, sf_dir):
     """S-5 profile payloads -> rows (no ticker -> skipped)."""
-    return PL.flatten_profiles(fx.fx_profile_payloads(spark, sf_dir), LOADED_AT)
+    return PL.flatten_profiles(fx.fx_profile_payloads(spark, sf_dir), loaded_at())
 
 
 @register("flatten_news", O.build(
@@ -587,7 +589,7 @@ def q_flatten_profiles(spark, sf_dir):
     "where event_type not in ('error', 'signup')"))
 def q_flatten_news(spark, sf_dir):
     """S-6 news list payloads -> rows (NULL time survives)."""
-    n = PL.flatten_news(fx.fx_news_payloads(spark, sf_dir), LOADED_AT)
+    n = PL.flatten_news(fx.fx_news_payloads(spark, sf_dir), loaded_at())
     return n.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
@@ -606,14 +608,14 @@ def q_flatten_news(spark, sf_dir):
                 "market_cap")))
 def q_flatten_financials(spark, sf_dir):
     """S-7 metric payloads -> one row each (no metric -> NULL row)."""
-    return PL.flatten_financials(fx.fx_financial_payloads(spark, sf_dir), LOADED_AT)
+    return PL.flatten_financials(fx.fx_financial_payloads(spark, sf_dir), loaded_at())
 
 
 @register("normalize_fallback_candles", O.build("select * from fallback_candles",
                                                 round_cols=("open", "high", "low", "close")))
 def q_normalize_fallback_candles(spark, sf_dir):
     """S-8 second provider's bars in candle shape (NULL -> 0)."""
-    return PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), LOADED_AT)
+    return PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), loaded_at())
 
 
 @register("provider_fallback", O.build(
@@ -629,9 +631,9 @@ def q_provider_fallback(spark, sf_dir):
     users = fx.table(spark, sf_dir, "events").select(fx.sym(F.col("user_id"), ".").alias("symbol"),
                                                       (F.col("user_id") % 3 != 0).alias("granted")).distinct()
     granted = pay.join(users.where("granted").select("symbol"), "symbol", "left_semi")
-    primary, _ = PL.flatten_candles(granted, LOADED_AT)
+    primary, _ = PL.flatten_candles(granted, loaded_at())
     primary = primary.withColumn("provider", F.lit("finnhub"))
-    fallback = (PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), LOADED_AT)
+    fallback = (PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), loaded_at())
                 .drop("provider_ticker").withColumn("volume", F.col("volume").cast("double"))
                 .withColumn("provider", F.lit("yfinance")))
     return PR.provider_fallback(primary, fallback)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.columns import normalize_symbol
-from marketlake.operators.joins import broadcast_if_bounded
 
 
 def provider_ticker(symbol_col: str = "symbol"):
@@ -38,10 +37,11 @@ def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "sy
 
     The reference switches provider for the denied symbol and every later
     one in a sequential loop; as a set operation the precedence is decided
-    per symbol (stated deviation).  Symbol sets are bounded by the universe,
-    so the primary's symbol list is broadcast after its size check.
+    per symbol (stated deviation).  The anti join against the primary's
+    distinct symbols is left to the planner and AQE (broadcast only when
+    measured small).
     """
-    have = broadcast_if_bounded(primary.select(normalize_symbol(symbol).alias("__s")).distinct())
+    have = primary.select(normalize_symbol(symbol).alias("__s")).distinct()
     extra = fallback.join(have, normalize_symbol(F.col(symbol)) == F.col("__s"), "left_anti")
     return primary.unionByName(extra, allowMissingColumns=True)
 

@@ -99,6 +99,21 @@ def read_raw(spark: SparkSession, root: str, table: str, schema: T.StructType |
     return df.where(partition_filter) if partition_filter is not None else df
 
 
+def spread_narrow_scan(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
+    """Hash-spread a scan that has fewer partitions than the cluster has
+    cores (e.g. one unsplittable row group per file), so the per-row work
+    before the first shuffle runs in parallel.  A wide scan (the normal
+    case on a large table) is returned untouched: no extra shuffle.  A scan
+    of a single split (a few MB) is also left alone: too small for an extra
+    shuffle to pay off."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
+        return df
+    return df.repartition(target, *keys) if 1 < n < target else df
+
+
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """S-2: the sector seed CSV (header row, explicit schema)."""
     return spark.read.schema(SEED_SCHEMA).option("header", True).csv(path)

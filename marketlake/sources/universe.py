@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.functions.columns import normalize_symbol
-from marketlake.operators.joins import broadcast_if_bounded
 
 # The default universe, 50 symbols in 11 sectors (also the
 # content of the default sector seed).
@@ -49,11 +48,12 @@ def filter_universe(df: DataFrame, symbols: str | Iterable[str] | None = None, s
                     col: str = "symbol") -> DataFrame:
     """Keep rows whose normalised symbol is in the universe.
 
-    With ``seed`` the universe is the seed's symbols (broadcast semi join after
-    a size check); otherwise the (override or default) list, as ``isin``.
+    With ``seed`` the universe is the seed's symbols (semi join; broadcast by
+    the planner only under its size threshold); otherwise the (override or
+    default) list, as ``isin``.
     """
     sym = normalize_symbol(col)
     if seed is not None:
-        keys = broadcast_if_bounded(seed.select(normalize_symbol("symbol").alias("__u")).distinct())
+        keys = seed.select(normalize_symbol("symbol").alias("__u")).distinct()
         return df.join(keys, sym == F.col("__u"), "left_semi")
     return df.where(sym.isin([s.upper() for s in parse_symbol_list(symbols)]))
