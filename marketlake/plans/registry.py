@@ -521,7 +521,7 @@ from marketlake.sources.universe import filter_universe  # noqa: E402
 
 def loaded_at():
     """Load stamp of the landed payloads (a fixed UTC wall-clock time)."""
-    return F.to_timestamp_ntz(F.lit(fx.FIXED_loaded_at()))
+    return F.to_timestamp_ntz(F.lit(fx.FIXED_LOADED_AT))
 CANDLE_DOUBLES = ("open", "high", "low", "close", "volume")
 
 
