@@ -1,9 +1,10 @@
 """Incremental loads: strict watermark, keyed upsert, full refresh (I-1..I-3).
 
 Plain Parquet has no MERGE, so an upsert rewrites only the partitions the
-new rows touch: the merged partitions are first written to a staging path
-(never overwrite a path the same plan reads), then swapped in with dynamic
-partition overwrite.
+new rows touch, with dynamic partition overwrite: Spark writes the merged
+partitions to a staging folder and swaps each one in at job commit, so the
+job may read the partitions it replaces (a static overwrite of a path the
+plan reads is refused).  A failed job leaves the target untouched.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketlake.operators.layout import clustered
 from marketlake.session import scratch_path
 
 FIRST_WATERMARK = dt.date(1900, 1, 1)
@@ -39,9 +41,20 @@ def watermark_filter(updates: DataFrame, target: DataFrame | None, col: str = "d
     return updates.where(F.col(col) > F.lit(wm).cast("date"))
 
 
-def full_refresh(df: DataFrame, path: str, partition_col: str) -> None:
+def _write(df: DataFrame, path: str, partition_col: str, cluster_col: str | None, dynamic: bool) -> None:
+    # Rows of a partition value go to a few tasks (salted by the cluster
+    # key), so a partition is a few files, not one file per upstream task.
+    if cluster_col:
+        df = clustered(df, partition_col, [cluster_col])
+    w = df.write.mode("overwrite").partitionBy(partition_col)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.parquet(path)
+
+
+def full_refresh(df: DataFrame, path: str, partition_col: str, cluster_col: str | None = "symbol") -> None:
     """I-3: rebuild the table from scratch (static overwrite)."""
-    df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+    _write(df, path, partition_col, cluster_col if cluster_col in df.columns else None, dynamic=False)
 
 
 def _touched_values(updates: DataFrame, partition_col: str) -> list:
@@ -56,13 +69,15 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
 
     Rows of touched partitions whose key is not updated are kept; every
     update row replaces or adds its key.  Untouched partitions are not read
-    or rewritten.
+    or rewritten.  The update batch is written once to the shared checkpoint
+    folder first: it is used twice (touched partitions, merge) and this cuts
+    its lineage, so a lost executor never recomputes the upstream plan.
     """
     keys = list(keys)
     # The partition column must be a function of the key (e.g. the key's
     # date or its month) so a key never moves between partitions.
     staged = scratch_path(spark, "upsert-stage")
-    updates.write.mode("overwrite").partitionBy(partition_col).parquet(staged)
+    _write(updates, staged, partition_col, keys[0], dynamic=False)
     upd = spark.read.schema(schema).parquet(staged)
     touched = _touched_values(upd, partition_col)
     if not touched:
@@ -75,11 +90,7 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     if current is not None:
         kept = current.join(upd.select(*keys), keys, "left_anti")
         merged = kept.unionByName(upd)
-    merged_path = scratch_path(spark, "upsert-merged")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(merged_path)
-    (spark.read.schema(schema).parquet(merged_path)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(target_path))
+    _write(merged, target_path, partition_col, keys[0], dynamic=True)
 
 
 def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame, keys: Sequence[str],
