@@ -94,8 +94,11 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
 
 
 def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame, keys: Sequence[str],
-                        partition_col: str, schema) -> None:
-    """Watermark filter then keyed upsert: one incremental model run."""
+                        partition_col: str, schema, watermark_col: str | None = None) -> None:
+    """Watermark filter then keyed upsert: one incremental model run.
+
+    ``watermark_col`` defaults to the partition column (day-partitioned
+    facts); month-partitioned facts keep the watermark on ``date_key``."""
     try:
         target = spark.read.schema(schema).parquet(target_path)
         target.limit(1).count()
@@ -104,4 +107,5 @@ def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame,
     if target is None:
         full_refresh(fresh, target_path, partition_col)
         return
-    keyed_upsert(spark, target_path, watermark_filter(fresh, target, partition_col), keys, partition_col, schema)
+    wm_col = watermark_col or partition_col
+    keyed_upsert(spark, target_path, watermark_filter(fresh, target, wm_col), keys, partition_col, schema)

@@ -354,3 +354,37 @@ select symbol, replace(symbol, '.', '-') as provider_ticker, "Date" as trading_d
   coalesce("Close", 0.0) as close, cast(trunc(coalesce("Volume", 0.0)) as bigint) as volume,
   {LOADED} as _loaded_at
 from fx_fallback_bars"""
+
+
+def suite_sql(tests, accepted: str, extra_models: dict[str, str]) -> tuple[str, dict[str, str]]:
+    """One count query per declared test, unioned (failures per test)."""
+    parts = []
+    for model, test, cols, arg in tests:
+        name = ",".join(cols) if isinstance(cols, tuple) else cols
+        head = f"select '{model}' as model, '{test}' as test, '{name}' as column_name, "
+        if test == "not_null":
+            q = f"count(*) from {model} where {cols} is null"
+        elif test == "accepted_values":
+            q = f"count(distinct {cols}) from {model} where {cols} is not null and {cols} not in ({accepted})"
+        elif test == "between":
+            q = f"count(*) from {model} where not ({cols} between {arg[0]} and {arg[1]})"
+        elif test == "assert_positive_volume":
+            q = f"count(*) from {model} where {cols} <= 0"
+        elif test == "assert_valid_return_range":
+            q = f"count(*) from {model} where abs({cols}) > 0.5"
+        elif test == "unique":
+            q = (f"count(*) from (select {cols} from {model} where {cols} is not null "
+                 f"group by {cols} having count(*) > 1) d")
+        elif test == "unique_combination":
+            keys = ", ".join(cols)
+            q = f"count(*) from (select {keys} from {model} group by {keys} having count(*) > 1) d"
+        elif test == "relationships":
+            pm, pc = arg
+            q = (f"count(*) from {model} c where c.{cols} is not null and not exists "
+                 f"(select 1 from {pm} p where p.{pc} = c.{cols})")
+        else:
+            raise ValueError(test)
+        parts.append(head + f"cast((select {q}) as bigint) as failures")
+    body = ("select *, case when failures = 0 then 'pass' else 'fail' end as status from ("
+            + " union all ".join(parts) + ") s")
+    return body, extra_models

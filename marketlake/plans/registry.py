@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from marketlake.operators import marts, metrics, staging, timeseries
 from marketlake.plans import fixtures as fx
 from marketlake.plans import oracle as O
-from marketlake.plans.pipeline import build_price_star
+from marketlake.plans.build import build_price_star
 from marketlake.session import ensure_conf
 
 # Injected clocks (the reference reads current_date()).
@@ -853,3 +853,33 @@ def q_stream_price_refresh(spark, sf_dir):
         q = start_price_refresh(spark, root, raw.schema, s.dim_companies, target, ckpt, tiebreak=["event_id"])
         q.awaitTermination()
     return LAY.read_partitioned(spark, target, s.fct_daily_prices.schema)
+
+
+# --- whole warehouse run ---------------------------------------------------------------------
+from marketlake.operators.suite import DECLARED_TESTS  # noqa: E402
+from marketlake.plans.build import build_warehouse, run_warehouse_tests  # noqa: E402
+
+WAREHOUSE_RUN = dt.date(2024, 1, 31)
+_SUITE_SQL, _SUITE_EXTRA = O.suite_sql(DECLARED_TESTS, O.ACCEPTED, {})
+
+
+@register("warehouse_build", O.build(_SUITE_SQL, extra={"date_bounds": O.date_bounds_sql(AS_OF_S),
+                                                        "sector_volatility": O.sector_volatility_sql(AS_OF_S)}))
+def q_warehouse_build(spark, sf_dir):
+    """Land raw candles/profiles/financials/news and the seed, run the whole
+    warehouse build (incremental facts, rebuilt dimensions and metrics, SCD2
+    snapshot) and return the summary of all declared data tests."""
+    root = scratch_path(spark, "warehouse-raw")
+    out = scratch_path(spark, "warehouse")
+    seed_path = f"{root}/seed"
+    fx.fx_sector_map(spark, sf_dir).write.mode("overwrite").option("header", True).csv(seed_path)
+    c, p, f, n = (fx.fx_candles(spark, sf_dir), fx.fx_profiles(spark, sf_dir), fx.fx_financials(spark, sf_dir),
+                  fx.fx_news(spark, sf_dir))
+    WR.write_raw_partitioned(c, root, "candles")
+    WR.write_raw_period(p, root, "company_profiles", WAREHOUSE_RUN, "month")
+    WR.write_raw_period(f, root, "company_financials", WAREHOUSE_RUN, "month")
+    WR.write_raw_period(n, root, "company_news", WAREHOUSE_RUN, "week")
+    schemas = {"candles": c.schema, "company_profiles": p.schema, "company_financials": f.schema,
+               "company_news": n.schema}
+    models = build_warehouse(spark, root, seed_path, out, AS_OF, dt.datetime(2024, 2, 1), schemas)
+    return run_warehouse_tests(models)

@@ -84,3 +84,20 @@ def test_freshness_levels(spark):
         assert r.status == status and abs(r.age_hours - hours) < 1e-9
     empty = spark.createDataFrame([], "_loaded_at timestamp_ntz")
     assert Q.source_freshness(empty, dt.datetime(2024, 1, 1)).first().status == "error"
+
+
+def test_quality_suite_counts(spark):
+    from marketlake.operators.suite import run_quality_suite
+    comp = spark.createDataFrame([("A", "Technology"), ("B", "Nope"), ("B", "Nope")], "symbol string, sector string")
+    fact = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.0, 1, 0.1), ("C", dt.date(2024, 1, 1), -1.0, 0, 0.9)],
+                                 "symbol string, date_key date, close double, volume long, daily_return double")
+    out = {(r.model, r.test, r.column_name): (r.failures, r.status)
+           for r in run_quality_suite({"dim_companies": comp, "fct_daily_prices": fact}).collect()}
+    assert out[("dim_companies", "unique", "symbol")] == (1, "fail")
+    assert out[("dim_companies", "accepted_values", "sector")] == (1, "fail")
+    assert out[("dim_companies", "not_null", "symbol")] == (0, "pass")
+    assert out[("fct_daily_prices", "relationships", "symbol")] == (1, "fail")
+    assert out[("fct_daily_prices", "between", "close")] == (1, "fail")
+    assert out[("fct_daily_prices", "assert_positive_volume", "volume")] == (1, "fail")
+    assert out[("fct_daily_prices", "assert_valid_return_range", "daily_return")] == (1, "fail")
+    assert ("fct_daily_prices", "relationships", "date_key") not in out  # dim_dates not given
