@@ -711,7 +711,7 @@ def written_fact(spark, sf_dir):
 def written_news(spark, sf_dir):
     news = marts.fct_company_news(stg_news(spark, sf_dir))
     path = scratch_path(spark, "fct_company_news")
-    LAY.write_partitioned(news, path, "date_key", cluster_cols=["symbol", "source"])
+    LAY.write_partitioned(news, path, "date_key", cluster_cols=["symbol", "source"], spread_cols=["news_id"])
     return LAY.read_partitioned(spark, path, news.schema)
 
 

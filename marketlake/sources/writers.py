@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-FILES_PER_DAY = 4
-
-
 def _pad2(c):
     return F.lpad(c.cast("string"), 2, "0")
 
@@ -18,16 +15,18 @@ def _pad2(c):
 def write_raw_partitioned(df: DataFrame, root: str, table: str = "candles", date_col: str = "trading_date") -> None:
     """S-12: split by trading day into ``year=/month=/day=`` directories
     (month and day zero-padded).  Dynamic partition overwrite: re-writing a
-    day replaces that day only; an empty frame writes nothing."""
+    day replaces that day only; an empty frame writes nothing.
+
+    No shuffle before the write: each input task writes its own rows, so
+    writer tasks are as even as the input splits whatever the key
+    distribution (a day or a group of duplicate loads holding a third of the
+    rows still spreads over every task that read it).
+    """
     d = F.col(date_col)
     out = (df.withColumn("year", F.year(d).cast("string"))
              .withColumn("month", _pad2(F.month(d)))
              .withColumn("day", _pad2(F.dayofmonth(d))))
-    # Salt by symbol hash: a heavy day is written by several tasks, while all
-    # rows of one symbol and day stay in one file.
-    salt = F.pmod(F.xxhash64(F.col("symbol")), F.lit(FILES_PER_DAY))
-    (out.repartition(F.col("year"), F.col("month"), F.col("day"), salt)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day").parquet(f"{root}/{table}"))
 
 
