@@ -71,11 +71,13 @@ def dcols(*names: str) -> tuple[str, ...]:
 
 
 # --- shared builders --------------------------------------------------------
+@fx.session_cached
 def star(spark, sf_dir):
     return build_price_star(fx.fx_candles(spark, sf_dir), fx.fx_sector_map(spark, sf_dir),
                             fx.fx_profiles(spark, sf_dir))
 
 
+@fx.session_cached
 def stg(spark, sf_dir):
     return staging.stg_candles(fx.fx_candles(spark, sf_dir), tiebreak=["event_id"])
 
@@ -231,14 +233,17 @@ FIN_DOUBLES = ("pe_ratio", "pb_ratio", "eps_ttm", "dividend_yield", "beta", "wee
                "market_cap")
 
 
+@fx.session_cached
 def stg_fin(spark, sf_dir):
     return staging.stg_company_financials(fx.fx_financials(spark, sf_dir), tiebreak=["event_id"])
 
 
+@fx.session_cached
 def stg_news(spark, sf_dir):
     return staging.stg_company_news(fx.fx_news(spark, sf_dir), tiebreak=["event_id"])
 
 
+@fx.session_cached
 def stg_profiles(spark, sf_dir):
     return staging.stg_company_profiles(fx.fx_profiles(spark, sf_dir), fx.fx_sector_map(spark, sf_dir))
 
@@ -335,6 +340,7 @@ AS_OF_LONG = dt.date(1998, 6, 30)
 AS_OF_LONG_S = AS_OF_LONG.isoformat()
 
 
+@fx.session_cached
 def star_scale(spark, sf_dir):
     """Multi-year star over lineitem-derived candles (one symbol per supplier)."""
     return build_price_star(fx.fx_candles_scale(spark, sf_dir), fx.fx_sector_map_scale(spark, sf_dir),
