@@ -53,5 +53,19 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols
 
 
 def read_partitioned(spark, path: str, schema) -> DataFrame:
-    """Read a partitioned fact back with its declared schema."""
-    return spark.read.schema(schema).parquet(path)
+    """Read a partitioned fact back with its declared schema, in the
+    declared column order (Spark appends partition columns last)."""
+    return spark.read.schema(schema).parquet(path).select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+
+
+def date_range_filter(start, end, date_col: str = "date_key", month_col: str | None = None) -> F.Column:
+    """Predicate for a date range on a day- or month-partitioned table.
+
+    Month-partitioned tables prune only on the derived month column, so the
+    equivalent month predicate is added next to the date predicate.
+    """
+    s, e = F.lit(start).cast("date"), F.lit(end).cast("date")
+    cond = F.col(date_col).between(s, e)
+    if month_col:
+        cond = cond & F.col(month_col).between(F.trunc(s, "month"), F.trunc(e, "month"))
+    return cond

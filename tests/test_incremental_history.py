@@ -57,6 +57,11 @@ def test_month_partition_write_prunes(spark):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_month" in plan
     assert rows(back, "date_key") == [(d(40),)]
+    # a plain date-range read adds the month predicate and so prunes too
+    ranged = spark.read.schema(df.schema).parquet(path).where(
+        LAY.date_range_filter(d(35), d(45), month_col="date_month"))
+    assert "PartitionFilters: [isnotnull(date_month" in ranged._jdf.queryExecution().executedPlan().toString()
+    assert rows(ranged, "date_key") == [(d(40),)]
 
 
 PROF = "symbol string, name string, cap double, _loaded_at timestamp_ntz"
