@@ -19,6 +19,23 @@ REQUIRED_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB, ~1000 executors).  Not
+# applied automatically: pass them to the session builder or spark-submit.
+# Many shuffle partitions + AQE coalescing keeps every reducer near the
+# advisory size whatever the input volume; skew-join splitting handles hot
+# join keys; dimensions (companies, dates, trading days) stay well under the
+# broadcast threshold while facts never reach it.
+CLUSTER_CONF = {
+    **REQUIRED_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "marketlake") -> SparkSession:
     """Local session for tests and benchmarks (UI off, UTC, AQE on)."""
     builder = (
