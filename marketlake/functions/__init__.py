@@ -4,6 +4,7 @@ from marketlake.functions.columns import (  # noqa: F401
     canonical_share_class,
     cents_to_dollars,
     col_or_null,
+    date_to_epoch_seconds,
     epoch_seconds_to_date,
     epoch_seconds_to_ts,
     normalize_symbol,

@@ -57,6 +57,11 @@ def epoch_seconds_to_date(c: Column | str) -> Column:
     return F.date_from_unix_date(F.floor(_c(c).cast("double") / F.lit(86400)).cast("int"))
 
 
+def date_to_epoch_seconds(c: Column | str) -> Column:
+    """Calendar date -> epoch seconds of its UTC midnight (request bounds)."""
+    return F.unix_date(_c(c).cast("date")).cast("long") * F.lit(86400)
+
+
 def epoch_seconds_to_ts(c: Column | str) -> Column:
     """Epoch seconds -> UTC instant (``TimestampType``); NULL stays NULL."""
     return F.timestamp_seconds(_c(c).cast("long"))

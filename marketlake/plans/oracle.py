@@ -356,7 +356,7 @@ select symbol, replace(symbol, '.', '-') as provider_ticker, "Date" as trading_d
 from fx_fallback_bars"""
 
 
-def suite_sql(tests, accepted: str, extra_models: dict[str, str]) -> tuple[str, dict[str, str]]:
+def suite_sql(tests, accepted: str) -> str:
     """One count query per declared test, unioned (failures per test)."""
     parts = []
     for model, test, cols, arg in tests:
@@ -387,4 +387,4 @@ def suite_sql(tests, accepted: str, extra_models: dict[str, str]) -> tuple[str,
         parts.append(head + f"cast((select {q}) as bigint) as failures")
     body = ("select *, case when failures = 0 then 'pass' else 'fail' end as status from ("
             + " union all ".join(parts) + ") s")
-    return body, extra_models
+    return body

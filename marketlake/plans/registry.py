@@ -66,10 +66,6 @@ def register(key: str, sql: str | None, exact=()):
     return deco
 
 
-def dcols(*names: str) -> tuple[str, ...]:
-    return names
-
-
 # --- shared builders --------------------------------------------------------
 @fx.session_cached
 def star(spark, sf_dir):
@@ -866,7 +862,7 @@ from marketlake.operators.suite import DECLARED_TESTS  # noqa: E402
 from marketlake.plans.build import build_warehouse, run_warehouse_tests  # noqa: E402
 
 WAREHOUSE_RUN = dt.date(2024, 1, 31)
-_SUITE_SQL, _SUITE_EXTRA = O.suite_sql(DECLARED_TESTS, O.ACCEPTED, {})
+_SUITE_SQL = O.suite_sql(DECLARED_TESTS, O.ACCEPTED)
 
 
 @register("warehouse_build", O.build(_SUITE_SQL, extra={"date_bounds": O.date_bounds_sql(AS_OF_S),

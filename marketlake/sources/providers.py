@@ -32,15 +32,30 @@ def normalize_fallback_candles(bars: DataFrame, loaded_at) -> DataFrame:
     )
 
 
-def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "symbol") -> DataFrame:
+# Accepted provider modes (primary first, fallback second).
+PROVIDER_MODES = ("auto", "finnhub", "yfinance")
+
+
+def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "symbol",
+                      mode: str = "auto") -> DataFrame:
     """S-9: primary rows, plus fallback rows for symbols the primary lacks.
 
+    ``mode``: ``finnhub`` = primary only, ``yfinance`` = fallback only,
+    ``auto`` = primary first, fallback for the symbols it lacks.
+
     The reference switches provider for the denied symbol and every later
     one in a sequential loop; as a set operation the precedence is decided
     per symbol (stated deviation).  The anti join against the primary's
     distinct symbols is left to the planner and AQE (broadcast only when
     measured small).
     """
+    mode = mode.strip().lower()
+    if mode not in PROVIDER_MODES:
+        raise ValueError(f"provider mode must be one of {PROVIDER_MODES}")
+    if mode == "finnhub":
+        return primary
+    if mode == "yfinance":
+        return fallback
     have = primary.select(normalize_symbol(symbol).alias("__s")).distinct()
     extra = fallback.join(have, normalize_symbol(F.col(symbol)) == F.col("__s"), "left_anti")
     return primary.unionByName(extra, allowMissingColumns=True)

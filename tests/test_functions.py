@@ -52,3 +52,11 @@ def test_surrogate_key_null_safe(spark):
     keys = [r[0] for r in df.select(surrogate_key("a", "b")).collect()]
     assert len(set(keys)) == 3 and all(k is not None for k in keys)
     assert df.select(surrogate_key(F.lit("x"))).first()[0] == df.select(F.md5(F.lit("x"))).first()[0]
+
+
+def test_date_to_epoch_roundtrip(spark):
+    from marketlake.functions import date_to_epoch_seconds
+    df = spark.createDataFrame([(dt.date(2024, 3, 1),)], "d date")
+    t = df.select(date_to_epoch_seconds("d").alias("t")).first().t
+    assert t == int(dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc).timestamp())
+    assert df.select(epoch_seconds_to_date(date_to_epoch_seconds("d"))).first()[0] == dt.date(2024, 3, 1)
