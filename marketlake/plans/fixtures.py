@@ -27,13 +27,17 @@ SPREAD_KEYS = {
 _READS: dict[tuple[int, str], DataFrame] = {}
 
 
+def _session_key(spark: SparkSession) -> int:
+    return id(getattr(spark, "_jsparkSession", spark))
+
+
 def session_cached(fn):
     """Define a view once per (session, data folder): DataFrames are
     immutable plans, so every query of the session can share the object."""
     cache: dict[tuple, DataFrame] = {}
 
     def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (id(spark._jsparkSession), sf_dir, *args)
+        key = (_session_key(spark), sf_dir, *args)
         if key not in cache:
             cache[key] = fn(spark, sf_dir, *args)
         return cache[key]
@@ -46,7 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, read once per session (schema inference runs a job;
     the immutable DataFrame is shared by every view that needs it)."""
     path = sf_path(sf_dir, name)
-    key = (id(spark._jsparkSession), path)
+    key = (_session_key(spark), path)
     if key not in _READS:
         df = spark.read.parquet(path)
         if name in SPREAD_KEYS:
