@@ -78,6 +78,25 @@ SCHEMAS = {
 SEED_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("sector", T.StringType())])
 
 
+def conform_numeric(df: DataFrame, table: str) -> DataFrame:
+    """Cast numeric columns to the declared raw type before landing.
+
+    A batch may carry an integer ``volume`` or ``market_cap`` where another
+    batch has fractions; Parquet readers refuse to read INT64 files as
+    DOUBLE, so every landed file must already use the declared type.
+    """
+    declared = {f.name: f.dataType for f in SCHEMAS.get(table, T.StructType([])).fields}
+    cols = []
+    for f in df.schema.fields:
+        target = declared.get(f.name)
+        if (isinstance(target, T.DoubleType) and isinstance(f.dataType, T.NumericType)
+                and not isinstance(f.dataType, T.DoubleType)):
+            cols.append(F.col(f"`{f.name}`").cast("double").alias(f.name))
+        else:
+            cols.append(F.col(f"`{f.name}`"))
+    return df.select(*cols)
+
+
 def with_partition_fields(schema: T.StructType, table: str) -> T.StructType:
     fields = list(schema.fields) + [T.StructField(p, T.IntegerType()) for p in PARTITIONS[table]]
     return T.StructType(fields)

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.sources.raw import conform_numeric
+
 
 def _pad2(c):
     return F.lpad(c.cast("string"), 2, "0")
@@ -23,7 +25,7 @@ def write_raw_partitioned(df: DataFrame, root: str, table: str = "candles", date
     rows still spreads over every task that read it).
     """
     d = F.col(date_col)
-    out = (df.withColumn("year", F.year(d).cast("string"))
+    out = (conform_numeric(df, table).withColumn("year", F.year(d).cast("string"))
              .withColumn("month", _pad2(F.month(d)))
              .withColumn("day", _pad2(F.dayofmonth(d))))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -47,7 +49,7 @@ def period_values(run_date: dt.date, period: str) -> dict[str, str]:
 def write_raw_period(df: DataFrame, root: str, table: str, run_date: dt.date, period: str) -> None:
     """S-13: one object per run period; re-running the period overwrites it."""
     vals = period_values(run_date, period)
-    out = df
+    out = conform_numeric(df, table)
     for k, v in vals.items():
         out = out.withColumn(k, F.lit(v))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

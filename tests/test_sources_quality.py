@@ -101,3 +101,15 @@ def test_quality_suite_counts(spark):
     assert out[("fct_daily_prices", "assert_positive_volume", "volume")] == (1, "fail")
     assert out[("fct_daily_prices", "assert_valid_return_range", "daily_return")] == (1, "fail")
     assert ("fct_daily_prices", "relationships", "date_key") not in out  # dim_dates not given
+
+
+def test_landing_conforms_numeric_drift(spark):
+    root = scratch_path(spark, "t-drift")
+    ints = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 10, T)],
+                                 "symbol string, trading_date date, open double, high double, low double, "
+                                 "close double, volume long, _loaded_at timestamp_ntz")
+    dbls = spark.createDataFrame([("B", dt.date(2024, 1, 2), 1.0, 1.0, 1.0, 1.0, 2.5, T)], CANDLE)
+    WR.write_raw_partitioned(ints, root)
+    WR.write_raw_partitioned(dbls, root)
+    back = RAW.read_raw(spark, root, "candles", schema=dbls.schema)
+    assert rows(back, "symbol", "volume") == [("A", 10.0), ("B", 2.5)]
