@@ -17,6 +17,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from marketlake.operators import metrics  # noqa: E402
+from marketlake.plans import fixtures as fx  # noqa: E402
+from marketlake.plans.build import build_price_star  # noqa: E402
 from marketlake.plans import registry as R  # noqa: E402
 from marketlake.session import local_session  # noqa: E402
 
@@ -32,8 +34,13 @@ def scale_queries():
     def fact(spark, sf):
         return R.star_scale(spark, sf).fct_daily_prices
 
+    def hot_fact(spark, sf):
+        return build_price_star(fx.fx_candles_hot(spark, sf), fx.fx_sector_map_scale(spark, sf),
+                                fx.fx_profiles(spark, sf)).fct_daily_prices
+
     return {
         "fct_daily_prices_scale": fact,
+        "fct_daily_prices_hot_key": hot_fact,
         "sector_performance_scale": lambda s, sf: metrics.sector_performance(fact(s, sf)),
         "sector_volatility_scale": lambda s, sf: metrics.sector_volatility(fact(s, sf), R.AS_OF_LONG),
         "monthly_top_worst_scale": lambda s, sf: metrics.monthly_top_worst_sector(fact(s, sf)),

@@ -326,3 +326,12 @@ def fx_fallback_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(err, F.lit(None).cast("double")).otherwise(F.col("value")).alias("Close"),
         F.when(err, F.lit(None).cast("double")).otherwise(_k().cast("double") * 0.5).alias("Volume"),
     )
+
+
+@session_cached
+def fx_candles_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``fx_candles_scale`` where a third of all rows are loads of one symbol
+    (skew check: dedup must pre-aggregate the hot key map-side)."""
+    c = fx_candles_scale(spark, sf_dir)
+    hot = (F.col("event_id") % 3) == 0
+    return c.withColumn("symbol", F.when(hot, F.lit("HOT")).otherwise(F.col("symbol")))
