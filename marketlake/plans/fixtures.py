@@ -194,7 +194,9 @@ def fx_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         "event_id",
         sym(F.col("user_id"), ".").alias("symbol"),
-        F.date_trunc("hour", "ts").alias("datetime"),
+        # hour truncation kept zone-free (date_trunc would return a zoned timestamp)
+        F.make_timestamp_ntz(F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"), F.lit(0),
+                             F.lit(0)).alias("datetime"),
         F.col("event_type").alias("headline"),
         F.concat(F.lit("S"), (F.col("event_id") % 7).cast("string")).alias("summary"),
         F.concat(F.lit("src"), (F.col("event_id") % 5).cast("string")).alias("source"),
