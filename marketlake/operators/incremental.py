@@ -22,8 +22,9 @@ FIRST_WATERMARK = dt.date(1900, 1, 1)
 
 
 def target_watermark(target: DataFrame | None, col: str = "date_key") -> dt.date:
-    """``coalesce(max(target.col), 1900-01-01)``; on a partitioned table the
-    max of the partition column is answered from file listing metadata."""
+    """``coalesce(max(target.col), 1900-01-01)``, one scalar.  On a table
+    partitioned by ``col`` the scan reads no data columns (ReadSchema is
+    empty): only per-file row counts and the partition values."""
     if target is None:
         return FIRST_WATERMARK
     v = target.agg(F.max(col)).first()[0]
