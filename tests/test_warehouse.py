@@ -42,3 +42,31 @@ def test_two_incremental_runs_equal_one_full_build(spark):
     snap = inc["snap_company_profiles"]
     assert snap.where("is_current").groupBy("symbol").count().where("count > 1").count() == 0
     assert snap.count() == full["snap_company_profiles"].count()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_cli_build_and_freshness(spark, capsys):
+    from marketlake.__main__ import main
+    from marketlake.sources.raw import RAW_CANDLES, RAW_FINANCIALS, RAW_PROFILES
+
+    def declared(df, schema):
+        cols = []
+        for fld in schema.fields:
+            cols.append((F.col(f"`{fld.name}`") if fld.name in df.columns else F.lit(None))
+                        .cast(fld.dataType).alias(fld.name))
+        return df.select(*cols)
+
+    root, out = scratch_path(spark, "t-cli-raw"), scratch_path(spark, "t-cli-out")
+    seed = scratch_path(spark, "t-cli-seed")
+    fx.fx_sector_map(spark, SF).write.option("header", True).csv(seed)
+    WR.write_raw_partitioned(declared(fx.fx_candles(spark, SF), RAW_CANDLES), root, "candles")
+    WR.write_raw_period(declared(fx.fx_profiles(spark, SF), RAW_PROFILES), root, "company_profiles",
+                        dt.date(2024, 1, 31), "month")
+    WR.write_raw_period(declared(fx.fx_financials(spark, SF), RAW_FINANCIALS), root, "company_financials",
+                        dt.date(2024, 1, 31), "month")
+    code = main(["build", "--raw", root, "--seed", seed, "--out", out, "--as-of", "2025-01-15", "--no-news",
+                 "--warn-only"])
+    text = capsys.readouterr().out
+    assert code == 0 and "passed" in text and "FAIL dim_companies.accepted_values(sector)" in text
+    assert main(["freshness", "--raw", root, "--as-of-ts", "2024-02-01 00:00:00"]) == 0
+    assert "status=pass" in capsys.readouterr().out
