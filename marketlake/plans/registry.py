@@ -840,19 +840,21 @@ STREAM_CUT = dt.date(2024, 1, 15)
 def q_stream_price_refresh(spark, sf_dir):
     """Incremental fact via a file-source stream: raw candles land in two
     waves (days up to the cut, then the rest); each availableNow run
-    refreshes the day-partitioned fact.  Without late data the result equals
-    one full build."""
+    refreshes the day-partitioned fact, the second one from the per-symbol
+    state (new files + 19 rows per symbol).  Equals one full build."""
     from marketlake.streaming import start_price_refresh
 
     raw = fx.fx_candles(spark, sf_dir)
     root = scratch_path(spark, "stream-raw")
     target = scratch_path(spark, "stream-fact")
     ckpt = scratch_path(spark, "stream-ckpt")
+    state = scratch_path(spark, "stream-state")
     s = star(spark, sf_dir)
     for wave in (raw.where(F.col("trading_date") <= F.lit(STREAM_CUT)),
                  raw.where(F.col("trading_date") > F.lit(STREAM_CUT))):
         WR.write_raw_partitioned(wave, root, "candles")
-        q = start_price_refresh(spark, root, raw.schema, s.dim_companies, target, ckpt, tiebreak=["event_id"])
+        q = start_price_refresh(spark, root, raw.schema, s.dim_companies, target, ckpt, tiebreak=["event_id"],
+                                state_path=state)
         q.awaitTermination()
     return LAY.read_partitioned(spark, target, s.fct_daily_prices.schema)
 

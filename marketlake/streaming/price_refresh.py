@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from marketlake.functions.columns import normalize_symbol
-from marketlake.operators import incremental, marts, staging
+from marketlake.operators import incremental, marts, price_state, staging
 from marketlake.session import scratch_path
 from marketlake.sources.raw import read_raw, with_partition_fields
 
@@ -36,16 +36,26 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, raw_root: str, raw_sche
 
 def start_price_refresh(spark: SparkSession, raw_root: str, raw_schema: T.StructType, companies: DataFrame,
                         target_path: str, checkpoint: str | None = None, available_now: bool = True,
-                        tiebreak: Sequence[str] = ()) -> StreamingQuery:
+                        tiebreak: Sequence[str] = (), state_path: str | None = None) -> StreamingQuery:
     """Start the stream; ``checkpoint`` defaults to a fresh folder under the
     session's shared ``spark.checkpoint.dir`` (progress survives restarts
-    and lost executors; the upsert is idempotent per batch)."""
+    and lost executors; the upsert is idempotent per batch).
+
+    With ``state_path`` each batch uses the per-symbol state
+    (``operators.price_state``): it reads only the new files plus 19 rows per
+    symbol, falling back to a full recompute for restated symbols.  Without
+    it, touched symbols are recomputed from their whole history.
+    """
     full = with_partition_fields(raw_schema, "candles")
     source = (spark.readStream.schema(full).option("basePath", f"{raw_root}/candles")
               .parquet(f"{raw_root}/candles"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(spark, batch, raw_root, raw_schema, companies, target_path, tiebreak)
+        if state_path:
+            history = read_raw(spark, raw_root, "candles", schema=raw_schema)
+            price_state.refresh_prices(spark, batch, history, companies, target_path, state_path, tiebreak)
+        else:
+            refresh_batch(spark, batch, raw_root, raw_schema, companies, target_path, tiebreak)
 
     writer = (source.writeStream.foreachBatch(run)
               .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
