@@ -42,12 +42,11 @@ def watermark_filter(updates: DataFrame, target: DataFrame | None, col: str = "d
     return updates.where(F.col(col) > F.lit(wm).cast("date"))
 
 
-def _write(df: DataFrame, path: str, partition_col: str, cluster_col: str | None, dynamic: bool,
-           spread_cols: Sequence[str] | None = None) -> None:
-    # Rows of a partition value go to a few tasks (salted by a hash of the
-    # unique key), so a partition is a few files, not one per upstream task.
+def _write(df: DataFrame, path: str, partition_col: str, cluster_col: str | None, dynamic: bool) -> None:
+    # Rows of a partition value go to one task (AQE splits a skewed value),
+    # so a partition is one file, not one per upstream task.
     if cluster_col:
-        df = clustered(df, partition_col, [cluster_col], spread_cols=spread_cols)
+        df = clustered(df, partition_col, [cluster_col])
     w = df.write.mode("overwrite").partitionBy(partition_col)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -79,7 +78,7 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     # The partition column must be a function of the key (e.g. the key's
     # date or its month) so a key never moves between partitions.
     staged = scratch_path(spark, "upsert-stage")
-    _write(updates, staged, partition_col, keys[0], dynamic=False, spread_cols=keys)
+    _write(updates, staged, partition_col, keys[0], dynamic=False)
     upd = spark.read.schema(schema).parquet(staged)
     touched = _touched_values(upd, partition_col)
     if not touched:
@@ -92,7 +91,7 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     if current is not None:
         kept = current.join(upd.select(*keys), keys, "left_anti")
         merged = kept.unionByName(upd)
-    _write(merged, target_path, partition_col, keys[0], dynamic=True, spread_cols=keys)
+    _write(merged, target_path, partition_col, keys[0], dynamic=True)
 
 
 def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame, keys: Sequence[str],

@@ -12,40 +12,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Files per partition value: rows of one day are spread over this many
-# writer tasks by a hash of a spread key, so a heavy day never becomes one
-# straggler task.  Spread by a key that is unique within the partition (the
-# symbol for daily prices, the news id for news) so no group of rows can
-# pile up in one task.
-DEFAULT_FILES_PER_PARTITION = 4
-
-
 def month_partition(df: DataFrame, date_col: str = "date_key") -> DataFrame:
     """Month granularity: add ``date_month = trunc(date_key, 'MM')``."""
     return df.withColumn("date_month", F.trunc(F.col(date_col), "month"))
 
 
-def clustered(df: DataFrame, partition_col: str, cluster_cols: Sequence[str],
-              files_per_partition: int = DEFAULT_FILES_PER_PARTITION,
-              spread_cols: Sequence[str] | None = None) -> DataFrame:
-    """I-6: co-locate rows of a partition value, split by a hash of
-    ``spread_cols`` (default: the first cluster column), and sort by the
-    cluster columns within each task."""
-    spread = list(spread_cols or cluster_cols[:1])
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.lit(files_per_partition))
-    return (df.repartition(F.col(partition_col), bucket)
-            .sortWithinPartitions(partition_col, *cluster_cols))
+def clustered(df: DataFrame, partition_col: str, cluster_cols: Sequence[str]) -> DataFrame:
+    """I-6: co-locate the rows of each partition value and sort them by the
+    cluster columns within each task.
+
+    ``REBALANCE(partition_col)`` hash-partitions by the partition value and
+    lets AQE split a skewed value over several writer tasks and merge small
+    ones, so a heavy day is never one straggler task and a light day is one
+    file, not one file per upstream task.
+    """
+    return df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *cluster_cols)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str] = (),
-                      mode: str = "overwrite", dynamic: bool = False,
-                      spread_cols: Sequence[str] | None = None) -> None:
+                      mode: str = "overwrite", dynamic: bool = False) -> None:
     """I-5: write ``df`` partitioned by ``partition_col`` (optionally clustered).
 
     ``dynamic=True`` replaces only the partitions present in ``df``.
     """
     if cluster_cols:
-        df = clustered(df, partition_col, cluster_cols, spread_cols=spread_cols)
+        df = clustered(df, partition_col, cluster_cols)
     w = df.write.mode(mode).partitionBy(partition_col)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")

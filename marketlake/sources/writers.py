@@ -19,16 +19,17 @@ def write_raw_partitioned(df: DataFrame, root: str, table: str = "candles", date
     (month and day zero-padded).  Dynamic partition overwrite: re-writing a
     day replaces that day only; an empty frame writes nothing.
 
-    No shuffle before the write: each input task writes its own rows, so
-    writer tasks are as even as the input splits whatever the key
-    distribution (a day or a group of duplicate loads holding a third of the
-    rows still spreads over every task that read it).
+    ``REBALANCE(year, month, day)`` before the write: each light day becomes
+    one file (a backfill of years is one file per day, not one per day and
+    upstream task), while AQE splits a skewed day, or a group of duplicate
+    loads holding a third of the rows, over several writer tasks.
     """
     d = F.col(date_col)
     out = (conform_numeric(df, table).withColumn("year", F.year(d).cast("string"))
              .withColumn("month", _pad2(F.month(d)))
              .withColumn("day", _pad2(F.dayofmonth(d))))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.hint("rebalance", "year", "month", "day")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month", "day").parquet(f"{root}/{table}"))
 
 
