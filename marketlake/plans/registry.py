@@ -621,10 +621,10 @@ def q_normalize_fallback_candles(spark, sf_dir):
 
 
 @register("provider_fallback", O.build(
-    "select symbol, trading_date, open, high, low, close, volume, _loaded_at, 'finnhub' as provider "
+    "select symbol, trading_date, open, high, low, close, volume, _loaded_at, 'primary' as provider "
     "from flat_candles where user_id % 3 <> 0 union all "
     "select symbol, trading_date, open, high, low, close, cast(volume as double) as volume, _loaded_at, "
-    "'yfinance' as provider from fallback_candles where symbol not in "
+    "'fallback' as provider from fallback_candles where symbol not in "
     "(select distinct symbol from flat_candles where user_id % 3 <> 0)", round_cols=CANDLE_DOUBLES))
 def q_provider_fallback(spark, sf_dir):
     """S-9 primary provider first, fallback for symbols it lacks (a third
@@ -634,10 +634,10 @@ def q_provider_fallback(spark, sf_dir):
                                                       (F.col("user_id") % 3 != 0).alias("granted")).distinct()
     granted = pay.join(users.where("granted").select("symbol"), "symbol", "left_semi")
     primary, _ = PL.flatten_candles(granted, loaded_at())
-    primary = primary.withColumn("provider", F.lit("finnhub"))
+    primary = primary.withColumn("provider", F.lit("primary"))
     fallback = (PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), loaded_at())
                 .drop("provider_ticker").withColumn("volume", F.col("volume").cast("double"))
-                .withColumn("provider", F.lit("yfinance")))
+                .withColumn("provider", F.lit("fallback")))
     return PR.provider_fallback(primary, fallback)
 
 

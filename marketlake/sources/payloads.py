@@ -15,6 +15,9 @@ from marketlake.functions.columns import epoch_seconds_to_date, epoch_seconds_to
 
 _D, _S, _L = T.DoubleType(), T.StringType(), T.LongType()
 
+# Fixed values below: the JSON field names of the four API payloads (candle
+# arrays, profile object, news items, financial metrics), as the API sends them.
+
 CANDLE_PAYLOAD = T.StructType([
     T.StructField("s", _S),
     T.StructField("t", T.ArrayType(_L)),

@@ -33,14 +33,14 @@ def normalize_fallback_candles(bars: DataFrame, loaded_at) -> DataFrame:
 
 
 # Accepted provider modes (primary first, fallback second).
-PROVIDER_MODES = ("auto", "finnhub", "yfinance")
+PROVIDER_MODES = ("auto", "primary", "fallback")
 
 
 def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "symbol",
                       mode: str = "auto") -> DataFrame:
     """S-9: primary rows, plus fallback rows for symbols the primary lacks.
 
-    ``mode``: ``finnhub`` = primary only, ``yfinance`` = fallback only,
+    ``mode``: ``primary`` = primary only, ``fallback`` = fallback only,
     ``auto`` = primary first, fallback for the symbols it lacks.
 
     The reference switches provider for the denied symbol and every later
@@ -52,9 +52,9 @@ def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "sy
     mode = mode.strip().lower()
     if mode not in PROVIDER_MODES:
         raise ValueError(f"provider mode must be one of {PROVIDER_MODES}")
-    if mode == "finnhub":
+    if mode == "primary":
         return primary
-    if mode == "yfinance":
+    if mode == "fallback":
         return fallback
     have = primary.select(normalize_symbol(symbol).alias("__s")).distinct()
     extra = fallback.join(have, normalize_symbol(F.col(symbol)) == F.col("__s"), "left_anti")

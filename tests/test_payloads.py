@@ -71,7 +71,7 @@ def test_provider_modes(spark):
     import pytest
     prim = spark.createDataFrame([("A", 1)], "symbol string, v int")
     fall = spark.createDataFrame([("A", 2), ("B", 3)], "symbol string, v int")
-    assert rows(PR.provider_fallback(prim, fall, mode="finnhub"), "symbol", "v") == [("A", 1)]
-    assert rows(PR.provider_fallback(prim, fall, mode=" YFINANCE "), "symbol", "v") == [("A", 2), ("B", 3)]
+    assert rows(PR.provider_fallback(prim, fall, mode="primary"), "symbol", "v") == [("A", 1)]
+    assert rows(PR.provider_fallback(prim, fall, mode=" FALLBACK "), "symbol", "v") == [("A", 2), ("B", 3)]
     with pytest.raises(ValueError):
         PR.provider_fallback(prim, fall, mode="other")
