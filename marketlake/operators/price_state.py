@@ -95,9 +95,12 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame, raw_history: DataFra
                    target_path: str, state_path: str, tiebreak: Sequence[str] = ()) -> None:
     """One incremental run of the daily price fact from new raw loads.
 
-    ``raw_history`` is the whole raw table (read only for symbols that need
-    a full recompute).  Emits rows newer than the target's global strict
-    watermark, upserts them, and rewrites the per-symbol state.
+    ``new_raw`` holds the newly landed loads (they decide which symbols are
+    touched and which are restated); ``raw_history`` is the whole raw table,
+    read in full only for symbols that need a full recompute and otherwise
+    only for days after each symbol's state.  Emits rows newer than the
+    target's global strict watermark, upserts them, and rewrites the
+    per-symbol state.
     """
     try:
         old_state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
@@ -123,10 +126,22 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame, raw_history: DataFra
     tb = [c for c in tiebreak if c in raw_history.columns]
     hist = raw_history.join(full_syms, normalize_symbol(raw_history["symbol"]) == full_syms["symbol"], "left_semi")
     full_frame = feature_frame(_as_new(staging.stg_candles(hist, tiebreak=tb)))
-    new_stg = staging.stg_candles(new_raw, tiebreak=[c for c in tiebreak if c in new_raw.columns])
+    # Stateful symbols: stage every raw load dated after the symbol's state
+    # (not only the new files), so the newest load wins exactly as in a full
+    # recompute even if load clocks are out of order.  The literal bound
+    # lets Parquet row-group statistics skip old files; the semi join then
+    # applies each symbol's own bound.
+    inc_state = old_state.join(inc_syms, "symbol", "left_semi").select(
+        F.col("symbol").alias("__s"), F.col("last_date").alias("__last"))
+    min_last = inc_state.agg(F.min("__last")).first()[0]
+    recent = raw_history.where(F.col("trading_date").cast("date") > F.lit(min_last).cast("date")) \
+        if min_last is not None else raw_history.where(F.lit(False))
+    recent = recent.join(inc_state, (normalize_symbol(recent["symbol"]) == F.col("__s"))
+                         & (F.col("trading_date").cast("date") > F.col("__last")), "left_semi")
+    new_stg = staging.stg_candles(recent, tiebreak=tb)
     loaded_type = new_stg.schema["_loaded_at"].dataType
     inc_rows = _context_rows(old_state.join(inc_syms, "symbol", "left_semi"), loaded_type).unionByName(
-        _as_new(new_stg.join(inc_syms, "symbol", "left_semi")))
+        _as_new(new_stg))
     frame = full_frame.unionByName(feature_frame(inc_rows))
 
     # cut lineage once: the frame feeds both the fact rows and the new state
