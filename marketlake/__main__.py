@@ -27,6 +27,8 @@ def main(argv=None) -> int:
     b.add_argument("--out", required=True)
     b.add_argument("--as-of", default=None, help="YYYY-MM-DD (default: today, UTC)")
     b.add_argument("--no-news", action="store_true")
+    b.add_argument("--new-raw", default=None,
+                   help="root of the raw tables landed by this run: refresh prices from the per-symbol state")
     b.add_argument("--warn-only", action="store_true")
     f = sub.add_parser("freshness", help="freshness of the raw candles")
     f.add_argument("--raw", required=True)
@@ -50,7 +52,13 @@ def main(argv=None) -> int:
     from marketlake.plans.build import build_warehouse, run_warehouse_tests
 
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
-    models = build_warehouse(spark, args.raw, args.seed, args.out, as_of, now, news_enabled=not args.no_news)
+    new_candles = None
+    if args.new_raw:
+        from marketlake.sources.raw import read_raw
+
+        new_candles = read_raw(spark, args.new_raw, "candles")
+    models = build_warehouse(spark, args.raw, args.seed, args.out, as_of, now, news_enabled=not args.no_news,
+                             new_candles=new_candles)
     results = run_warehouse_tests(models).orderBy("model", "test", "column_name").collect()
     failed = [r for r in results if r.status == "fail"]
     for r in results:

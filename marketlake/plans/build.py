@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from marketlake.operators import incremental, layout, marts, metrics, snapshot, staging, suite, timeseries
+from marketlake.operators import (
+    incremental, layout, marts, metrics, price_state, snapshot, staging, suite, timeseries,
+)
 from marketlake.session import scratch_path
 from marketlake.sources.raw import read_raw, read_seed
 
@@ -45,7 +47,7 @@ def _materialize(spark, df: DataFrame, path: str) -> DataFrame:
 
 def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of: dt.date,
                     run_ts: dt.datetime, schemas: dict | None = None, tiebreak=("event_id",),
-                    news_enabled: bool = True) -> dict[str, DataFrame]:
+                    news_enabled: bool = True, new_candles: DataFrame | None = None) -> dict[str, DataFrame]:
     """One warehouse run (model build in dependency order), returning every
     model by name.
 
@@ -53,6 +55,11 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     are rebuilt; the three facts are incremental (strict watermark + keyed
     upsert into day/month partitions); company profiles get a type-2
     snapshot.  Run it again on new raw files for an incremental refresh.
+
+    ``new_candles`` (the raw candle loads landed since the last run) switches
+    the price fact to the per-symbol state refresh: the run reads those loads
+    plus 19 rows per symbol instead of every symbol's full history, with the
+    same output.  Without it every run recomputes the windows over history.
     """
     schemas = schemas or {}
 
@@ -83,9 +90,13 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     out["dim_dates"] = _materialize(spark, marts.dim_dates(stg_c, stg_f, stg_n, as_of), f"{out_root}/dim_dates")
 
     fact = marts.fct_daily_prices(stg_c, comp)
-    incremental.incremental_refresh(spark, f"{out_root}/fct_daily_prices", fact, ["symbol", "date_key"],
-                                    "date_key", fact.schema)
-    out["fct_daily_prices"] = layout.read_partitioned(spark, f"{out_root}/fct_daily_prices", fact.schema)
+    fact_path = f"{out_root}/fct_daily_prices"
+    if new_candles is not None:
+        price_state.refresh_prices(spark, new_candles, raw_c, comp, fact_path, f"{out_root}/_price_state",
+                                   tiebreak=tb(raw_c))
+    else:
+        incremental.incremental_refresh(spark, fact_path, fact, ["symbol", "date_key"], "date_key", fact.schema)
+    out["fct_daily_prices"] = layout.read_partitioned(spark, fact_path, fact.schema)
 
     fin = layout.month_partition(marts.fct_company_financials(stg_f))
     incremental.incremental_refresh(spark, f"{out_root}/fct_company_financials", fin, ["symbol", "date_key"],
