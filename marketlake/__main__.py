@@ -30,6 +30,8 @@ def main(argv=None) -> int:
     b.add_argument("--new-raw", default=None,
                    help="root of the raw tables landed by this run: refresh prices from the per-symbol state")
     b.add_argument("--warn-only", action="store_true")
+    b.add_argument("--full-refresh", action="store_true",
+                   help="rebuild the facts from scratch (picks up late and restated rows)")
     f = sub.add_parser("freshness", help="freshness of the raw candles")
     f.add_argument("--raw", required=True)
     f.add_argument("--as-of-ts", default=None, help="YYYY-MM-DD HH:MM:SS (default: now, UTC)")
@@ -58,7 +60,7 @@ def main(argv=None) -> int:
 
         new_candles = read_raw(spark, args.new_raw, "candles")
     models = build_warehouse(spark, args.raw, args.seed, args.out, as_of, now, news_enabled=not args.no_news,
-                             new_candles=new_candles)
+                             new_candles=new_candles, full_refresh=args.full_refresh)
     results = run_warehouse_tests(models).orderBy("model", "test", "column_name").collect()
     failed = [r for r in results if r.status == "fail"]
     for r in results:

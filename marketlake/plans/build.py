@@ -47,7 +47,8 @@ def _materialize(spark, df: DataFrame, path: str) -> DataFrame:
 
 def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of: dt.date,
                     run_ts: dt.datetime, schemas: dict | None = None, tiebreak=("event_id",),
-                    news_enabled: bool = True, new_candles: DataFrame | None = None) -> dict[str, DataFrame]:
+                    news_enabled: bool = True, new_candles: DataFrame | None = None,
+                    full_refresh: bool = False) -> dict[str, DataFrame]:
     """One warehouse run (model build in dependency order), returning every
     model by name.
 
@@ -60,6 +61,10 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     the price fact to the per-symbol state refresh: the run reads those loads
     plus 19 rows per symbol instead of every symbol's full history, with the
     same output.  Without it every run recomputes the windows over history.
+
+    ``full_refresh`` rebuilds the three facts from scratch (static overwrite,
+    no watermark: late and restated rows are picked up) and resets the price
+    state.
     """
     schemas = schemas or {}
 
@@ -91,22 +96,32 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
 
     fact = marts.fct_daily_prices(stg_c, comp)
     fact_path = f"{out_root}/fct_daily_prices"
-    if new_candles is not None:
-        price_state.refresh_prices(spark, new_candles, raw_c, comp, fact_path, f"{out_root}/_price_state",
-                                   tiebreak=tb(raw_c))
+    state_path = f"{out_root}/_price_state"
+
+    def refresh(df, path, keys, partition_col, watermark_col=None):
+        if full_refresh:
+            incremental.full_refresh(df, path, partition_col)
+        else:
+            incremental.incremental_refresh(spark, path, df, keys, partition_col, df.schema,
+                                            watermark_col=watermark_col)
+
+    if full_refresh:
+        incremental.full_refresh(fact, fact_path, "date_key")
+        # the state is rebuilt from scratch on the next stateful run
+        spark.createDataFrame([], price_state.STATE_SCHEMA).write.mode("overwrite").parquet(state_path)
+    elif new_candles is not None:
+        price_state.refresh_prices(spark, new_candles, raw_c, comp, fact_path, state_path, tiebreak=tb(raw_c))
     else:
-        incremental.incremental_refresh(spark, fact_path, fact, ["symbol", "date_key"], "date_key", fact.schema)
+        refresh(fact, fact_path, ["symbol", "date_key"], "date_key")
     out["fct_daily_prices"] = layout.read_partitioned(spark, fact_path, fact.schema)
 
     fin = layout.month_partition(marts.fct_company_financials(stg_f))
-    incremental.incremental_refresh(spark, f"{out_root}/fct_company_financials", fin, ["symbol", "date_key"],
-                                    "date_month", fin.schema, watermark_col="date_key")
+    refresh(fin, f"{out_root}/fct_company_financials", ["symbol", "date_key"], "date_month", "date_key")
     out["fct_company_financials"] = layout.read_partitioned(spark, f"{out_root}/fct_company_financials",
                                                             fin.schema).drop("date_month")
     if stg_n is not None:
         news = marts.fct_company_news(stg_n)
-        incremental.incremental_refresh(spark, f"{out_root}/fct_company_news", news, ["news_id"], "date_key",
-                                        news.schema)
+        refresh(news, f"{out_root}/fct_company_news", ["news_id"], "date_key")
         out["fct_company_news"] = layout.read_partitioned(spark, f"{out_root}/fct_company_news", news.schema)
 
     prices = out["fct_daily_prices"]

@@ -81,3 +81,27 @@ def test_cli_build_and_freshness(spark, capsys):
     assert code == 0 and "passed" in text and "FAIL dim_companies.accepted_values(sector)" in text
     assert main(["freshness", "--raw", root, "--as-of-ts", "2024-02-01 00:00:00"]) == 0
     assert "status=pass" in capsys.readouterr().out
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_late_symbol_ignored_until_full_refresh(spark):
+    c, p, f = fx.fx_candles(spark, SF), fx.fx_profiles(spark, SF), fx.fx_financials(spark, SF)
+    schemas = {"candles": c.schema, "company_profiles": p.schema, "company_financials": f.schema}
+    seed = scratch_path(spark, "t-seed-late")
+    fx.fx_sector_map(spark, SF).write.option("header", True).csv(seed)
+    raw, out = scratch_path(spark, "t-raw-late"), scratch_path(spark, "t-wh-late")
+    WR.write_raw_partitioned(c, raw, "candles")
+    WR.write_raw_period(p, raw, "company_profiles", dt.date(2024, 1, 31), "month")
+    WR.write_raw_period(f, raw, "company_financials", dt.date(2024, 1, 31), "month")
+    args = (spark, raw, seed, out, dt.date(2025, 1, 15), dt.datetime(2024, 2, 1), schemas)
+    build_warehouse(*args, news_enabled=False)
+    late = (c.where(F.upper(F.trim("symbol")) == "U1").withColumn("symbol", F.lit("LATE1"))
+            .withColumn("event_id", F.col("event_id") + 40_000_000))
+    # a daily run lands its bars under the run day, not the trading days
+    WR.write_raw_period(late, raw, "candles", dt.date(2024, 2, 5), "day")
+    inc = build_warehouse(*args, news_enabled=False)
+    assert inc["fct_daily_prices"].where("symbol = 'LATE1'").count() == 0
+    n_before = inc["fct_daily_prices"].count()
+    full = build_warehouse(*args, news_enabled=False, full_refresh=True)
+    n_late = full["fct_daily_prices"].where("symbol = 'LATE1'").count()
+    assert n_late > 0 and full["fct_daily_prices"].count() == n_before + n_late
