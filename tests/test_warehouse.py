@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.plans import fixtures as fx
+from marketlake.plans import registry as R
 from marketlake.plans.build import build_warehouse
 from marketlake.session import scratch_path
 from marketlake.sources import writers as WR
@@ -70,7 +71,9 @@ def test_cli_build_and_freshness(spark, capsys):
     root, out = scratch_path(spark, "t-cli-raw"), scratch_path(spark, "t-cli-out")
     seed = scratch_path(spark, "t-cli-seed")
     fx.fx_sector_map(spark, SF).write.option("header", True).csv(seed)
-    WR.write_raw_partitioned(declared(fx.fx_candles(spark, SF), RAW_CANDLES), root, "candles")
+    candles = declared(fx.fx_candles(spark, SF), RAW_CANDLES)
+    cut = dt.date(2024, 1, 20)
+    WR.write_raw_partitioned(candles.where(F.col("trading_date") <= F.lit(cut)), root, "candles")
     WR.write_raw_period(declared(fx.fx_profiles(spark, SF), RAW_PROFILES), root, "company_profiles",
                         dt.date(2024, 1, 31), "month")
     WR.write_raw_period(declared(fx.fx_financials(spark, SF), RAW_FINANCIALS), root, "company_financials",
@@ -79,6 +82,17 @@ def test_cli_build_and_freshness(spark, capsys):
                  "--warn-only"])
     text = capsys.readouterr().out
     assert code == 0 and "passed" in text and "FAIL dim_companies.accepted_values(sector)" in text
+    # daily run: new files land in the raw table and in this run's landing root
+    landing = scratch_path(spark, "t-cli-landing")
+    wave2 = candles.where(F.col("trading_date") > F.lit(cut))
+    WR.write_raw_partitioned(wave2, root, "candles")
+    WR.write_raw_partitioned(wave2, landing, "candles")
+    assert main(["build", "--raw", root, "--seed", seed, "--out", out, "--as-of", "2025-01-15", "--no-news",
+                 "--warn-only", "--new-raw", landing]) == 0
+    capsys.readouterr()
+    got = spark.read.parquet(f"{out}/fct_daily_prices")
+    want = R.star(spark, SF).fct_daily_prices
+    assert got.count() == want.count()
     assert main(["freshness", "--raw", root, "--as-of-ts", "2024-02-01 00:00:00"]) == 0
     assert "status=pass" in capsys.readouterr().out
 
