@@ -14,11 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.operators import incremental as INC
+from marketlake.operators import layout as LAY
 from marketlake.operators import marts, metrics, staging, timeseries
+from marketlake.operators.snapshot import PROFILE_CHECK_COLS, scd2_apply
+from marketlake.operators.suite import DECLARED_TESTS
 from marketlake.plans import fixtures as fx
 from marketlake.plans import oracle as O
-from marketlake.plans.build import build_price_star
-from marketlake.session import ensure_conf
+from marketlake.plans.build import build_price_star, build_warehouse, run_warehouse_tests
+from marketlake.session import ensure_conf, scratch_path
+from marketlake.sources import payloads as PL
+from marketlake.sources import providers as PR
+from marketlake.sources import raw as RAW
+from marketlake.sources import writers as WR
+from marketlake.sources.universe import filter_universe
 
 # Injected clocks (the reference reads current_date()).
 AS_OF = dt.date(2025, 1, 15)
@@ -514,12 +523,6 @@ def q_fn_cents_to_dollars(spark, sf_dir):
 
 
 # --- sources, payloads, raw sinks -------------------------------------------------------------
-from marketlake.session import scratch_path  # noqa: E402
-from marketlake.sources import payloads as PL  # noqa: E402
-from marketlake.sources import providers as PR  # noqa: E402
-from marketlake.sources import raw as RAW  # noqa: E402
-from marketlake.sources import writers as WR  # noqa: E402
-from marketlake.sources.universe import filter_universe  # noqa: E402
 
 def loaded_at():
     """Load stamp of the landed payloads (a fixed UTC wall-clock time)."""
@@ -695,9 +698,6 @@ def q_write_raw_period(spark, sf_dir):
 
 
 # --- incremental loads, history, layout -------------------------------------------------------
-from marketlake.operators import incremental as INC  # noqa: E402
-from marketlake.operators import layout as LAY  # noqa: E402
-from marketlake.operators.snapshot import PROFILE_CHECK_COLS, scd2_apply  # noqa: E402
 
 WATERMARK_CUT = dt.date(2024, 1, 20)
 
@@ -860,8 +860,6 @@ def q_stream_price_refresh(spark, sf_dir):
 
 
 # --- whole warehouse run ---------------------------------------------------------------------
-from marketlake.operators.suite import DECLARED_TESTS  # noqa: E402
-from marketlake.plans.build import build_warehouse, run_warehouse_tests  # noqa: E402
 
 WAREHOUSE_RUN = dt.date(2024, 1, 31)
 _SUITE_SQL = O.suite_sql(DECLARED_TESTS, O.ACCEPTED)
