@@ -8,6 +8,7 @@ from marketlake.functions.columns import (  # noqa: F401
     epoch_seconds_to_date,
     epoch_seconds_to_ts,
     normalize_symbol,
+    ntz_lit,
     round_to_long,
     safe_divide,
     surrogate_key,

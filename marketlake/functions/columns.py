@@ -62,6 +62,15 @@ def date_to_epoch_seconds(c: Column | str) -> Column:
     return F.unix_date(_c(c).cast("date")).cast("long") * F.lit(86400)
 
 
+def ntz_lit(value) -> Column:
+    """A wall-clock ``timestamp_ntz`` literal from a naive datetime.
+
+    ``F.lit(datetime)`` goes through the Python process's local zone and the
+    session zone; building the literal from its text keeps it zone-free.
+    """
+    return F.to_timestamp_ntz(F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")))
+
+
 def epoch_seconds_to_ts(c: Column | str) -> Column:
     """Epoch seconds -> UTC instant (``TimestampType``); NULL stays NULL."""
     return F.timestamp_seconds(_c(c).cast("long"))

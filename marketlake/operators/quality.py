@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.columns import ntz_lit
+
 
 # Raw-candle freshness thresholds in hours.
 FRESHNESS_WARN_HOURS = 36
@@ -73,8 +75,9 @@ def source_freshness(raw: DataFrame, as_of: dt.datetime, col: str = "_loaded_at"
                      error_hours: float = FRESHNESS_ERROR_HOURS) -> DataFrame:
     """D-9: one row: newest load, its age in hours at ``as_of`` and a status."""
     newest = raw.agg(F.max(F.col(col).cast("timestamp_ntz")).alias("max_loaded_at"))
-    now = F.lit(as_of).cast("timestamp_ntz")
-    age = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3.6e9)
+    now = ntz_lit(as_of)
+    # difference computed on the values themselves (no zone conversion, so no DST shift)
+    age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / F.lit(3.6e9)
     return newest.select(
         "max_loaded_at",
         age.alias("age_hours"),

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.functions.columns import ntz_lit
+
 # The columns whose change opens a new profile version.
 PROFILE_CHECK_COLS = ["company_name", "exchange", "industry", "country", "market_cap",
                       "ipo_date", "logo_url", "web_url", "sector"]
@@ -25,7 +27,7 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, check_co
     at ``run_ts`` and open the new version; new key -> open it; vanished key
     -> leave it open.  Closed versions pass through untouched.
     """
-    run = F.lit(run_ts).cast("timestamp_ntz")
+    run = ntz_lit(run_ts)
     data_cols = current.columns
     if history is None:
         return current.select(*data_cols, run.alias("valid_from"),

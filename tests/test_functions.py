@@ -60,3 +60,18 @@ def test_date_to_epoch_roundtrip(spark):
     t = df.select(date_to_epoch_seconds("d").alias("t")).first().t
     assert t == int(dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc).timestamp())
     assert df.select(epoch_seconds_to_date(date_to_epoch_seconds("d"))).first()[0] == dt.date(2024, 3, 1)
+
+
+def test_timestamps_are_zone_free(spark):
+    from marketlake.operators.quality import source_freshness
+    from marketlake.operators.snapshot import scd2_apply
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 9, 12, 0),)], "_loaded_at timestamp_ntz")
+        assert source_freshness(df, dt.datetime(2024, 3, 11, 12, 0)).first().age_hours == 48.0
+        cur = spark.createDataFrame([("A", "x")], "symbol string, name string")
+        run = dt.datetime(2024, 3, 10, 2, 30)  # a wall-clock time that does not exist in New York
+        assert scd2_apply(None, cur, "symbol", ["name"], run).first().valid_from == run
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
