@@ -13,5 +13,7 @@ from marketlake.functions.columns import (  # noqa: F401
     safe_divide,
     surrogate_key,
     ts_text,
+    utc_date,
+    utc_wall_clock,
 )
 from marketlake.functions.sectors import SECTORS, SECTOR_RULES, classify_sector  # noqa: F401

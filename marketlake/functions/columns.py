@@ -62,6 +62,24 @@ def date_to_epoch_seconds(c: Column | str) -> Column:
     return F.unix_date(_c(c).cast("date")).cast("long") * F.lit(86400)
 
 
+def utc_wall_clock(df: DataFrame, name: str) -> Column:
+    """A timestamp column as UTC wall-clock ``timestamp_ntz``.
+
+    Zoned timestamps (instants) are converted to UTC explicitly, so the result
+    does not depend on the session time zone; zone-free timestamps already
+    hold UTC wall-clock time and other types pass through.
+    """
+    c = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, T.TimestampType):
+        return F.convert_timezone(None, F.lit("UTC"), c)
+    return c
+
+
+def utc_date(df: DataFrame, name: str) -> Column:
+    """The UTC calendar date of a timestamp (or the value of a date/text)."""
+    return utc_wall_clock(df, name).cast("date")
+
+
 def ntz_lit(value) -> Column:
     """A wall-clock ``timestamp_ntz`` literal from a naive datetime.
 

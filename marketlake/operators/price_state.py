@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.columns import normalize_symbol, safe_divide
+from marketlake.functions.columns import normalize_symbol, safe_divide, utc_date
 from marketlake.operators import incremental, staging
 from marketlake.operators.marts import FACT_PRICE_COLUMNS
 from marketlake.operators.timeseries import ROLLING_ROWS, return_columns
@@ -118,7 +118,7 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame, raw_history: DataFra
 
     touched = (new_raw.where(F.col("symbol").isNotNull())
                .groupBy(normalize_symbol("symbol").alias("symbol"))
-               .agg(F.min(F.col("trading_date").cast("date")).alias("_min_new")))
+               .agg(F.min(utc_date(new_raw, "trading_date")).alias("_min_new")))
     decided = touched.join(old_state.select("symbol", "last_date"), "symbol", "left")
     full_syms = decided.where(F.col("last_date").isNull() | (F.col("_min_new") <= F.col("last_date"))).select("symbol")
     inc_syms = decided.where(F.col("_min_new") > F.col("last_date")).select("symbol")
@@ -134,10 +134,11 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame, raw_history: DataFra
     inc_state = old_state.join(inc_syms, "symbol", "left_semi").select(
         F.col("symbol").alias("__s"), F.col("last_date").alias("__last"))
     min_last = inc_state.agg(F.min("__last")).first()[0]
-    recent = raw_history.where(F.col("trading_date").cast("date") > F.lit(min_last).cast("date")) \
+    day = utc_date(raw_history, "trading_date")
+    recent = raw_history.where(day > F.lit(min_last).cast("date")) \
         if min_last is not None else raw_history.where(F.lit(False))
     recent = recent.join(inc_state, (normalize_symbol(recent["symbol"]) == F.col("__s"))
-                         & (F.col("trading_date").cast("date") > F.col("__last")), "left_semi")
+                         & (day > F.col("__last")), "left_semi")
     new_stg = staging.stg_candles(recent, tiebreak=tb)
     loaded_type = new_stg.schema["_loaded_at"].dataType
     inc_rows = _context_rows(old_state.join(inc_syms, "symbol", "left_semi"), loaded_type).unionByName(

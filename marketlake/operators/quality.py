@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlake.functions.columns import ntz_lit
+from marketlake.functions.columns import ntz_lit, utc_wall_clock
 
 
 # Raw-candle freshness thresholds in hours.
@@ -74,7 +74,7 @@ def source_freshness(raw: DataFrame, as_of: dt.datetime, col: str = "_loaded_at"
                      warn_hours: float = FRESHNESS_WARN_HOURS,
                      error_hours: float = FRESHNESS_ERROR_HOURS) -> DataFrame:
     """D-9: one row: newest load, its age in hours at ``as_of`` and a status."""
-    newest = raw.agg(F.max(F.col(col).cast("timestamp_ntz")).alias("max_loaded_at"))
+    newest = raw.agg(F.max(utc_wall_clock(raw, col).cast("timestamp_ntz")).alias("max_loaded_at"))
     now = ntz_lit(as_of)
     # difference computed on the values themselves (no zone conversion, so no DST shift)
     age = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at"), now) / F.lit(3.6e9)

@@ -12,6 +12,7 @@ from marketlake.functions.columns import (
     col_or_null,
     normalize_symbol,
     round_to_long,
+    utc_date,
 )
 from marketlake.functions.sectors import classify_sector
 from marketlake.operators.dedup import dedup_latest
@@ -30,7 +31,7 @@ def stg_candles(raw: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     """
     base = raw.where(F.col("symbol").isNotNull()).select(
         normalize_symbol("symbol").alias("symbol"),
-        F.col("trading_date").cast("date").alias("date_key"),
+        utc_date(raw, "trading_date").alias("date_key"),
         F.col("open").cast("double").alias("open"),
         F.col("high").cast("double").alias("high"),
         F.col("low").cast("double").alias("low"),
@@ -59,7 +60,7 @@ def stg_company_financials(raw: DataFrame, tiebreak: Sequence[str] = ()) -> Data
     """T-6: canonical symbol, load date as key, 52-week coalesce, dedup."""
     norm = raw.where(F.col("symbol").isNotNull()).select(
         canonical_share_class("symbol").alias("symbol"),
-        F.col("_loaded_at").cast("date").alias("date_key"),
+        utc_date(raw, "_loaded_at").alias("date_key"),
         col_or_null(raw, "pe_ratio", "double").cast("double").alias("pe_ratio"),
         col_or_null(raw, "pb_ratio", "double").cast("double").alias("pb_ratio"),
         col_or_null(raw, "eps_ttm", "double").cast("double").alias("eps_ttm"),
@@ -80,6 +81,7 @@ def stg_company_news(raw: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     base = raw.where(F.col("symbol").isNotNull() & F.col("datetime").isNotNull()).select(
         normalize_symbol("symbol").alias("symbol"),
         F.col("datetime").alias("news_ts"),
+        utc_date(raw, "datetime").alias("date_key"),
         F.coalesce(F.col("url"), F.col("headline")).alias("_story"),
         col_or_null(raw, "headline").alias("headline"),
         col_or_null(raw, "summary").alias("summary"),
@@ -92,7 +94,7 @@ def stg_company_news(raw: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     )
     latest = dedup_latest(base, ["symbol", "news_ts", "_story"], ["_loaded_at", *tiebreak])
     return latest.select(
-        "symbol", "news_ts", F.col("news_ts").cast("date").alias("date_key"),
+        "symbol", "news_ts", "date_key",
         "headline", "summary", "source", "category", "url", "image", "_loaded_at",
     )
 

@@ -75,3 +75,16 @@ def test_timestamps_are_zone_free(spark):
         assert scd2_apply(None, cur, "symbol", ["name"], run).first().valid_from == run
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_zoned_instants_map_to_utc_dates(spark):
+    from marketlake.operators import staging
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 2024-01-01 03:00 UTC is still 2023-12-31 in New York: the key must be the UTC date
+        df = spark.createDataFrame([("X", 1.0, 1704078000)], "symbol string, pe_ratio double, t long") \
+            .select("symbol", "pe_ratio", F.timestamp_seconds("t").alias("_loaded_at"))
+        assert staging.stg_company_financials(df).first().date_key == dt.date(2024, 1, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
