@@ -69,7 +69,7 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     schemas = schemas or {}
 
     def raw(table):
-        return read_raw(spark, raw_root, table, schema=schemas.get(table))
+        return read_raw(spark, raw_root, table, schema=schemas.get(table), missing_ok=True)
 
     def tb(df):
         return [c for c in tiebreak if c in df.columns]

@@ -103,18 +103,25 @@ def with_partition_fields(schema: T.StructType, table: str) -> T.StructType:
 
 
 def read_raw(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None,
-             partition_filter=None) -> DataFrame:
+             partition_filter=None, missing_ok: bool = False) -> DataFrame:
     """S-1: a raw table with its partition columns, under an explicit schema.
 
     Files written by different batches may disagree on int vs double; the
     declared schema (not inference or mergeSchema) fixes the types.  A
     ``partition_filter`` on year/month/day prunes directories; never prune
     candles by trading date through the path (a run writes 7 days of bars
-    under its run day) — filter the column instead.
+    under its run day) — filter the column instead.  ``missing_ok`` reads a
+    table that has not been landed yet as empty.
     """
     base = schema or SCHEMAS[table]
     full = with_partition_fields(base, table)
-    df = spark.read.schema(full).option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+    try:
+        df = spark.read.schema(full).option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
+    except Exception as e:  # noqa: BLE001
+        if not (missing_ok and "PATH_NOT_FOUND" in str(e)):
+            raise
+        # nothing landed yet for this table: an empty table of the declared schema
+        df = spark.createDataFrame([], full)
     return df.where(partition_filter) if partition_filter is not None else df
 
 

@@ -124,3 +124,12 @@ def test_broadcast_if_bounded(spark):
     p_big = left.join(broadcast_if_bounded(big, max_rows=50), left.k == big.id)
     assert "BroadcastHashJoin" in p_small
     assert p_big.count() == 100  # unhinted above the bound, still correct
+
+
+def test_missing_raw_table_reads_empty(spark):
+    import pytest
+    root = scratch_path(spark, "t-missing")
+    empty = RAW.read_raw(spark, root, "company_financials", missing_ok=True)
+    assert empty.count() == 0 and "week_52_high" in empty.columns and "year" in empty.columns
+    with pytest.raises(Exception):
+        RAW.read_raw(spark, root, "company_financials")
