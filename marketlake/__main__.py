@@ -1,6 +1,6 @@
 """Command line: one warehouse run (build + data tests) or a freshness check.
 
-    spark-submit -m marketlake build --raw s3://.../raw --seed s3://.../seed.csv \
+    spark-submit --py-files marketlake.zip marketlake/__main__.py build --raw s3://.../raw --seed s3://.../seed.csv \
         --out s3://.../warehouse --as-of 2025-01-15
     python -m marketlake freshness --raw ... --as-of-ts "2025-01-15 06:00:00"
 
