@@ -133,3 +133,14 @@ def test_missing_raw_table_reads_empty(spark):
     assert empty.count() == 0 and "week_52_high" in empty.columns and "year" in empty.columns
     with pytest.raises(Exception):
         RAW.read_raw(spark, root, "company_financials")
+
+
+def test_period_landing_conforms_market_cap(spark):
+    root = scratch_path(spark, "t-drift-prof")
+    ints = spark.createDataFrame([("A", 10)], "symbol string, market_cap long")
+    dbls = spark.createDataFrame([("B", 2.5)], "symbol string, market_cap double")
+    WR.write_raw_period(ints, root, "company_profiles", dt.date(2024, 1, 31), "month")
+    WR.write_raw_period(dbls, root, "company_profiles", dt.date(2024, 2, 29), "month")
+    back = spark.read.parquet(f"{root}/company_profiles")
+    assert dict(back.dtypes)["market_cap"] == "double"
+    assert rows(back, "symbol", "market_cap") == [("A", 10.0), ("B", 2.5)]
