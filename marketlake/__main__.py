@@ -22,18 +22,18 @@ def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="marketlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="build the warehouse and run the data tests")
-    b.add_argument("--raw", required=True)
-    b.add_argument("--seed", required=True)
-    b.add_argument("--out", required=True)
+    b.add_argument("--raw", required=True, help="root of the landed raw tables (candles/, company_*/)")
+    b.add_argument("--seed", required=True, help="sector seed CSV (symbol,sector with header)")
+    b.add_argument("--out", required=True, help="warehouse root (facts, dimensions, metrics, snapshot)")
     b.add_argument("--as-of", default=None, help="YYYY-MM-DD (default: today, UTC)")
-    b.add_argument("--no-news", action="store_true")
+    b.add_argument("--no-news", action="store_true", help="skip the news models")
     b.add_argument("--new-raw", default=None,
                    help="root of the raw tables landed by this run: refresh prices from the per-symbol state")
-    b.add_argument("--warn-only", action="store_true")
+    b.add_argument("--warn-only", action="store_true", help="report failing data tests without a non-zero exit")
     b.add_argument("--full-refresh", action="store_true",
                    help="rebuild the facts from scratch (picks up late and restated rows)")
     f = sub.add_parser("freshness", help="freshness of the raw candles")
-    f.add_argument("--raw", required=True)
+    f.add_argument("--raw", required=True, help="root of the landed raw tables")
     f.add_argument("--as-of-ts", default=None, help="YYYY-MM-DD HH:MM:SS (default: now, UTC)")
     args = ap.parse_args(argv)
 
