@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, token_files
+from . import byte_bpe, decontaminate, token_files
 from .common import read_table
 
 
@@ -16,10 +16,31 @@ def op1_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, path, token_files.crc_row, token_files.CRC_SCHEMA)
 
 
+def op3_decontaminate(spark, sf_dir):
+    return decontaminate.report(decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10))
+
+
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op10_byte_bpe)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_decontaminate, op10_byte_bpe)}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE: dict[str, str] = {
+    "op3_decontaminate": f"""
+with doc as (select doc_id, {_WORDS} as w from documents),
+item as (select coalesce(cast(item_id as varchar), '') as item, {_WORDS} as w from benchmark),
+win as (select distinct item, least(10, len(w)) as n, array_to_string(w[p : p + least(10, len(w)) - 1], ' ') as phrase
+        from item, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as u(p) where len(w) > 0),
+occ as (select doc_id, n, p, array_to_string(w[p : p + n - 1], ' ') as phrase
+        from doc, (select distinct n from win) as lengths, unnest(range(1, len(w) - n + 2)) as u(p)),
+hit as (select doc_id, item, n, p from occ join win using (n, phrase)),
+covered as (select doc_id, count(distinct q) as n_hit from hit, unnest(range(p, p + n)) as u(q) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from hit) as d group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join covered using (doc_id) left join named using (doc_id)""",
+}
