@@ -28,19 +28,24 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def byte_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list[bytes]]]:
     """(ids, UTF-8 texts) of at most ``limit`` bytes of text, whole documents
     only; a null text is empty."""
+    for batch in sub_batches(batches, 1, limit):
+        yield batch.column(0).to_pylist(), texts_of(batch.column(1))
+
+
+def sub_batches(batches: Iterable[pa.RecordBatch], text: int = 1, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most ``limit`` bytes in column ``text``, whole rows only."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
-        lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+        lengths = pc.fill_null(pc.binary_length(batch.column(text).cast(pa.binary())), 0).to_pylist()
         begin = size = 0
         for i, n in enumerate(lengths):
             if size and size + n > limit:
-                yield ids.slice(begin, i - begin).to_pylist(), _plain(texts.slice(begin, i - begin))
+                yield batch.slice(begin, i - begin)
                 begin, size = i, 0
             size += n
-        yield ids.slice(begin).to_pylist(), _plain(texts.slice(begin))
+        if len(lengths) > begin:
+            yield batch.slice(begin)
 
 
-def _plain(texts: pa.Array) -> list[bytes]:
-    return [t or b"" for t in texts.to_pylist()]
+def texts_of(column: pa.Array) -> list[bytes]:
+    """UTF-8 texts of a column, a null text as empty."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, token_files
+from . import byte_bpe, decontaminate, substrings, token_files
 from .common import read_table
 
 
@@ -20,12 +20,16 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.report(decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10))
 
 
+def op5_substrings(spark, sf_dir):
+    return substrings.remove_repeats(read_table(spark, sf_dir, "documents"), substrings.digest_columns, substrings.DIGEST_SCHEMA)
+
+
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_decontaminate, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op3_decontaminate, op5_substrings, op10_byte_bpe)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -43,4 +47,13 @@ named as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc left join covered using (doc_id) left join named using (doc_id)""",
+    "op5_substrings": r"""
+with doc as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, p, md5(array_to_string(w[p : p + 49], ' ')) as h from doc, unnest(range(1, len(w) - 48)) as u(p)),
+least as (select h, min(doc_id) as first_id from win group by h having min(doc_id) < max(doc_id)),
+gone as (select distinct doc_id, q from win join least using (h), unnest(range(p, p + 50)) as u(q) where first_id < doc_id),
+kept as (select doc_id, string_agg(w[q], ' ' order by q) as words, count(*) as n
+         from (select doc_id, w, unnest(range(1, len(w) + 1)) as q from doc) as d anti join gone using (doc_id, q) group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(words, '')) as kept_sha256
+from doc left join kept using (doc_id)""",
 }
