@@ -4,9 +4,10 @@ parameters, to its whole tables.  ORACLE holds DuckDB SQL where it can express o
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, substrings, token_files
+from . import byte_bpe, decontaminate, simhash, substrings, token_files
 from .common import read_table
 
 
@@ -16,6 +17,11 @@ def op1_token_files(spark, sf_dir):
     return token_files.read_token_files(spark, path, token_files.crc_row, token_files.CRC_SCHEMA)
 
 
+def op2_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op3_decontaminate(spark, sf_dir):
     return decontaminate.report(decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10))
 
@@ -29,7 +35,7 @@ def op10_byte_bpe(spark, sf_dir):
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op3_decontaminate, op5_substrings, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op5_substrings, op10_byte_bpe)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
