@@ -6,7 +6,7 @@ are blocks.  A block holds whole documents in ascending id order:
 
     part, block      position of the block: blocks sort by (part, block)
     doc_ids, sizes   the documents of the block and their numbers of ids
-    n_ids            ids in the block
+    offset, n_ids    ids of the part before the block, ids in it
     bits             bits of one id: the fewest that hold the vocabulary
     payload          the ids, ``bits`` each, least significant bit first
 
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import byte_chunks, id_text
 
-BLOCK_SCHEMA = "part int, block int, first_doc long, last_doc long, doc_ids array<bigint>, sizes array<int>, n_ids long, bits int, payload binary"
+BLOCK_SCHEMA = "part int, block int, first_doc long, last_doc long, doc_ids array<bigint>, sizes array<int>, offset long, n_ids long, bits int, payload binary"
 BLOCK_IDS = 1 << 15
 #: Distinct words whose ids a task remembers before it starts afresh.
 MEMO_WORDS = 1_000_000
@@ -152,7 +152,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = WordEncoder.cached(tokenizer_path), TaskContext.get().partitionId()
         bits = id_bits(max(encoder.vocabulary, (end_id or 0) + 1))
-        number, held, doc_ids, sizes = 0, [], [], []
+        number, offset, size, held, doc_ids, sizes = 0, 0, 0, [], [], []
 
         def block() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u4")
@@ -161,7 +161,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                 "part": pa.array([part], pa.int32()), "block": pa.array([number], pa.int32()),
                 "first_doc": pa.array([min(named, default=None)], pa.int64()), "last_doc": pa.array([max(named, default=None)], pa.int64()),
                 "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int32())),
-                "n_ids": pa.array([len(ids)], pa.int64()), "bits": pa.array([bits], pa.int32()), "payload": pa.array([pack(ids, bits)], pa.binary()),
+                "offset": pa.array([offset], pa.int64()), "n_ids": pa.array([len(ids)], pa.int64()), "bits": pa.array([bits], pa.int32()), "payload": pa.array([pack(ids, bits)], pa.binary()),
             })
 
         for ids, texts in byte_chunks(batches):
@@ -169,9 +169,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                 held.append(encoded + tail)
                 doc_ids.append(doc_id)
                 sizes.append(len(held[-1]) // 4)
-                if sum(sizes) >= block_ids:
+                size += sizes[-1]
+                if size >= block_ids:
                     yield block()
-                    number, held, doc_ids, sizes = number + 1, [], [], []
+                    number, offset, size, held, doc_ids, sizes = number + 1, offset + size, 0, [], [], []
         if doc_ids:
             yield block()
 
@@ -182,17 +183,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     """The blocks with ``start``: the number of ids before the block.
 
-    Parts are summed first, so the running sum over parts sees one row for
-    each written part and the one inside a part only that part's blocks.
+    Blocks know their offset in their part; the parts' totals, one row for each
+    written part, are summed up and broadcast, so no payload is shuffled.
     """
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = (blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
              .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start")))
-    inside = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    index = (blocks.select("part", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("block_start"))
-             .join(parts, "part").select("part", "block", (F.col("part_start") + F.col("block_start")).alias("start")))
-    return blocks.join(index, ["part", "block"])
+    return blocks.join(F.broadcast(parts), "part").withColumn("start", F.col("part_start") + F.col("offset"))
 
 
 def ids_row(doc_id: int | None, start: int, ids: np.ndarray) -> dict:
