@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, simhash, substrings, token_files
+from . import byte_bpe, decontaminate, html_text, simhash, substrings, token_files, toxicity
 from .common import read_table
 
 
@@ -30,12 +30,21 @@ def op5_substrings(spark, sf_dir):
     return substrings.remove_repeats(read_table(spark, sf_dir, "documents"), substrings.digest_columns, substrings.DIGEST_SCHEMA)
 
 
+def op6_html_text(spark, sf_dir):
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op8_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, docs, read_table(spark, sf_dir, "labels"), "toxic")
+
+
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op5_substrings, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op5_substrings, op6_html_text, op8_toxicity, op10_byte_bpe)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
