@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, html_text, simhash, substrings, token_files, toxicity
+from . import byte_bpe, decontaminate, html_text, merkle, quality, simhash, substrings, token_counts, token_files, toxicity
 from .common import read_table
 
 
@@ -26,6 +26,10 @@ def op3_decontaminate(spark, sf_dir):
     return decontaminate.report(decontaminate.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), size=10))
 
 
+def op4_merkle(spark, sf_dir):
+    return merkle.edited_pairs(read_table(spark, sf_dir, "documents"))
+
+
 def op5_substrings(spark, sf_dir):
     return substrings.remove_repeats(read_table(spark, sf_dir, "documents"), substrings.digest_columns, substrings.DIGEST_SCHEMA)
 
@@ -34,17 +38,26 @@ def op6_html_text(spark, sf_dir):
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op7_quality(spark, sf_dir):
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), "source", ["lang"])
+
+
 def op8_toxicity(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return toxicity.classify(docs, docs, read_table(spark, sf_dir, "labels"), "toxic")
 
 
+def op9_token_counts(spark, sf_dir):
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op5_substrings, op6_html_text, op8_toxicity, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op4_merkle, op5_substrings, op6_html_text, op7_quality, op8_toxicity,
+                                  op9_token_counts, op10_byte_bpe)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
