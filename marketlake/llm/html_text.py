@@ -48,6 +48,12 @@ LABELLED = (
     (6, 0.00, 3, 1.00, 4, 0.00, 0, 0, 1, 0), (7, 0.10, 5, 0.00, 3, 0.00, 0, 0, 0, 0), (55, 0.85, 4, 1.00, 9, 1.00, 0, 0, 0, 0),
     (3, 0.00, 0, 0.00, 6, 0.00, 0, 0, 0, 0), (1, 1.00, 80, 0.00, 2, 1.00, 0, 0, 0, 0), (5, 0.60, 60, 0.00, 70, 0.00, 0, 0, 0, 0),
     (40, 0.00, 60, 0.00, 50, 0.00, 0, 1, 0, 0), (10, 0.00, 44, 0.00, 66, 0.00, 0, 1, 0, 0), (2, 1.00, 1, 1.00, 55, 0.00, 0, 1, 0, 0),
+    (60, 0.00, 45, 0.00, 70, 0.00, -1, 0, 0, 0), (33, 0.00, 80, 0.00, 40, 0.00, -1, 0, 0, 0), (18, 0.00, 90, 0.00, 35, 0.00, -1, 0, 0, 0),
+    (90, 0.10, 10, 0.00, 65, 0.00, -1, 0, 0, 0), (5, 0.00, 40, 0.00, 85, 0.00, -1, 0, 0, 0), (24, 0.00, 0, 0.00, 0, 0.00, -1, 0, 0, 0),
+    (65, 0.00, 50, 0.00, 3, 1.00, 0, 0, 0, 1), (35, 0.00, 0, 0.00, 28, 0.00, 0, 0, 0, 1), (150, 0.05, 6, 0.00, 9, 1.00, 0, 0, 0, 1),
+    (4, 0.00, 70, 0.00, 48, 0.00, 0, 0, 0, 1), (26, 0.10, 18, 0.00, 0, 0.00, 0, 0, 0, 1), (20, 0.00, 4, 0.00, 19, 0.00, 0, 0, 0, 1),
+    (1, 1.00, 66, 0.00, 50, 0.00, 0, 0, 0, 0), (3, 0.67, 70, 0.00, 45, 0.00, 0, 0, 0, 0), (2, 1.00, 90, 0.00, 0, 0.00, 0, 0, 0, 0),
+    (9, 0.00, 2, 1.00, 4, 1.00, 0, 0, 0, 0), (12, 0.90, 30, 0.00, 44, 0.00, 0, 0, 0, 0), (8, 0.00, 6, 0.50, 2, 1.00, 0, 0, 0, 0),
     (70, 0.10, 2, 0.00, 1, 1.00, 0, 1, 0, 0), (4, 0.00, 90, 0.00, 0, 0.00, 0, 1, 1, 0), (18, 0.00, 0, 0.00, 30, 0.00, 0, 1, 0, 0),
 )
 
@@ -98,14 +104,14 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
     open_tags: list[tuple[str, bool, bool]] = []  # tag, inside an article, inside what is never article text
     parts: list[tuple[str, bool]] = []  # pieces of the block and whether they are links
     links = heading = 0
-    article = aside = False
+    article = aside = own = False  # own: of the paragraph at hand
 
     def close() -> None:
         whole = html.unescape("".join(p for p, _ in parts)).split()
         if whole:
             linked = sum(len(html.unescape(p).split()) for p, link in parts if link)
             texts.append(" ".join(whole))
-            rows.append([len(whole), min(1.0, linked / len(whole)), article, aside, heading > 0])
+            rows.append([len(whole), min(1.0, linked / len(whole)), article, aside or own, heading > 0])
         parts.clear()
 
     at = 0
@@ -128,10 +134,12 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
                 close()
         elif tag in BLOCK_TAGS:
             close()
-            heading = links = 0
-            if not ends:
+            heading, links, own = 0, 0, False
+            if tag == "p":  # rarely closed, so it holds for one block only
+                own = not ends and _is_aside(tag, m[4], article)
+            elif not ends:
                 inside = article or tag in ("article", "main")
-                if tag != "p" and not m[4].rstrip().endswith("/"):
+                if not m[4].rstrip().endswith("/"):
                     open_tags.append((tag, inside, aside or _is_aside(tag, m[4], inside)))
                     _, article, aside = open_tags[-1]
             elif any(t[0] == tag for t in open_tags):

@@ -61,7 +61,7 @@ class Evidence:
     def __init__(self, texts: list[bytes], labels: list[int]):
         y = np.array(labels, float)
         self.share = float(y.mean()) if len(y) else 0.5
-        self.constant = not 0 < self.share < 1
+        self.constant = not (len(y) and 0 < self.share < 1)
         if self.constant:
             return
         x = np.array([shape(t) for t in texts])
