@@ -18,7 +18,6 @@ from marketlake.operators import incremental as INC
 from marketlake.operators import layout as LAY
 from marketlake.operators import marts, metrics, staging, timeseries
 from marketlake.operators.snapshot import PROFILE_CHECK_COLS, scd2_apply
-from marketlake.operators.suite import DECLARED_TESTS
 from marketlake.plans import fixtures as fx
 from marketlake.plans import oracle as O
 from marketlake.plans.build import build_price_star, build_warehouse, run_warehouse_tests
@@ -766,7 +765,7 @@ _G2 = ("select symbol, company_name, sector, coalesce(industry, 'Filled') as ind
        "case when symbol like '%3' then market_cap + 1 else market_cap end as market_cap, ipo_date, logo_url, "
        "web_url, exchange, timestamp '2024-03-01 00:00:00' as _loaded_at from stg_company_profiles "
        "where symbol not like '%5'")
-_SAME = " and ".join(f"g1.{c} is not distinct from g2.{c}" for c in PROFILE_CHECK_COLS)
+_SAME = " and ".join(f"g1.{c} is not distinct from g2.{c}" for c in O.PROFILE_COLUMNS)
 _PCOLS = ["symbol", "company_name", "sector", "industry", "country", "market_cap", "ipo_date", "logo_url",
           "web_url", "exchange", "_loaded_at"]
 _G1C = ", ".join(f"g1.{c}" for c in _PCOLS)
@@ -862,7 +861,7 @@ def q_stream_price_refresh(spark, sf_dir):
 # --- whole warehouse run ---------------------------------------------------------------------
 
 WAREHOUSE_RUN = dt.date(2024, 1, 31)
-_SUITE_SQL = O.suite_sql(DECLARED_TESTS, O.ACCEPTED)
+_SUITE_SQL = O.suite_sql()
 
 
 @register("warehouse_build", O.build(_SUITE_SQL, extra={"date_bounds": O.date_bounds_sql(AS_OF_S),
