@@ -1,0 +1,91 @@
+"""Publishing a table so that no failure loses rows.
+
+A new version is written whole beside the table first (``<path>.staged-<id>``).
+A marker (``<path>.commit``, renamed into place) then names it, and its
+directories are moved over the table's: all of it, or the partitions it holds.
+Only after the last move the marker goes.  A job that dies before the marker
+leaves the table as it was; one that dies later is finished by the next run:
+``recover`` repeats the moves that are left, which is the same whatever was done
+before.  Every writer calls it first, so an update is never judged against half
+a table.
+
+"First run" is decided by ``exists`` alone; any error in reading a table that is
+there fails the run.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marketlake.operators.layout import clustered
+
+ALL, PARTITIONS = "all", "partitions"
+
+
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``, an interrupted publication finished first."""
+    recover(spark, path)
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def _move(fs, source, target) -> None:
+    """Put a directory in the place of another."""
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def _mark(spark: SparkSession, path: str, staged: str, how: str) -> None:
+    fs, marker = _fs(spark, f"{path}.commit")
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.commit-{uuid.uuid4().hex}")
+    out = fs.create(fresh)
+    out.writeUTF(f"{how}\n{staged}")
+    out.close()
+    _move(fs, fresh, marker)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish the publication that a marker beside the table names, if there is one."""
+    fs, marker = _fs(spark, f"{path}.commit")
+    if not fs.exists(marker):
+        return
+    text = fs.open(marker)
+    how, staged = text.readUTF().split("\n")
+    text.close()
+    source, target = _fs(spark, staged)[1], _fs(spark, path)[1]
+    if fs.exists(source):
+        if how == ALL:
+            _move(fs, source, target)
+        else:
+            for part in fs.listStatus(source):
+                if part.isDirectory() and "=" in part.getPath().getName():
+                    _move(fs, part.getPath(), target.suffix(f"/{part.getPath().getName()}"))
+            fs.delete(source, True)
+    fs.delete(marker, False)
+
+
+def publish(df: DataFrame, path: str, partition_col: str | None = None, cluster_col: str | None = None, how: str = ALL) -> None:
+    """Write ``df`` as the table, or (``how=PARTITIONS``) as those partitions of
+    it that ``df`` has rows in.  ``df`` may read the table itself."""
+    spark = df.sparkSession
+    recover(spark, path)
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    if cluster_col:
+        # Rows of a partition value go to one task (AQE splits a heavy one),
+        # so a partition is one file, not one for each upstream task.
+        df = clustered(df, partition_col, [cluster_col])
+    writer = df.write
+    if partition_col:
+        writer = writer.partitionBy(partition_col)
+    writer.parquet(staged)
+    _mark(spark, path, staged, how)
+    recover(spark, path)

@@ -1,10 +1,8 @@
 """Incremental loads: strict watermark, keyed upsert, full refresh (I-1..I-3).
 
-Plain Parquet has no MERGE, so an upsert rewrites only the partitions the
-new rows touch, with dynamic partition overwrite: Spark writes the merged
-partitions to a staging folder and swaps each one in at job commit, so the
-job may read the partitions it replaces (a static overwrite of a path the
-plan reads is refused).  A failed job leaves the target untouched.
+Plain Parquet has no MERGE, so an upsert writes the merged partitions that the
+new rows touch beside the table and publishes them (``operators.commit``): a
+run that fails leaves the table as it was, or is finished by the next one.
 """
 
 from __future__ import annotations
@@ -15,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators.layout import clustered
+from marketlake.operators import commit
 from marketlake.session import scratch_path
 
 FIRST_WATERMARK = dt.date(1900, 1, 1)
@@ -42,26 +40,9 @@ def watermark_filter(updates: DataFrame, target: DataFrame | None, col: str = "d
     return updates.where(F.col(col) > F.lit(wm).cast("date"))
 
 
-def _write(df: DataFrame, path: str, partition_col: str, cluster_col: str | None, dynamic: bool) -> None:
-    # Rows of a partition value go to one task (AQE splits a skewed value),
-    # so a partition is one file, not one per upstream task.
-    if cluster_col:
-        df = clustered(df, partition_col, [cluster_col])
-    w = df.write.mode("overwrite").partitionBy(partition_col)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.parquet(path)
-
-
 def full_refresh(df: DataFrame, path: str, partition_col: str, cluster_col: str | None = "symbol") -> None:
-    """I-3: rebuild the table from scratch (static overwrite)."""
-    _write(df, path, partition_col, cluster_col if cluster_col in df.columns else None, dynamic=False)
-
-
-def _touched_values(updates: DataFrame, partition_col: str) -> list:
-    # One value per touched partition (bounded by the calendar), needed as a
-    # literal list so the target read is partition-pruned.
-    return [r[0] for r in updates.select(partition_col).distinct().collect()]
+    """I-3: rebuild the table from scratch."""
+    commit.publish(df, path, partition_col, cluster_col if cluster_col in df.columns else None)
 
 
 def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys: Sequence[str],
@@ -69,29 +50,28 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     """I-2: merge ``updates`` into the table at ``target_path`` by ``keys``.
 
     Rows of touched partitions whose key is not updated are kept; every
-    update row replaces or adds its key.  Untouched partitions are not read
-    or rewritten.  The update batch is written once to the shared checkpoint
-    folder first: it is used twice (touched partitions, merge) and this cuts
-    its lineage, so a lost executor never recomputes the upstream plan.
+    update row replaces or adds its key.  Untouched partitions are not
+    rewritten, and those outside the updates' range not read.  The update
+    batch is written once to the shared checkpoint folder first, as it comes
+    (no shuffle): it is used three times (range, partitions, merge) and this
+    cuts its lineage, so a lost executor never recomputes the upstream plan.
+    The merged rows are shuffled once, to their partitions.
     """
     keys = list(keys)
     # The partition column must be a function of the key (e.g. the key's
     # date or its month) so a key never moves between partitions.
     staged = scratch_path(spark, "upsert-stage")
-    _write(updates, staged, partition_col, keys[0], dynamic=False)
-    upd = spark.read.schema(schema).parquet(staged)
-    touched = _touched_values(upd, partition_col)
-    if not touched:
+    updates.write.parquet(staged)
+    upd = spark.read.schema(updates.schema).parquet(staged)
+    first, last = upd.agg(F.min(partition_col), F.max(partition_col)).first()
+    if first is None:
         return
-    try:
-        current = spark.read.schema(schema).parquet(target_path).where(F.col(partition_col).isin(touched))
-    except Exception:  # noqa: BLE001 - first load: no target yet
-        current = None
-    merged = upd
-    if current is not None:
-        kept = current.join(upd.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(upd)
-    _write(merged, target_path, partition_col, keys[0], dynamic=True)
+    merged = upd.select(*schema.fieldNames())
+    if commit.exists(spark, target_path):
+        current = spark.read.schema(schema).parquet(target_path).where(F.col(partition_col).between(first, last))
+        touched = current.join(upd.select(partition_col).distinct(), partition_col, "left_semi")
+        merged = touched.join(upd.select(*keys), keys, "left_anti").select(*schema.fieldNames()).unionByName(merged)
+    commit.publish(merged, target_path, partition_col, keys[0], commit.PARTITIONS)
 
 
 def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame, keys: Sequence[str],
@@ -100,13 +80,9 @@ def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame,
 
     ``watermark_col`` defaults to the partition column (day-partitioned
     facts); month-partitioned facts keep the watermark on ``date_key``."""
-    try:
-        target = spark.read.schema(schema).parquet(target_path)
-        target.limit(1).count()
-    except Exception:  # noqa: BLE001 - first run
-        target = None
-    if target is None:
+    if not commit.exists(spark, target_path):
         full_refresh(fresh, target_path, partition_col)
         return
+    target = spark.read.schema(schema).parquet(target_path)
     wm_col = watermark_col or partition_col
     keyed_upsert(spark, target_path, watermark_filter(fresh, target, wm_col), keys, partition_col, schema)

@@ -9,7 +9,11 @@ same inputs in the same order: the output equals a full recompute bit for
 bit, while a run reads only the new loads plus 19 rows per symbol.
 
 A symbol whose new loads touch a day at or before its state (a restatement)
-or that has no state yet is recomputed from its full raw history instead.
+or that has no state yet is recomputed from its full history instead.  The
+state also keeps the newest load time it has seen, so a run finds what landed
+since by itself; loads that a caller names count as new besides.  Without a
+fact or a state every symbol is computed from its whole history, and every run
+writes the state, so the two never drift apart.
 """
 
 from __future__ import annotations
@@ -20,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.functions.columns import normalize_symbol, safe_divide, utc_date
-from marketlake.operators import incremental, staging
+from marketlake.functions.columns import normalize_symbol, ntz_lit, safe_divide, utc_date, utc_wall_clock
+from marketlake.operators import commit, incremental, staging
 from marketlake.operators.marts import FACT_PRICE_COLUMNS
 from marketlake.operators.timeseries import ROLLING_ROWS, return_columns
 from marketlake.session import scratch_path
@@ -35,6 +39,8 @@ STATE_SCHEMA = T.StructType([
     T.StructField("last_date", T.DateType()),
     T.StructField("log_sum", T.DoubleType()),
     T.StructField("tail", T.ArrayType(TAIL_ROW)),
+    # newest load of any symbol that was there when this row was written
+    T.StructField("loaded_to", T.TimestampNTZType()),
 ])
 
 
@@ -91,78 +97,88 @@ def _as_new(stg: DataFrame) -> DataFrame:
                       F.lit(False).alias("_ctx"), F.lit(None).cast("double").alias("_seed"))
 
 
-def refresh_prices(spark: SparkSession, new_raw: DataFrame, raw_history: DataFrame, companies: DataFrame,
-                   target_path: str, state_path: str, tiebreak: Sequence[str] = ()) -> None:
-    """One incremental run of the daily price fact from new raw loads.
+def _new_loads(raw_history: DataFrame, new_raw: DataFrame | None, mark) -> DataFrame:
+    """(symbol, day) of the loads since ``mark`` and of those the caller names."""
+    def seen(raw: DataFrame) -> DataFrame:
+        return raw.select(normalize_symbol("symbol").alias("symbol"), utc_date(raw, "trading_date").alias("day"))
+
+    since = raw_history.where(utc_wall_clock(raw_history, "_loaded_at") > ntz_lit(mark)) if mark is not None \
+        else raw_history.where(F.lit(False))
+    return seen(since) if new_raw is None else seen(since).unionByName(seen(new_raw))
 
-    ``new_raw`` holds the newly landed loads (they decide which symbols are
-    touched and which are restated); ``raw_history`` is the whole raw table,
-    read in full only for symbols that need a full recompute and otherwise
-    only for days after each symbol's state.  Emits rows newer than the
-    target's global strict watermark, upserts them, and rewrites the
-    per-symbol state.
-    """
-    try:
-        old_state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-        old_state.limit(1).count()
-    except Exception:  # noqa: BLE001 - first run
-        old_state = spark.createDataFrame([], STATE_SCHEMA)
-    fact_schema = None
-    try:
-        target = spark.read.parquet(target_path)
-        target.limit(1).count()
-        fact_schema = target.schema
-    except Exception:  # noqa: BLE001 - first run
-        target = None
-    wm = incremental.target_watermark(target)
 
-    touched = (new_raw.where(F.col("symbol").isNotNull())
-               .groupBy(normalize_symbol("symbol").alias("symbol"))
-               .agg(F.min(utc_date(new_raw, "trading_date")).alias("_min_new")))
-    decided = touched.join(old_state.select("symbol", "last_date"), "symbol", "left")
-    full_syms = decided.where(F.col("last_date").isNull() | (F.col("_min_new") <= F.col("last_date"))).select("symbol")
-    inc_syms = decided.where(F.col("_min_new") > F.col("last_date")).select("symbol")
+def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history: DataFrame, companies: DataFrame,
+                   target_path: str, state_path: str, tiebreak: Sequence[str] = (), from_history: bool = False,
+                   rebuild: bool = False, staged: DataFrame | None = None) -> None:
+    """One run of the daily price fact and its per-symbol state.
 
+    ``raw_history`` is the whole raw table.  Symbols with loads newer than the
+    state's mark, or in ``new_raw``, are touched: restated ones are computed
+    from their whole history, the others from their state and the days after
+    it.  With ``from_history``, or without a fact or a state, all symbols are
+    computed from their whole history.  Rows newer than the fact's global
+    strict watermark are upserted; ``rebuild`` replaces the fact instead.
+    ``staged`` may give the staged rows of ``raw_history`` (they are then not
+    staged again where all symbols are computed).
+    """
+    have_fact, have_state = commit.exists(spark, target_path), commit.exists(spark, state_path)
+    target = spark.read.parquet(target_path) if have_fact and not rebuild else None
+    everything = from_history or rebuild or not (have_fact and have_state)
+    old_state = spark.createDataFrame([], STATE_SCHEMA) if everything else spark.read.schema(STATE_SCHEMA).parquet(state_path)
+    wm = incremental.target_watermark(target)
     tb = [c for c in tiebreak if c in raw_history.columns]
-    hist = raw_history.join(full_syms, normalize_symbol(raw_history["symbol"]) == full_syms["symbol"], "left_semi")
-    full_frame = feature_frame(_as_new(staging.stg_candles(hist, tiebreak=tb)))
-    # Stateful symbols: stage every raw load dated after the symbol's state
-    # (not only the new files), so the newest load wins exactly as in a full
-    # recompute even if load clocks are out of order.  The literal bound
-    # lets Parquet row-group statistics skip old files; the semi join then
-    # applies each symbol's own bound.
-    inc_state = old_state.join(inc_syms, "symbol", "left_semi").select(
-        F.col("symbol").alias("__s"), F.col("last_date").alias("__last"))
-    min_last = inc_state.agg(F.min("__last")).first()[0]
-    day = utc_date(raw_history, "trading_date")
-    recent = raw_history.where(day > F.lit(min_last).cast("date")) \
-        if min_last is not None else raw_history.where(F.lit(False))
-    recent = recent.join(inc_state, (normalize_symbol(recent["symbol"]) == F.col("__s"))
-                         & (day > F.col("__last")), "left_semi")
-    new_stg = staging.stg_candles(recent, tiebreak=tb)
-    loaded_type = new_stg.schema["_loaded_at"].dataType
-    inc_rows = _context_rows(old_state.join(inc_syms, "symbol", "left_semi"), loaded_type).unionByName(
-        _as_new(new_stg))
-    frame = full_frame.unionByName(feature_frame(inc_rows))
+    loaded_to = raw_history.agg(F.max(utc_wall_clock(raw_history, "_loaded_at"))).first()[0]
+
+    touched = None
+    if everything:
+        stg = staging.stg_candles(raw_history, tiebreak=tb) if staged is None else staged
+        frame = feature_frame(_as_new(stg))
+    else:
+        mark = old_state.agg(F.max("loaded_to")).first()[0]
+        touched = (_new_loads(raw_history, new_raw, mark).where(F.col("symbol").isNotNull())
+                   .groupBy("symbol").agg(F.min("day").alias("_min_new")))
+        decided = touched.join(old_state.select("symbol", "last_date"), "symbol", "left")
+        full_syms = decided.where(F.col("last_date").isNull() | (F.col("_min_new") <= F.col("last_date"))).select("symbol")
+        inc_syms = decided.where(F.col("_min_new") > F.col("last_date")).select("symbol")
+        hist = raw_history.join(full_syms, normalize_symbol(raw_history["symbol"]) == full_syms["symbol"], "left_semi")
+        full_frame = feature_frame(_as_new(staging.stg_candles(hist, tiebreak=tb)))
+        # Stateful symbols: stage every raw load dated after the symbol's state
+        # (not only the new files), so the newest load wins exactly as in a full
+        # recompute even if load clocks are out of order.  The literal bound
+        # lets Parquet row-group statistics skip old files; the semi join then
+        # applies each symbol's own bound.
+        inc_state = old_state.join(inc_syms, "symbol", "left_semi").select(
+            F.col("symbol").alias("__s"), F.col("last_date").alias("__last"))
+        min_last = inc_state.agg(F.min("__last")).first()[0]
+        day = utc_date(raw_history, "trading_date")
+        recent = raw_history.where(day > F.lit(min_last).cast("date")) \
+            if min_last is not None else raw_history.where(F.lit(False))
+        recent = recent.join(inc_state, (normalize_symbol(recent["symbol"]) == F.col("__s"))
+                             & (day > F.col("__last")), "left_semi")
+        new_stg = staging.stg_candles(recent, tiebreak=tb)
+        loaded_type = new_stg.schema["_loaded_at"].dataType
+        inc_rows = _context_rows(old_state.join(inc_syms, "symbol", "left_semi"), loaded_type).unionByName(
+            _as_new(new_stg))
+        frame = full_frame.unionByName(feature_frame(inc_rows))
 
     # cut lineage once: the frame feeds both the fact rows and the new state
     frame_path = scratch_path(spark, "price-frame")
-    frame.write.mode("overwrite").parquet(frame_path)
+    frame.write.parquet(frame_path)
     frame = spark.read.schema(frame.schema).parquet(frame_path)
 
     rows = frame.where(~F.col("_ctx") & F.col("prev_close").isNotNull())
     fact = rows.join(companies.select("symbol", "sector"), "symbol", "left").select(*FACT_PRICE_COLUMNS)
-    if fact_schema is not None:
-        fact = fact.select(*[F.col(f.name).cast(f.dataType) for f in fact_schema.fields])
-    fresh = fact.where(F.col("date_key") > F.lit(wm))
     if target is None:
-        incremental.full_refresh(fresh, target_path, "date_key")
+        incremental.full_refresh(fact, target_path, "date_key")
     else:
+        fact = fact.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
+        fresh = fact.where(F.col("date_key") > F.lit(wm))
         incremental.keyed_upsert(spark, target_path, fresh, ["symbol", "date_key"], "date_key", fresh.schema)
 
-    new_state = state_of(frame)
     # touched symbols take their new state (none if no staged row is left)
-    kept = old_state.join(touched.select("symbol"), "symbol", "left_anti")
-    staged = scratch_path(spark, "price-state")
-    kept.unionByName(new_state).write.mode("overwrite").parquet(staged)
-    spark.read.schema(STATE_SCHEMA).parquet(staged).write.mode("overwrite").parquet(state_path)
+    new_state = state_of(frame)
+    kept = old_state.drop("loaded_to")
+    if touched is not None:
+        kept = kept.join(touched.select("symbol"), "symbol", "left_anti")
+    mark = F.lit(None).cast("timestamp_ntz") if loaded_to is None else ntz_lit(loaded_to)
+    commit.publish(kept.unionByName(new_state).withColumn("loaded_to", mark), state_path)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketlake.functions.columns import ntz_lit
+from marketlake.operators import commit
 
 # The columns whose change opens a new profile version.
 PROFILE_CHECK_COLS = ["company_name", "exchange", "industry", "country", "market_cap",
@@ -19,22 +22,30 @@ META = ["valid_from", "valid_to", "is_current"]
 
 def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, check_cols: Sequence[str],
                run_ts: dt.datetime) -> DataFrame:
-    """Apply one snapshot run and return the full new history.
+    """Apply one snapshot run and return the full new history: the closed
+    versions untouched, and ``scd2_changes`` of the open ones."""
+    if history is None:
+        return scd2_changes(None, current, key, check_cols, run_ts)
+    closed = history.where(~F.col("is_current")).select(*current.columns, *META)
+    return closed.unionByName(scd2_changes(history.where(F.col("is_current")), current, key, check_cols, run_ts))
+
+
+def scd2_changes(open_: DataFrame | None, current: DataFrame, key: str, check_cols: Sequence[str],
+                 run_ts: dt.datetime) -> DataFrame:
+    """The open versions after a run, and those that the run closes.
 
     One full outer join of the open versions with the current rows on the
     key (each side has one row per key) decides per key: unchanged -> keep
     the open row; changed (NULL-safe compare over ``check_cols``) -> close it
     at ``run_ts`` and open the new version; new key -> open it; vanished key
-    -> leave it open.  Closed versions pass through untouched.
+    -> leave it open.
     """
     run = ntz_lit(run_ts)
     data_cols = current.columns
-    if history is None:
+    if open_ is None:
         return current.select(*data_cols, run.alias("valid_from"),
                               F.lit(None).cast("timestamp_ntz").alias("valid_to"),
                               F.lit(True).alias("is_current"))
-    closed = history.where(~F.col("is_current"))
-    open_ = history.where(F.col("is_current"))
     h = open_.select(*[F.col(c).alias(f"h_{c}") for c in data_cols + META])
     c = current.select(*[F.col(x).alias(f"c_{x}") for x in data_cols])
     j = h.join(c, F.col(f"h_{key}") == F.col(f"c_{key}"), "full_outer")
@@ -56,5 +67,26 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, check_co
     versions = (F.when(changed, F.array(close_old, open_new))
                 .when(has_h, F.array(keep_old))
                 .otherwise(F.array(open_new)))
-    out = j.select(F.explode(versions).alias("v")).select("v.*")
-    return closed.select(*data_cols, *META).unionByName(out)
+    return j.select(F.explode(versions).alias("v")).select("v.*")
+
+
+#: Partition of the open versions; a run's closed versions have one of their own.
+PART, OPEN = "_part", "open"
+
+
+def read_snapshot(spark: SparkSession, path: str, data_schema: T.StructType, open_only: bool = False) -> DataFrame:
+    """The history written by ``run_snapshot``."""
+    fields = [*data_schema.fields, T.StructField("valid_from", T.TimestampNTZType()), T.StructField("valid_to", T.TimestampNTZType()),
+              T.StructField("is_current", T.BooleanType()), T.StructField(PART, T.StringType())]
+    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    return (df.where(F.col(PART) == OPEN) if open_only else df).drop(PART)
+
+
+def run_snapshot(spark: SparkSession, path: str, current: DataFrame, key: str, check_cols: Sequence[str], run_ts: dt.datetime) -> None:
+    """One run over the table at ``path``: the open versions are replaced, the
+    versions that the run closes are added in a partition of their own, and
+    older closed versions are neither read nor written."""
+    before = read_snapshot(spark, path, current.schema, open_only=True) if commit.exists(spark, path) else None
+    after = scd2_changes(before, current, key, check_cols, run_ts)
+    own = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    commit.publish(after.withColumn(PART, F.when(F.col("is_current"), OPEN).otherwise(own)), path, PART, how=commit.PARTITIONS)

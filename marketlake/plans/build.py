@@ -8,9 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from marketlake.operators import (
-    incremental, layout, marts, metrics, price_state, snapshot, staging, suite, timeseries,
+    commit, incremental, layout, marts, metrics, price_state, snapshot, staging, suite, timeseries,
 )
-from marketlake.session import scratch_path
 from marketlake.sources.raw import read_raw, read_seed
 
 
@@ -32,16 +31,12 @@ def build_price_star(raw_candles: DataFrame, seed: DataFrame, raw_profiles: Data
     return Star(stg, companies, fact)
 
 
-def sector_performance(star: Star) -> DataFrame:
-    return metrics.sector_performance(star.fct_daily_prices)
-
-
 # --- full warehouse run: raw tables -> staging -> marts -> metrics -> tests ---------------
 
 
 def _materialize(spark, df: DataFrame, path: str) -> DataFrame:
-    """Full rebuild of a small table (dimension, metric) and read it back."""
-    df.write.mode("overwrite").parquet(path)
+    """Full rebuild of a table (staged candles, dimension, metric) and read it back."""
+    commit.publish(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -52,19 +47,21 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     """One warehouse run (model build in dependency order), returning every
     model by name.
 
-    Staging and intermediate models stay lazy views; dimensions and metrics
+    Staged candles are written once and read by every model over them; other
+    staging and intermediate models stay lazy views; dimensions and metrics
     are rebuilt; the three facts are incremental (strict watermark + keyed
     upsert into day/month partitions); company profiles get a type-2
     snapshot.  Run it again on new raw files for an incremental refresh.
 
-    ``new_candles`` (the raw candle loads landed since the last run) switches
-    the price fact to the per-symbol state refresh: the run reads those loads
-    plus 19 rows per symbol instead of every symbol's full history, with the
-    same output.  Without it every run recomputes the windows over history.
+    ``new_candles`` (raw candle loads of this run) switches the price fact to
+    the per-symbol state refresh: windows continue from 19 rows per symbol
+    instead of every symbol's full history, with the same output; loads that
+    landed since the last run and are not among them are found by their load
+    time.  Without it every run recomputes the windows over history.  Either
+    way the run writes the state.
 
-    ``full_refresh`` rebuilds the three facts from scratch (static overwrite,
-    no watermark: late and restated rows are picked up) and resets the price
-    state.
+    ``full_refresh`` rebuilds the three facts from scratch (no watermark: late
+    and restated rows are picked up).
     """
     schemas = schemas or {}
 
@@ -76,7 +73,7 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
 
     seed = read_seed(spark, seed_path)
     raw_c, raw_p, raw_f = raw("candles"), raw("company_profiles"), raw("company_financials")
-    stg_c = staging.stg_candles(raw_c, tiebreak=tb(raw_c))
+    stg_c = _materialize(spark, staging.stg_candles(raw_c, tiebreak=tb(raw_c)), f"{out_root}/stg_candles")
     stg_p = staging.stg_company_profiles(raw_p, seed, tiebreak=tb(raw_p))
     stg_f = staging.stg_company_financials(raw_f, tiebreak=tb(raw_f))
     stg_n = None
@@ -105,14 +102,8 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
             incremental.incremental_refresh(spark, path, df, keys, partition_col, df.schema,
                                             watermark_col=watermark_col)
 
-    if full_refresh:
-        incremental.full_refresh(fact, fact_path, "date_key")
-        # the state is rebuilt from scratch on the next stateful run
-        spark.createDataFrame([], price_state.STATE_SCHEMA).write.mode("overwrite").parquet(state_path)
-    elif new_candles is not None:
-        price_state.refresh_prices(spark, new_candles, raw_c, comp, fact_path, state_path, tiebreak=tb(raw_c))
-    else:
-        refresh(fact, fact_path, ["symbol", "date_key"], "date_key")
+    price_state.refresh_prices(spark, new_candles, raw_c, comp, fact_path, state_path, tiebreak=tb(raw_c),
+                               from_history=new_candles is None, rebuild=full_refresh, staged=stg_c)
     out["fct_daily_prices"] = layout.read_partitioned(spark, fact_path, fact.schema)
 
     fin = layout.month_partition(marts.fct_company_financials(stg_f))
@@ -130,18 +121,9 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     out["sector_volatility"] = _materialize(spark, metrics.sector_volatility(prices, as_of),
                                             f"{out_root}/sector_volatility")
 
-    # type-2 snapshot: new history is staged, then replaces the table
     snap_path = f"{out_root}/snap_company_profiles"
-    try:
-        history = spark.read.parquet(snap_path)
-        history.limit(1).count()
-    except Exception:  # noqa: BLE001 - first run
-        history = None
-    new_hist = snapshot.scd2_apply(history, stg_p, "symbol", snapshot.PROFILE_CHECK_COLS, run_ts)
-    staged = scratch_path(spark, "snapshot-stage")
-    new_hist.write.mode("overwrite").parquet(staged)
-    spark.read.schema(new_hist.schema).parquet(staged).write.mode("overwrite").parquet(snap_path)
-    out["snap_company_profiles"] = spark.read.schema(new_hist.schema).parquet(snap_path)
+    snapshot.run_snapshot(spark, snap_path, stg_p, "symbol", snapshot.PROFILE_CHECK_COLS, run_ts)
+    out["snap_company_profiles"] = snapshot.read_snapshot(spark, snap_path, stg_p.schema)
     return out
 
 

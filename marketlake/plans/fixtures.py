@@ -12,54 +12,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.session import sf_path
-from marketlake.sources.raw import spread_narrow_scan
-
-
-# Primary keys used to spread a scan that is narrower than the cluster.
-SPREAD_KEYS = {
-    "events": ["event_id"],
-    "orders": ["o_orderkey"],
-    "lineitem": ["l_orderkey", "l_linenumber"],
-    "customer": ["c_custkey"],
-}
-
-
-_READS: dict[tuple[int, str], DataFrame] = {}
-
-
-def _session_key(spark: SparkSession) -> int:
-    return id(getattr(spark, "_jsparkSession", spark))
-
-
-def session_cached(fn):
-    """Define a view once per (session, data folder): DataFrames are
-    immutable plans, so every query of the session can share the object."""
-    cache: dict[tuple, DataFrame] = {}
-
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (_session_key(spark), sf_dir, *args)
-        if key not in cache:
-            cache[key] = fn(spark, sf_dir, *args)
-        return cache[key]
-
-    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
-    return wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, read once per session (schema inference runs a job;
-    the immutable DataFrame is shared by every view that needs it)."""
-    path = sf_path(sf_dir, name)
-    key = (_session_key(spark), path)
-    if key not in _READS:
-        df = spark.read.parquet(path)
-        if name in SPREAD_KEYS:
-            df = spread_narrow_scan(df, SPREAD_KEYS[name])
-        _READS[key] = df
-    return _READS[key]
+    """A driver table."""
+    return spark.read.parquet(sf_path(sf_dir, name))
 
 
 def sym(n: Column, sep: str) -> Column:
+    """Symbol of a traded company: multiples of 10 are listed under names that
+    the seed does not have, the others under the seed's."""
+    return F.when(n % 10 == 0, F.concat(F.lit("N"), n.cast("string"))).otherwise(seed_sym(n, sep))
+
+
+def seed_sym(n: Column, sep: str) -> Column:
     """Symbol for an integer id: 7 is the share-class name, multiples of 7 get
     a class suffix, the rest are plain."""
     return (
@@ -73,7 +39,6 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k")
 
 
-@session_cached
 def fx_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw candles: ~2.5 loads per (symbol, day), NULL closes, .5 volumes,
     zero volumes, dirty symbols (case and padding)."""
@@ -94,7 +59,6 @@ def fx_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@session_cached
 def fx_candles_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse multi-year candles from orders (1992-1998)."""
     o = table(spark, sf_dir, "orders")
@@ -111,7 +75,6 @@ def fx_candles_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@session_cached
 def fx_candles_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark candles from lineitem: one symbol per supplier."""
     li = table(spark, sf_dir, "lineitem")
@@ -137,22 +100,12 @@ def _region_of_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(r, n["n_regionkey"] == r["r_regionkey"]))
 
 
-@session_cached
 def fx_sector_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed: symbol -> sector (region name); every 10th customer is missing."""
-    j = _region_of_customer(spark, sf_dir).where(F.col("c_custkey") % 10 != 0)
-    return j.select(sym(F.col("c_custkey"), ".").alias("symbol"), F.col("r_name").alias("sector"))
-
-
-@session_cached
-def fx_sector_map_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed for the ``C<custkey>`` symbols of ``fx_candles_long``."""
-    j = _region_of_customer(spark, sf_dir).where(F.col("c_custkey") % 10 != 0)
-    return j.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("symbol"),
-                    F.col("r_name").alias("sector"))
+    """Seed: symbol -> sector (region name) of every customer."""
+    j = _region_of_customer(spark, sf_dir)
+    return j.select(seed_sym(F.col("c_custkey"), ".").alias("symbol"), F.col("r_name").alias("sector"))
 
 
-@session_cached
 def fx_sector_map_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed for the ``S<suppkey>`` symbols of ``fx_candles_scale``."""
     s = table(spark, sf_dir, "supplier")
@@ -163,7 +116,6 @@ def fx_sector_map_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("sector"))
 
 
-@session_cached
 def fx_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw profiles: dashed share classes, NULL industry, classifier quirks."""
     c = table(spark, sf_dir, "customer")
@@ -187,7 +139,6 @@ def fx_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@session_cached
 def fx_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw news: hour-truncated times, duplicate stories, NULL urls."""
     e = table(spark, sf_dir, "events")
@@ -208,7 +159,6 @@ def fx_news(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@session_cached
 def fx_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw financials; the 52-week range alternates between two column names."""
     e = table(spark, sf_dir, "events")
@@ -241,7 +191,6 @@ def epoch_of(ts: Column) -> Column:
             + F.minute(ts) * 60 + F.second(ts))
 
 
-@session_cached
 def fx_candle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 3-bar candle response per event: ``signup`` -> ``no_data``,
     ``error`` -> a short volume array, every 10th purchase -> NULL."""
@@ -262,7 +211,6 @@ def fx_candle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(null_payload, F.lit(None).cast("string")).otherwise(F.to_json(body)).alias("payload"))
 
 
-@session_cached
 def fx_profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile object per customer; some lack a ticker or have an empty one."""
     c = table(spark, sf_dir, "customer")
@@ -279,7 +227,6 @@ def fx_profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.to_json(body).alias("payload"))
 
 
-@session_cached
 def fx_news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A 2-item news list per event (second item without a time); ``error``
     events get an error object, ``signup`` events an empty list."""
@@ -298,7 +245,6 @@ def fx_news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(sym(F.col("user_id"), ".").alias("symbol"), payload.alias("payload"))
 
 
-@session_cached
 def fx_financial_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A metrics response per event: NULL (signup), ``{}`` (view), without
     ``metric`` (click) or full."""
@@ -314,7 +260,6 @@ def fx_financial_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(sym(F.col("user_id"), "-").alias("symbol"), payload.alias("payload"))
 
 
-@session_cached
 def fx_fallback_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second provider's flat daily bars (NULL close and volume on errors)."""
     e = table(spark, sf_dir, "events")
@@ -330,7 +275,6 @@ def fx_fallback_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@session_cached
 def fx_candles_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fx_candles_scale`` where a third of all rows are loads of one symbol
     (skew check: dedup must pre-aggregate the hot key map-side)."""

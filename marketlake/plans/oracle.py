@@ -13,11 +13,15 @@ from __future__ import annotations
 J = "json_extract_string(props,'$.k')"
 
 
-def SYM(n: str, s: str) -> str:
+def SEED_SYM(n: str, s: str) -> str:
     return (f"case when {n}=7 then 'BRK{s}B' when {n}%7=0 then concat('U',{n},'{s}B') "
             f"else concat('U',{n}) end")
 
 
+def SYM(n: str, s: str) -> str:
+    return f"if({n} % 10 = 0, concat('N', {n}), {SEED_SYM(n, s)})"
+
+
 def SAFE_DIV(n: str, d: str) -> str:
     return f"(case when ({d}) is null or ({d}) = 0 then null else ({n}) / ({d}) end)"
 
@@ -82,9 +86,8 @@ select o_orderkey as event_id, concat('C',o_custkey) as symbol, cast(o_orderdate
 from orders"""
 
 CTES["fx_sector_map"] = f"""
-select {SYM('c_custkey','.')} as symbol, r_name as sector
-from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey
-where c_custkey%10<>0"""
+select {SEED_SYM('c_custkey','.')} as symbol, r_name as sector
+from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey"""
 
 CTES["fx_candles_scale"] = """
 select l_orderkey*8 + l_linenumber as event_id, concat('S', l_suppkey) as symbol,
@@ -97,11 +100,6 @@ CTES["fx_sector_map_scale"] = """
 select concat('S', s_suppkey) as symbol, r_name as sector
 from supplier join nation on s_nationkey=n_nationkey join region on n_regionkey=r_regionkey"""
 
-CTES["fx_sector_map_long"] = """
-select concat('C',c_custkey) as symbol, r_name as sector
-from customer join nation on c_nationkey=n_nationkey join region on n_regionkey=r_regionkey
-where c_custkey%10<>0"""
-
 CTES["fx_profiles"] = f"""
 select {SYM('c_custkey','-')} as symbol, c_name as company_name,
   case when c_custkey%11=0 then null when c_custkey%13=0 then 'Biotechnology'

@@ -75,13 +75,11 @@ def register(key: str, sql: str | None, exact=()):
 
 
 # --- shared builders --------------------------------------------------------
-@fx.session_cached
 def star(spark, sf_dir):
     return build_price_star(fx.fx_candles(spark, sf_dir), fx.fx_sector_map(spark, sf_dir),
                             fx.fx_profiles(spark, sf_dir))
 
 
-@fx.session_cached
 def stg(spark, sf_dir):
     return staging.stg_candles(fx.fx_candles(spark, sf_dir), tiebreak=["event_id"])
 
@@ -237,17 +235,14 @@ FIN_DOUBLES = ("pe_ratio", "pb_ratio", "eps_ttm", "dividend_yield", "beta", "wee
                "market_cap")
 
 
-@fx.session_cached
 def stg_fin(spark, sf_dir):
     return staging.stg_company_financials(fx.fx_financials(spark, sf_dir), tiebreak=["event_id"])
 
 
-@fx.session_cached
 def stg_news(spark, sf_dir):
     return staging.stg_company_news(fx.fx_news(spark, sf_dir), tiebreak=["event_id"])
 
 
-@fx.session_cached
 def stg_profiles(spark, sf_dir):
     return staging.stg_company_profiles(fx.fx_profiles(spark, sf_dir), fx.fx_sector_map(spark, sf_dir))
 
@@ -344,7 +339,6 @@ AS_OF_LONG = dt.date(1998, 6, 30)
 AS_OF_LONG_S = AS_OF_LONG.isoformat()
 
 
-@fx.session_cached
 def star_scale(spark, sf_dir):
     """Multi-year star over lineitem-derived candles (one symbol per supplier)."""
     return build_price_star(fx.fx_candles_scale(spark, sf_dir), fx.fx_sector_map_scale(spark, sf_dir),
@@ -852,8 +846,7 @@ def q_stream_price_refresh(spark, sf_dir):
     for wave in (raw.where(F.col("trading_date") <= F.lit(STREAM_CUT)),
                  raw.where(F.col("trading_date") > F.lit(STREAM_CUT))):
         WR.write_raw_partitioned(wave, root, "candles")
-        q = start_price_refresh(spark, root, raw.schema, s.dim_companies, target, ckpt, tiebreak=["event_id"],
-                                state_path=state)
+        q = start_price_refresh(spark, root, raw.schema, s.dim_companies, target, ckpt, state, tiebreak=["event_id"])
         q.awaitTermination()
     return LAY.read_partitioned(spark, target, s.fct_daily_prices.schema)
 

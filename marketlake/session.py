@@ -63,13 +63,15 @@ def ensure_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a fresh folder created
-    and registered as the checkpoint directory.
+    Without that setting a session on one machine (local master, as in tests)
+    gets a fresh folder; on a cluster a folder of the driver's machine would
+    not be seen by the executors, so the setting is required there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="marketlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

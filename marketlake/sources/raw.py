@@ -125,30 +125,6 @@ def read_raw(spark: SparkSession, root: str, table: str, schema: T.StructType |
     return df.where(partition_filter) if partition_filter is not None else df
 
 
-# Scans with more splits than this are never spread: their row groups already
-# give enough parallelism, and a hash shuffle of a large table costs more than
-# it saves (at 128 MB splits this caps the extra shuffle at ~2 GB).
-MAX_SPREAD_SPLITS = 16
-
-
-def spread_narrow_scan(df: DataFrame, keys, min_partitions: int | None = None) -> DataFrame:
-    """Hash-spread a small scan whose data sits in a few large row groups.
-
-    A file written as one row group is read by a single task even when it is
-    split several ways, so the per-row work before the first shuffle would be
-    serial.  Such a scan (2 to ``MAX_SPREAD_SPLITS`` splits, fewer than the
-    cluster's cores) is hash-repartitioned by its key.  A single split (a few
-    MB) is too small to pay for a shuffle, and a large scan is left alone:
-    no extra shuffle at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    try:
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect)
-        return df
-    return df.repartition(target, *keys) if 1 < n < target and n <= MAX_SPREAD_SPLITS else df
-
-
 def read_seed(spark: SparkSession, path: str) -> DataFrame:
     """S-2: the sector seed CSV (header row, explicit schema)."""
     return spark.read.schema(SEED_SCHEMA).option("header", True).csv(path)

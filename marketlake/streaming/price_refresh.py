@@ -5,59 +5,42 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from marketlake.functions.columns import normalize_symbol
-from marketlake.operators import incremental, marts, price_state, staging
-from marketlake.session import scratch_path
+from marketlake.operators import price_state
 from marketlake.sources.raw import read_raw, with_partition_fields
 
-FACT_KEYS = ["symbol", "date_key"]
-
 
 def refresh_batch(spark: SparkSession, batch: DataFrame, raw_root: str, raw_schema: T.StructType,
-                  companies: DataFrame, target_path: str, tiebreak: Sequence[str] = ()) -> None:
-    """One incremental model run for the symbols a micro-batch touched.
+                  companies: DataFrame, target_path: str, state_path: str, tiebreak: Sequence[str] = ()) -> None:
+    """One incremental run of the price fact for what a micro-batch landed.
 
-    Windows need each symbol's whole history, so the touched symbols are
-    re-read from the raw table (semi join on the batch's distinct symbols),
-    the fact is rebuilt for them, the target's strict watermark keeps only
-    newer days, and the keyed upsert makes re-delivery of a batch harmless.
+    Touched symbols continue from the per-symbol state; the raw table gives
+    the loads that the batch does not hold and the history of restated or
+    unknown symbols.  The strict watermark and the keyed upsert make
+    re-delivery of a batch harmless.
     """
-    touched = batch.select(normalize_symbol("symbol").alias("__sym")).distinct()
     history = read_raw(spark, raw_root, "candles", schema=raw_schema)
-    history = history.join(touched, normalize_symbol(history["symbol"]) == F.col("__sym"), "left_semi")
-    stg = staging.stg_candles(history, tiebreak=[c for c in tiebreak if c in history.columns])
-    fact = marts.fct_daily_prices(stg, companies)
-    incremental.incremental_refresh(spark, target_path, fact, FACT_KEYS, "date_key", fact.schema)
+    price_state.refresh_prices(spark, batch, history, companies, target_path, state_path,
+                               [c for c in tiebreak if c in history.columns])
 
 
 def start_price_refresh(spark: SparkSession, raw_root: str, raw_schema: T.StructType, companies: DataFrame,
-                        target_path: str, checkpoint: str | None = None, available_now: bool = True,
-                        tiebreak: Sequence[str] = (), state_path: str | None = None) -> StreamingQuery:
-    """Start the stream; ``checkpoint`` defaults to a fresh folder under the
-    session's shared ``spark.checkpoint.dir`` (progress survives restarts
-    and lost executors; the upsert is idempotent per batch).
-
-    With ``state_path`` each batch uses the per-symbol state
-    (``operators.price_state``): it reads only the new files plus 19 rows per
-    symbol, falling back to a full recompute for restated symbols.  Without
-    it, touched symbols are recomputed from their whole history.
+                        target_path: str, checkpoint: str, state_path: str, available_now: bool = True,
+                        tiebreak: Sequence[str] = ()) -> StreamingQuery:
+    """Start the stream.
+
+    ``checkpoint`` is the stream's folder for progress, the same one at every
+    start; fact and state (``operators.price_state``) belong together.
     """
     full = with_partition_fields(raw_schema, "candles")
     source = (spark.readStream.schema(full).option("basePath", f"{raw_root}/candles")
               .parquet(f"{raw_root}/candles"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if state_path:
-            history = read_raw(spark, raw_root, "candles", schema=raw_schema)
-            price_state.refresh_prices(spark, batch, history, companies, target_path, state_path, tiebreak)
-        else:
-            refresh_batch(spark, batch, raw_root, raw_schema, companies, target_path, tiebreak)
-
-    writer = (source.writeStream.foreachBatch(run)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-ckpt")))
+        refresh_batch(spark, batch, raw_root, raw_schema, companies, target_path, state_path, tiebreak)
+
+    writer = source.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -6,7 +6,7 @@ from marketlake.operators import quality as Q
 from marketlake.session import scratch_path
 from marketlake.sources import raw as RAW
 from marketlake.sources import writers as WR
-from marketlake.sources.universe import DEFAULT_SYMBOLS, filter_universe, parse_symbol_list
+from marketlake.sources.universe import default_seed, filter_universe, parse_symbol_list
 from tests.conftest import rows
 
 CANDLE = ("symbol string, trading_date date, open double, high double, low double, close double, "
@@ -51,7 +51,8 @@ def test_ingest_windows(spark):
 
 def test_universe(spark):
     assert parse_symbol_list(" aapl, ,msft ,") == ["aapl", "msft"]
-    assert parse_symbol_list("  ") == DEFAULT_SYMBOLS and len(DEFAULT_SYMBOLS) == 50
+    seed = rows(default_seed(spark))
+    assert sorted(parse_symbol_list("  ")) == [s for s, _ in seed] and len({s for s, _ in seed}) == 50 and len({x for _, x in seed}) == 11
     df = spark.createDataFrame([(" aapl ",), ("ZZZ",), ("brk.b",)], "symbol string")
     assert rows(filter_universe(df)) == [(" aapl ",), ("brk.b",)]
     seed = spark.createDataFrame([("ZZZ", "X")], "symbol string, sector string")
@@ -115,17 +116,6 @@ def test_landing_conforms_numeric_drift(spark):
     assert rows(back, "symbol", "volume") == [("A", 10.0), ("B", 2.5)]
 
 
-def test_broadcast_if_bounded(spark):
-    from marketlake.operators.joins import broadcast_if_bounded
-    small = spark.range(10)
-    big = spark.range(100)
-    left = spark.range(1000).withColumnRenamed("id", "k")
-    p_small = left.join(broadcast_if_bounded(small, max_rows=50), left.k == small.id)._jdf.queryExecution().executedPlan().toString()
-    p_big = left.join(broadcast_if_bounded(big, max_rows=50), left.k == big.id)
-    assert "BroadcastHashJoin" in p_small
-    assert p_big.count() == 100  # unhinted above the bound, still correct
-
-
 def test_missing_raw_table_reads_empty(spark):
     import pytest
     root = scratch_path(spark, "t-missing")
