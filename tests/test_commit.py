@@ -1,0 +1,185 @@
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlake.operators import commit, incremental, marts, price_state, snapshot, staging
+from marketlake.operators.marts import FACT_PRICE_COLUMNS
+from marketlake.plans import fixtures as fx
+from marketlake.plans import registry as R
+from marketlake.plans.build import build_warehouse
+from marketlake.session import checkpoint_root, scratch_path
+from marketlake.sources import writers as WR
+from marketlake.sources.raw import read_raw
+from tests.conftest import rows
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "symbol string, date_key date, close double"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+
+
+def d(i):
+    return dt.date(2024, 1, 1) + dt.timedelta(days=i)
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+def spoil(path):
+    """Make one data file unreadable."""
+    for folder, _, names in os.walk(local(path)):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(os.path.join(folder, name), "wb") as f:
+                    f.write(b"no parquet")
+                crc = os.path.join(folder, f".{name}.crc")
+                if os.path.exists(crc):
+                    os.remove(crc)
+                return
+
+
+def fact(spark, path, schema=SCHEMA):
+    return rows(spark.read.schema(schema).parquet(path), "symbol", "date_key", "close")
+
+
+def break_after(monkeypatch, moves):
+    """Let the publication die after so many moved directories."""
+    real, left = commit._move, [moves]
+
+    def move(fs, source, target):
+        if "staged" in str(source.toString()):
+            if not left[0]:
+                raise OSError("the job died")
+            left[0] -= 1
+        real(fs, source, target)
+
+    monkeypatch.setattr(commit, "_move", move)
+
+
+def test_an_unreadable_file_fails_the_run_and_keeps_the_table(spark):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    path = scratch_path(spark, "t-spoilt")
+    incremental.full_refresh(spark.createDataFrame([("A", d(1), 1.0), ("B", d(1), 1.0)], SCHEMA), path, "date_key")
+    spoil(path)
+    before = sorted(os.listdir(local(path)))
+    with pytest.raises(Exception):
+        incremental.incremental_refresh(spark, path, spark.createDataFrame([("A", d(1), 2.0), ("A", d(2), 2.0)], SCHEMA), ["symbol", "date_key"], "date_key", schema, "close")
+    assert sorted(os.listdir(local(path))) == before
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_a_commit_stopped_half_way_is_finished_by_the_next_run(spark, monkeypatch, moves):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    path = scratch_path(spark, "t-half")
+    incremental.full_refresh(spark.createDataFrame([("A", d(i), 1.0) for i in range(3)], SCHEMA), path, "date_key")
+    second = spark.createDataFrame([("A", d(i), 2.0) for i in range(6)], SCHEMA)
+    with monkeypatch.context() as m:
+        break_after(m, moves)
+        with pytest.raises(OSError):
+            incremental.incremental_refresh(spark, path, second, ["symbol", "date_key"], "date_key", schema)
+    incremental.incremental_refresh(spark, path, second, ["symbol", "date_key"], "date_key", schema)
+    assert fact(spark, path) == [("A", d(i), 1.0 if i < 3 else 2.0) for i in range(6)]
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_snapshots_survive_a_stopped_commit_and_bad_files(spark, monkeypatch, moves):
+    schema = "symbol string, name string"
+    path = scratch_path(spark, "t-snap")
+    current = lambda *pairs: spark.createDataFrame(pairs, schema)
+    run = lambda df, day: snapshot.run_snapshot(spark, path, df, "symbol", ["name"], dt.datetime(2024, 1, day))
+    run(current(("A", "a"), ("B", "b")), 1)
+    run(current(("A", "a2"), ("B", "b")), 2)
+    with monkeypatch.context() as m:
+        break_after(m, moves)
+        with pytest.raises(OSError):
+            run(current(("A", "a3"), ("B", "b")), 3)
+    run(current(("A", "a3"), ("B", "b")), 4)
+    table = snapshot.read_snapshot(spark, path, current(("A", "a")).schema)
+    got = rows(table, "symbol", "name", "valid_from", "valid_to", "is_current")
+    t = lambda day: dt.datetime(2024, 1, day)
+    assert got == [("A", "a", t(1), t(2), False), ("A", "a2", t(2), t(3), False), ("A", "a3", t(3), None, True), ("B", "b", t(1), None, True)]
+    older = [f for f in os.listdir(local(path)) if f.startswith("_part=20240102")]
+    stamps = [os.stat(f"{local(path)}/{f}").st_mtime_ns for f in older]
+    run(current(("A", "a4"), ("B", "b")), 5)
+    assert older and stamps == [os.stat(f"{local(path)}/{f}").st_mtime_ns for f in older]  # closed versions are not rewritten
+    spoil(f"{path}/_part=open")
+    with pytest.raises(Exception):
+        run(current(("A", "a9")), 6)
+
+
+def test_a_cluster_needs_the_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(ValueError):
+        checkpoint_root(Session)
+
+
+def full_fact(raw, companies):
+    return marts.fct_daily_prices(staging.stg_candles(raw, tiebreak=["event_id"]), companies).select(*FACT_PRICE_COLUMNS)
+
+
+def same(a, b):
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@needs_data
+def test_first_run_and_skipped_landing_take_every_symbol(spark):
+    raw, comp = fx.fx_candles(spark, SF), R.star(spark, SF).dim_companies
+    two = F.upper(F.trim("symbol")).isin("U1", "U2")
+    cut = F.col("trading_date") <= F.lit(dt.date(2024, 1, 15))
+    target, state = scratch_path(spark, "t-f"), scratch_path(spark, "t-s")
+    price_state.refresh_prices(spark, raw.where(cut & two), raw.where(cut), comp, target, state, ["event_id"])
+    same(spark.read.parquet(target).select(*FACT_PRICE_COLUMNS), full_fact(raw.where(cut), comp))
+    # the second run is only told of two symbols' landing, the rest was skipped
+    later = raw.withColumn("_loaded_at", F.when(cut, F.col("_loaded_at")).otherwise(F.col("_loaded_at") + F.expr("INTERVAL 30 DAYS")))
+    price_state.refresh_prices(spark, later.where(~cut & two), later, comp, target, state, ["event_id"])
+    first = full_fact(raw.where(cut), comp)
+    newest = first.agg(F.max("date_key")).first()[0]
+    same(spark.read.parquet(target).select(*FACT_PRICE_COLUMNS), first.unionByName(full_fact(later, comp).where(F.col("date_key") > F.lit(newest))))
+
+
+@needs_data
+def test_a_stateless_run_between_stateful_ones(spark):
+    c, p, f = fx.fx_candles(spark, SF), fx.fx_profiles(spark, SF), fx.fx_financials(spark, SF)
+    schemas = {"candles": c.schema, "company_profiles": p.schema, "company_financials": f.schema}
+    root, out, seed = (scratch_path(spark, n) for n in ("t-raw", "t-out", "t-seed"))
+    fx.fx_sector_map(spark, SF).write.option("header", True).csv(seed)
+    WR.write_raw_period(p, root, "company_profiles", dt.date(2024, 1, 31), "month")
+    WR.write_raw_period(f, root, "company_financials", dt.date(2024, 1, 31), "month")
+    day = F.col("trading_date")
+    waves = [c.where(day <= F.lit(dt.date(2024, 1, 10))), c.where(day.between(dt.date(2024, 1, 11), dt.date(2024, 1, 20))), c.where(day > F.lit(dt.date(2024, 1, 20)))]
+    restated = waves[0].withColumns({"close": F.col("close") * 3, "_loaded_at": F.col("_loaded_at") + F.expr("INTERVAL 9 DAYS"), "event_id": F.col("event_id") + 10_000_000})
+    build = lambda n, new: build_warehouse(spark, root, seed, out, dt.date(2025, 1, 15), dt.datetime(2024, 2, n), schemas, news_enabled=False, new_candles=new)
+    WR.write_raw_period(waves[0], root, "candles", dt.date(2024, 1, 10), "day")
+    build(1, waves[0])
+    WR.write_raw_period(waves[1].unionByName(restated), root, "candles", dt.date(2024, 1, 20), "day")
+    build(2, None)
+    WR.write_raw_period(waves[2], root, "candles", dt.date(2024, 1, 30), "day")
+    got = build(3, waves[2])["fct_daily_prices"].where("date_key > date '2024-01-20'")
+    whole = read_raw(spark, root, "candles", schema=c.schema)
+    same(got.select(*FACT_PRICE_COLUMNS), full_fact(whole, marts.dim_companies(fx.fx_sector_map(spark, SF), staging.stg_company_profiles(p, fx.fx_sector_map(spark, SF)))).where("date_key > date '2024-01-20'"))
+
+
+@needs_data
+def test_raw_candles_are_staged_once(spark):
+    c, p, f = fx.fx_candles(spark, SF), fx.fx_profiles(spark, SF), fx.fx_financials(spark, SF)
+    root, out, seed = (scratch_path(spark, n) for n in ("t-raw", "t-out", "t-seed"))
+    fx.fx_sector_map(spark, SF).write.option("header", True).csv(seed)
+    WR.write_raw_partitioned(c, root, "candles")
+    WR.write_raw_period(p, root, "company_profiles", dt.date(2024, 1, 31), "month")
+    WR.write_raw_period(f, root, "company_financials", dt.date(2024, 1, 31), "month")
+    models = build_warehouse(spark, root, seed, out, dt.date(2025, 1, 15), dt.datetime(2024, 2, 1),
+                             {"candles": c.schema, "company_profiles": p.schema, "company_financials": f.schema}, news_enabled=False)
+    for name, df in models.items():
+        assert f"{root}/candles" not in df._jdf.queryExecution().optimizedPlan().toString(), name
+        assert not any(f"{local(root)}/candles" in path for path in df.inputFiles()), name
