@@ -1,7 +1,8 @@
-"""Command line: one warehouse run (build + data tests) or a freshness check.
+"""Command line: an ingest job, a warehouse run (build + data tests) or a freshness check.
 
     spark-submit --py-files marketlake.zip marketlake/__main__.py build --raw s3://.../raw --seed s3://.../seed.csv \
         --out s3://.../warehouse --as-of 2025-01-15
+    python -m marketlake ingest --mode daily --landing ... --raw ... --as-of 2025-01-15
     python -m marketlake freshness --raw ... --as-of-ts "2025-01-15 06:00:00"
 
 ``build`` reads the landed raw tables, builds staging/marts/metrics (facts
@@ -23,7 +24,7 @@ def main(argv=None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     b = sub.add_parser("build", help="build the warehouse and run the data tests")
     b.add_argument("--raw", required=True, help="root of the landed raw tables (candles/, company_*/)")
-    b.add_argument("--seed", required=True, help="sector seed CSV (symbol,sector with header)")
+    b.add_argument("--seed", default=None, help="sector seed CSV (symbol,sector with header; default: the shipped seed)")
     b.add_argument("--out", required=True, help="warehouse root (facts, dimensions, metrics, snapshot)")
     b.add_argument("--as-of", default=None, help="YYYY-MM-DD (default: today, UTC)")
     b.add_argument("--no-news", action="store_true", help="skip the news models")
@@ -32,6 +33,13 @@ def main(argv=None) -> int:
     b.add_argument("--warn-only", action="store_true", help="report failing data tests without a non-zero exit")
     b.add_argument("--full-refresh", action="store_true",
                    help="rebuild the facts from scratch (picks up late and restated rows)")
+    i = sub.add_parser("ingest", help="flatten landed responses into the raw tables")
+    i.add_argument("--mode", required=True, choices=["backfill", "daily", "news", "monthly"])
+    i.add_argument("--landing", required=True, help="folder of the run's landed responses")
+    i.add_argument("--raw", required=True, help="root of the raw tables")
+    i.add_argument("--as-of", default=None, help="run day YYYY-MM-DD (default: today, UTC)")
+    i.add_argument("--provider", default="auto", choices=["auto", "primary", "fallback"])
+    i.add_argument("--symbols", default=None, help="comma-separated symbols (default: the shipped universe)")
     f = sub.add_parser("freshness", help="freshness of the raw candles")
     f.add_argument("--raw", required=True, help="root of the landed raw tables")
     f.add_argument("--as-of-ts", default=None, help="YYYY-MM-DD HH:MM:SS (default: now, UTC)")
@@ -51,6 +59,15 @@ def main(argv=None) -> int:
         print(f"raw_candles max_loaded_at={r.max_loaded_at} age_hours={r.age_hours} status={r.status}")
         return 2 if r.status == "error" else 0
 
+    if args.cmd == "ingest":
+        from marketlake.plans.ingest import run_ingest
+
+        day = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
+        rejects = run_ingest(spark, args.landing, args.raw, args.mode, day, now, args.provider, args.symbols)
+        for r in rejects.groupBy("table", "reason").count().orderBy("table", "reason").toLocalIterator():
+            print(f"REJECT {r.table}: {r['count']} payloads, {r.reason}")
+        return 0
+
     from marketlake.plans.build import build_warehouse, run_warehouse_tests
 
     as_of = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()

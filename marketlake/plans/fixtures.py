@@ -181,6 +181,12 @@ def fx_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken(payload: Column, n: Column) -> Column:
+    """Every fifth body is cut off and every fifth an error page."""
+    return (F.when(n % 5 == 0, F.concat(F.left(F.coalesce(payload, F.lit("[{")), F.lit(12)), F.lit("{")))
+            .when(n % 5 == 1, F.lit("<html>Bad gateway</html>")).otherwise(payload))
+
+
 # --- landed payloads (JSON text per API response) ------------------------------
 FIXED_LOADED_AT = "2024-02-01 00:00:00"
 
@@ -192,7 +198,7 @@ def epoch_of(ts: Column) -> Column:
 
 
 def fx_candle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One 3-bar candle response per event: ``signup`` -> ``no_data``,
+    """One 3-bar candle response per event: ``signup`` -> ``no_data`` or broken,
     ``error`` -> a short volume array, every 10th purchase -> NULL."""
     e = table(spark, sf_dir, "events")
     t0 = F.unix_date(F.col("ts").cast("date")).cast("long") * 86400
@@ -207,8 +213,9 @@ def fx_candle_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.array(k, k + 1)).otherwise(F.array(k, k + 1, k + 2)).alias("v"),
     )
     null_payload = (F.col("event_type") == "purchase") & (F.col("event_id") % 10 == 0)
-    return e.select(sym(F.col("user_id"), ".").alias("symbol"),
-                    F.when(null_payload, F.lit(None).cast("string")).otherwise(F.to_json(body)).alias("payload"))
+    payload = (F.when(null_payload, F.lit(None).cast("string"))
+               .when(F.col("event_type") == "signup", broken(F.to_json(body), F.col("event_id"))).otherwise(F.to_json(body)))
+    return e.select(sym(F.col("user_id"), ".").alias("symbol"), payload.alias("payload"))
 
 
 def fx_profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +231,8 @@ def fx_profile_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_acctbal").alias("marketCapitalization"), F.concat(F.lit("L"), k.cast("string")).alias("logo"),
         F.lit("2001-02-03").alias("ipo"), F.concat(F.lit("W"), k.cast("string")).alias("weburl"),
     )
-    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(F.to_json(body).alias("payload"))
+    payload = F.when(k % 19 == 0, broken(F.to_json(body), k)).otherwise(F.to_json(body))
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(sym(k, "-").alias("symbol"), payload.alias("payload"))
 
 
 def fx_news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,7 +248,7 @@ def fx_news_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lit("company").alias("category"), F.lit(None).cast("string").alias("url"),
                      F.lit(None).cast("string").alias("image"))
     payload = (F.when(F.col("event_type") == "error", F.lit('{"error":"denied"}'))
-               .when(F.col("event_type") == "signup", F.lit("[]"))
+               .when(F.col("event_type") == "signup", broken(F.lit("[]"), F.col("event_id")))
                .otherwise(F.to_json(F.array(item1, item2))))
     return e.select(sym(F.col("user_id"), ".").alias("symbol"), payload.alias("payload"))
 
@@ -254,7 +262,7 @@ def fx_financial_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (k / 100).alias("dividendYieldIndicatedAnnual"), F.lit(1.0).alias("beta"),
                       k.alias("52WeekHigh"), (k / 2).alias("52WeekLow"), (v * 1000).alias("marketCapitalization"))
     payload = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
-               .when(F.col("event_type") == "view", F.lit("{}"))
+               .when(F.col("event_type") == "view", broken(F.lit("{}"), F.col("event_id")))
                .when(F.col("event_type") == "click", F.lit('{"symbol":"X"}'))
                .otherwise(F.to_json(F.struct(metric.alias("metric")))))
     return e.select(sym(F.col("user_id"), "-").alias("symbol"), payload.alias("payload"))

@@ -616,25 +616,69 @@ def q_normalize_fallback_candles(spark, sf_dir):
     return PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), loaded_at())
 
 
+def _rejects(df):
+    return df.groupBy("symbol", "reason").agg(F.count("*").alias("n_payloads"))
+
+
+def _rejects_sql(sym: str, src: str, cases: str) -> str:
+    return (f"select symbol, reason, count(*) as n_payloads from (select {sym} as symbol, {cases} as reason from {src}) as judged "
+            "where reason is not null group by symbol, reason")
+
+
+@register("flatten_candles_rejects", O.build(_rejects_sql(O.SYM("user_id", "."), "events", (
+    "case when event_type = 'error' then 'unequal array lengths' when event_type = 'signup' and event_id % 5 in (0, 1) then 'not JSON' end"))))
+def q_flatten_candles_rejects(spark, sf_dir):
+    """S-4 payloads that are cut off, an error page or of unequal arrays."""
+    return _rejects(PL.flatten_candles(fx.fx_candle_payloads(spark, sf_dir), loaded_at())[1])
+
+
+@register("flatten_profiles_rejects", O.build(_rejects_sql(O.SYM("c_custkey", "-"), "customer", (
+    "case when c_custkey % 19 = 0 and c_custkey % 5 in (0, 1) then 'not JSON' end"))))
+def q_flatten_profiles_rejects(spark, sf_dir):
+    """S-5 payloads that are cut off or an error page."""
+    return _rejects(PL.rejected(fx.fx_profile_payloads(spark, sf_dir), "company_profiles"))
+
+
+@register("flatten_news_rejects", O.build(_rejects_sql(O.SYM("user_id", "."), "events", (
+    "case when event_type = 'error' then 'not a list' when event_type = 'signup' and event_id % 5 in (0, 1) then 'not JSON' end"))))
+def q_flatten_news_rejects(spark, sf_dir):
+    """S-6 payloads that are cut off, an error page or an error object."""
+    return _rejects(PL.rejected(fx.fx_news_payloads(spark, sf_dir), "company_news"))
+
+
+@register("flatten_financials_rejects", O.build(_rejects_sql(O.SYM("user_id", "-"), "events", (
+    "case when event_type = 'view' and event_id % 5 in (0, 1) then 'not JSON' end"))))
+def q_flatten_financials_rejects(spark, sf_dir):
+    """S-7 payloads that are cut off or an error page."""
+    return _rejects(PL.rejected(fx.fx_financial_payloads(spark, sf_dir), "company_financials"))
+
+
+_GRANTED = "user_id % 3 <> 0 and user_id % 11 <> 1"
+_DENIED_SYMBOLS = f"select {O.SYM('user_id', '.')} from events where user_id % 3 = 0"
+
+
 @register("provider_fallback", O.build(
-    "select symbol, trading_date, open, high, low, close, volume, _loaded_at, 'primary' as provider "
-    "from flat_candles where user_id % 3 <> 0 union all "
-    "select symbol, trading_date, open, high, low, close, cast(volume as double) as volume, _loaded_at, "
-    "'fallback' as provider from fallback_candles where symbol not in "
-    "(select distinct symbol from flat_candles where user_id % 3 <> 0)", round_cols=CANDLE_DOUBLES))
+    "select mode, symbol, trading_date, open, high, low, close, volume, _loaded_at, provider from ("
+    "select 'auto' as mode, symbol, trading_date, open, high, low, close, volume, _loaded_at, 'primary' as provider "
+    f"from flat_candles where {_GRANTED} union all "
+    "select 'auto', symbol, trading_date, open, high, low, close, cast(volume as double), _loaded_at, 'fallback' "
+    f"from fallback_candles where symbol in ({_DENIED_SYMBOLS}) union all "
+    "select 'primary', symbol, trading_date, open, high, low, close, volume, _loaded_at, 'primary' "
+    f"from flat_candles where {_GRANTED} union all "
+    "select 'fallback', symbol, trading_date, open, high, low, close, cast(volume as double), _loaded_at, 'fallback' "
+    "from fallback_candles)", round_cols=CANDLE_DOUBLES))
 def q_provider_fallback(spark, sf_dir):
-    """S-9 primary provider first, fallback for symbols it lacks (a third
-    of the symbols are denied by the primary)."""
-    pay = fx.fx_candle_payloads(spark, sf_dir)
-    users = fx.table(spark, sf_dir, "events").select(fx.sym(F.col("user_id"), ".").alias("symbol"),
-                                                      (F.col("user_id") % 3 != 0).alias("granted")).distinct()
-    granted = pay.join(users.where("granted").select("symbol"), "symbol", "left_semi")
-    primary, _ = PL.flatten_candles(granted, loaded_at())
-    primary = primary.withColumn("provider", F.lit("primary"))
+    """S-9 in its three modes: a third of the symbols are denied by the
+    primary and fall back; those it has no data for do not."""
+    users = fx.table(spark, sf_dir, "events").select(fx.sym(F.col("user_id"), ".").alias("symbol"), (F.col("user_id") % 3 == 0).alias("denied"),
+                                                      (F.col("user_id") % 11 == 1).alias("no_data")).distinct()
+    with_data = fx.fx_candle_payloads(spark, sf_dir).join(users.where("not denied and not no_data"), "symbol", "left_semi")
+    primary = PL.flatten_candles(with_data, loaded_at())[0].withColumn("provider", F.lit("primary"))
     fallback = (PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), loaded_at())
                 .drop("provider_ticker").withColumn("volume", F.col("volume").cast("double"))
                 .withColumn("provider", F.lit("fallback")))
-    return PR.provider_fallback(primary, fallback)
+    modes = [PR.provider_fallback(primary, fallback, users.where("denied"), mode=m).withColumn("mode", F.lit(m)) for m in PR.PROVIDER_MODES]
+    return modes[0].unionByName(modes[1]).unionByName(modes[2])
 
 
 @register("concat_non_empty", O.build(
@@ -690,6 +734,19 @@ def q_write_raw_period(spark, sf_dir):
     return RAW.read_raw(spark, root, "company_news", schema=news.schema)
 
 
+@register("write_raw_profiles", O.build(
+    "select *, cast(2024 as integer) as year, cast(2 as integer) as month from fx_profiles where symbol like '%1' "
+    "union all select *, 2024, 2 from fx_profiles where symbol not like '%2'", round_cols=("market_cap",)))
+def q_write_raw_profiles(spark, sf_dir):
+    """S-13 two run days of one month keep an object each; a second run of a day replaces that day's."""
+    root = scratch_path(spark, "raw")
+    p = fx.fx_profiles(spark, sf_dir)
+    WR.write_raw_period(p, root, "company_profiles", dt.date(2024, 2, 1), "month")
+    WR.write_raw_period(p.where(~F.col("symbol").endswith("2")), root, "company_profiles", dt.date(2024, 2, 15), "month")
+    WR.write_raw_period(p.where(F.col("symbol").endswith("1")), root, "company_profiles", dt.date(2024, 2, 1), "month")
+    return RAW.read_raw(spark, root, "company_profiles", schema=p.schema)
+
+
 # --- incremental loads, history, layout -------------------------------------------------------
 
 WATERMARK_CUT = dt.date(2024, 1, 20)

@@ -51,7 +51,35 @@ def _loaded(loaded_at) -> Column:
 def _non_empty_object(payload: Column) -> Column:
     """True for a JSON object with at least one key (a falsy ``{}`` or a
     NULL payload carries nothing)."""
-    return F.coalesce(F.size(F.json_object_keys(payload)) > 0, F.lit(False))
+    return _is_object(payload) & F.coalesce(F.size(F.json_object_keys(payload)) > 0, F.lit(False))
+
+
+def _is_json(payload: Column) -> Column:
+    return F.try_parse_json(payload).isNotNull()
+
+
+def _is_object(payload: Column) -> Column:
+    return _is_json(payload) & F.startswith(F.ltrim(payload), F.lit("{"))
+
+
+def _is_list(payload: Column) -> Column:
+    return _is_json(payload) & F.startswith(F.ltrim(payload), F.lit("["))
+
+
+#: The form of each raw table's payload: its test and what a reject is called.
+FORMS = {"candles": (_is_object, "not an object"), "company_profiles": (_is_object, "not an object"),
+         "company_news": (_is_list, "not a list"), "company_financials": (_is_object, "not an object")}
+
+
+def rejected(payloads: DataFrame, table: str, symbol: str = "symbol", payload: str = "payload") -> DataFrame:
+    """(table, symbol, payload, reason) of the payloads that are no answer for
+    ``table``: bodies that are not JSON (cut off, an error page) or have
+    another form.  A NULL payload is no answer to reject."""
+    body = F.col(payload)
+    fits, name = FORMS[table]
+    reason = F.when(~_is_json(body), "not JSON").when(~fits(body), name)
+    return (payloads.where(body.isNotNull() & reason.isNotNull())
+            .select(F.lit(table).alias("table"), F.col(symbol).alias("symbol"), body.alias("payload"), reason.alias("reason")))
 
 
 def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",
@@ -59,19 +87,20 @@ def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",
     """S-4: parallel arrays -> one row per bar.
 
     Returns ``(rows, rejects)``.  NULL/empty payloads and ``s = no_data``
-    give no rows; payloads whose arrays differ in length are rejected whole
-    (``arrays_zip`` would pad with NULLs instead).
+    give no rows; payloads that are not a JSON object, or whose arrays differ
+    in length (``arrays_zip`` would pad with NULLs instead), are rejected whole.
     """
     p = payloads.select(F.col(symbol).alias("symbol"), F.col(payload).alias("payload"),
                         F.from_json(F.col(payload), CANDLE_PAYLOAD).alias("p"))
-    live = p.where(F.col("p").isNotNull() & (F.coalesce(F.col("p.s"), F.lit("")) != "no_data"))
+    live = p.where(_is_object(F.col("payload")) & F.col("p").isNotNull() & (F.coalesce(F.col("p.s"), F.lit("")) != "no_data"))
     arr = {a: F.coalesce(F.col(f"p.{a}"), F.array().cast(T.ArrayType(_L if a == "t" else _D))) for a in _ARRAYS}
     n = F.size(arr["t"])
     same = None
     for a in _ARRAYS[1:]:
         e = F.size(arr[a]) == n
         same = e if same is None else (same & e)
-    rejects = live.where(~same).select("symbol", "payload", F.lit("unequal array lengths").alias("reason"))
+    rejects = (live.where(~same).select("symbol", "payload", F.lit("unequal array lengths").alias("reason"))
+               .unionByName(rejected(payloads, "candles", symbol, payload).drop("table")))
     rows = (
         live.where(same)
         .select("symbol", F.inline(F.arrays_zip(*[arr[a].alias(a) for a in _ARRAYS])))
@@ -88,7 +117,7 @@ def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",
 
 def flatten_profiles(payloads: DataFrame, loaded_at, payload: str = "payload") -> DataFrame:
     """S-5: profile object -> one row; payloads without a ticker are skipped."""
-    p = payloads.select(F.from_json(F.col(payload), PROFILE_PAYLOAD).alias("p"))
+    p = payloads.where(_is_object(F.col(payload))).select(F.from_json(F.col(payload), PROFILE_PAYLOAD).alias("p"))
     return p.where(F.col("p.ticker").isNotNull() & (F.col("p.ticker") != "")).select(
         F.col("p.ticker").alias("symbol"),
         F.col("p.name").alias("company_name"),
@@ -107,8 +136,7 @@ def flatten_news(payloads: DataFrame, loaded_at, symbol: str = "symbol", payload
     """S-6: list of news objects -> one row each; epoch seconds -> UTC
     timestamp, a NULL time stays NULL.  A payload that is not a JSON list
     (an error object) yields nothing."""
-    is_list = F.json_array_length(F.col(payload)).isNotNull()
-    items = F.when(is_list, F.from_json(F.col(payload), T.ArrayType(NEWS_ITEM)))
+    items = F.when(_is_list(F.col(payload)), F.from_json(F.col(payload), T.ArrayType(NEWS_ITEM)))
     return (
         payloads.select(F.col(symbol).alias("symbol"), F.explode(items).alias("n"))
         .where(F.col("n").isNotNull())

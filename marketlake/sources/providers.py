@@ -36,18 +36,19 @@ def normalize_fallback_candles(bars: DataFrame, loaded_at) -> DataFrame:
 PROVIDER_MODES = ("auto", "primary", "fallback")
 
 
-def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "symbol",
+def provider_fallback(primary: DataFrame, fallback: DataFrame, denied: DataFrame, symbol: str = "symbol",
                       mode: str = "auto") -> DataFrame:
-    """S-9: primary rows, plus fallback rows for symbols the primary lacks.
+    """S-9: primary rows, plus fallback rows of the symbols the primary refuses.
 
     ``mode``: ``primary`` = primary only, ``fallback`` = fallback only,
-    ``auto`` = primary first, fallback for the symbols it lacks.
+    ``auto`` = primary first, fallback for the symbols in ``denied`` (column
+    ``symbol``).  A symbol for which the primary has no data is not denied and
+    gets no fallback rows.
 
     The reference switches provider for the denied symbol and every later
     one in a sequential loop; as a set operation the precedence is decided
-    per symbol (stated deviation).  The anti join against the primary's
-    distinct symbols is left to the planner and AQE (broadcast only when
-    measured small).
+    per symbol (stated deviation).  The joins are left to the planner and AQE
+    (broadcast only when measured small).
     """
     mode = mode.strip().lower()
     if mode not in PROVIDER_MODES:
@@ -56,9 +57,9 @@ def provider_fallback(primary: DataFrame, fallback: DataFrame, symbol: str = "sy
         return primary
     if mode == "fallback":
         return fallback
-    have = primary.select(normalize_symbol(symbol).alias("__s")).distinct()
-    extra = fallback.join(have, normalize_symbol(F.col(symbol)) == F.col("__s"), "left_anti")
-    return primary.unionByName(extra, allowMissingColumns=True)
+    refused = denied.select(normalize_symbol(symbol).alias("__s")).distinct()
+    own = normalize_symbol(F.col(symbol)) == F.col("__s")
+    return primary.join(refused, own, "left_anti").unionByName(fallback.join(refused, own, "left_semi"), allowMissingColumns=True)
 
 
 def concat_non_empty(frames: Iterable[DataFrame]) -> DataFrame | None:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.sources.universe import default_seed
+
 RAW_CANDLES = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("trading_date", T.DateType()),
@@ -122,11 +124,14 @@ def read_raw(spark: SparkSession, root: str, table: str, schema: T.StructType |
             raise
         # nothing landed yet for this table: an empty table of the declared schema
         df = spark.createDataFrame([], full)
+    df = df.select(*[F.col(f"`{c}`") for c in full.fieldNames()])  # not the run day of profile objects
     return df.where(partition_filter) if partition_filter is not None else df
 
 
-def read_seed(spark: SparkSession, path: str) -> DataFrame:
-    """S-2: the sector seed CSV (header row, explicit schema)."""
+def read_seed(spark: SparkSession, path: str | None) -> DataFrame:
+    """S-2: the sector seed CSV (header row, explicit schema); without a path the shipped one."""
+    if path is None:
+        return default_seed(spark)
     return spark.read.schema(SEED_SCHEMA).option("header", True).csv(path)
 
 

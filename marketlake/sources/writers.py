@@ -48,8 +48,12 @@ def period_values(run_date: dt.date, period: str) -> dict[str, str]:
 
 
 def write_raw_period(df: DataFrame, root: str, table: str, run_date: dt.date, period: str) -> None:
-    """S-13: one object per run period; re-running the period overwrites it."""
+    """S-13: one object per run period; re-running the period overwrites it.
+    Profiles have one object for each run day of the month, so a run replaces
+    only what the same day's run wrote."""
     vals = period_values(run_date, period)
+    if table == "company_profiles":
+        vals["run_day"] = run_date.isoformat()
     out = conform_numeric(df, table)
     for k, v in vals.items():
         out = out.withColumn(k, F.lit(v))
