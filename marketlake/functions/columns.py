@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Java regex; (?U) turns on Unicode character classes so \s also matches
-# non-breaking and other Unicode spaces, as a warehouse TRIM does.
-_EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+# The Unicode white-space characters, which a warehouse TRIM removes.
+WHITESPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 # Share-class aliases rewritten to the seed's dotted form.
 SHARE_CLASS_ALIASES = {"BRK-B": "BRK.B"}
@@ -35,7 +34,7 @@ def cents_to_dollars(c: Column | str, scale: int = 2) -> Column:
 
 def normalize_symbol(c: Column | str) -> Column:
     """``upper(trim(symbol))`` with Unicode-aware trimming."""
-    return F.upper(F.regexp_replace(_c(c), _EDGE_WHITESPACE, ""))
+    return F.upper(F.btrim(_c(c), F.lit(WHITESPACE)))
 
 
 def canonical_share_class(c: Column | str, aliases: Mapping[str, str] = SHARE_CLASS_ALIASES) -> Column:

@@ -50,7 +50,7 @@ def check_accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> Dat
 
 def check_relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """D-5: child rows whose non-NULL key has no parent row."""
-    keys = parent.select(F.col(parent_col).alias("__pk")).distinct()
+    keys = parent.select(F.col(parent_col).alias("__pk"))
     return (child.where(F.col(col).isNotNull())
             .join(keys, F.col(col) == F.col("__pk"), "left_anti"))
 

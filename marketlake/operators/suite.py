@@ -132,7 +132,7 @@ def run_quality_suite(tables: Mapping[str, DataFrame], tests=DECLARED_TESTS, acc
                 parent_model, parent_col = arg
                 if parent_model not in tables:
                     continue
-                parent = tables[parent_model].select(F.col(parent_col).alias("__pk")).distinct()
+                parent = tables[parent_model].select(F.col(parent_col).alias("__pk"))
                 orphans = df.where(F.col(cols).isNotNull()).join(parent, F.col(cols) == F.col("__pk"), "left_anti")
                 parts.append(orphans.agg(*_row(model, test, cols, F.count(F.lit(1)))))
     out = reduce(lambda a, b: a.unionByName(b), parts)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -290,10 +291,14 @@ def q_date_union(spark, sf_dir):
     return marts.date_union(*_dates(spark, sf_dir))
 
 
-@register("date_bounds", O.build("select * from date_bounds", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
+@register("date_bounds", O.build(
+    "select 'staged' as dates, * from date_bounds union all "
+    f"select 'none', date '{AS_OF_S}' - 365, date '{AS_OF_S}'", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
 def q_date_bounds(spark, sf_dir):
-    """M-3 min/max date with defaults."""
-    return marts.date_bounds(marts.date_union(*_dates(spark, sf_dir)), AS_OF)
+    """M-3 min/max date of the staged dates, and the defaults where there are none."""
+    dates = marts.date_union(*_dates(spark, sf_dir))
+    some, none = (marts.date_bounds(d, AS_OF) for d in (dates, dates.where("date_key is null")))
+    return some.select(F.lit("staged").alias("dates"), "*").unionByName(none.select(F.lit("none").alias("dates"), "*"))
 
 
 @register("date_spine", O.build("select * from date_spine", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
@@ -308,10 +313,15 @@ def q_trading_days(spark, sf_dir):
     return marts.trading_days(stg(spark, sf_dir))
 
 
-@register("dim_dates", O.build("select * from dim_dates", extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
+_WEEKDAYS = "date_part('isodow', date_key) < 6"
+
+
+@register("dim_dates", O.build(f"select * replace (is_trading and {_WEEKDAYS} as is_trading) from dim_dates",
+                               extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
 def q_dim_dates(spark, sf_dir):
-    """M-6 date dimension."""
-    return marts.dim_dates(*_dates(spark, sf_dir), AS_OF)
+    """M-6 date dimension where candles trade on weekdays only."""
+    candles, financials, news = _dates(spark, sf_dir)
+    return marts.dim_dates(candles.where(F.weekday("date_key") < 5), financials, news, AS_OF)
 
 
 @register("fct_company_financials", O.build("select * from fct_company_financials", round_cols=FIN_DOUBLES))
@@ -465,12 +475,12 @@ def q_check_between(spark, sf_dir):
     return check_between(staging.stg_candles(fx.fx_candles_long(spark, sf_dir), ["event_id"]), "close", 0, 100000)
 
 
-@register("assert_positive_volume", O.build("select * from fct_daily_prices where volume <= 0",
-                                            round_cols=FACT_DOUBLES))
+@register("assert_positive_volume", O.build("select * from fx_candles where not volume > 0",
+                                            round_cols=("open", "high", "low", "close", "volume")))
 def q_assert_positive_volume(spark, sf_dir):
-    """D-7 non-positive volume in the fact."""
+    """D-7 non-positive volume, on candles before staging drops such rows."""
     from marketlake.operators.quality import assert_positive_volume
-    return assert_positive_volume(star(spark, sf_dir).fct_daily_prices)
+    return assert_positive_volume(fx.fx_candles(spark, sf_dir))
 
 
 @register("assert_valid_return_range", O.build("select * from fct_daily_prices where abs(daily_return) > 0.5",
@@ -547,13 +557,18 @@ def q_scan_seed(spark, sf_dir):
     return RAW.read_seed(spark, path)
 
 
+UNIVERSE_LIST = " u1, ,U14.b,n20 ,brk.b,,"
+
+
 @register("universe_filter", O.build(
-    "select event_id, symbol from fx_candles where upper(trim(symbol)) in "
-    "(select upper(trim(symbol)) from fx_sector_map)"))
+    "select 'seed' as universe, event_id, symbol from fx_candles where upper(trim(symbol)) in "
+    "(select upper(trim(symbol)) from fx_sector_map) union all "
+    "select 'list', event_id, symbol from fx_candles where upper(trim(symbol)) in ('U1', 'U14.B', 'N20', 'BRK.B')"))
 def q_universe_filter(spark, sf_dir):
-    """S-3 keep symbols of the seed universe."""
+    """S-3 keep symbols of the seed universe, and of a list with blanks and any case."""
     c = fx.fx_candles(spark, sf_dir).select("event_id", "symbol")
-    return filter_universe(c, seed=fx.fx_sector_map(spark, sf_dir))
+    seeded = filter_universe(c, seed=fx.fx_sector_map(spark, sf_dir)).withColumn("universe", F.lit("seed"))
+    return seeded.unionByName(filter_universe(c, UNIVERSE_LIST).withColumn("universe", F.lit("list")))
 
 
 @register("flatten_candles", O.build(
@@ -700,13 +715,17 @@ def q_concat_non_empty(spark, sf_dir):
 AS_OF_WINDOW = dt.date(1996, 6, 30)
 
 
-@register("ingest_window", O.build(
-    "select event_id, symbol, trading_date from fx_candles_long "
-    f"where trading_date between date '{AS_OF_WINDOW.isoformat()}' - 365 and date '{AS_OF_WINDOW.isoformat()}'"))
+_WINDOW = f"date '{AS_OF_WINDOW.isoformat()}'"
+
+
+@register("ingest_window", O.build(" union all ".join(
+    f"select '{mode}' as mode, event_id, symbol, trading_date from fx_candles_long where trading_date between {_WINDOW} - {days} and {_WINDOW}"
+    for mode, days in (("backfill", 365), ("daily", 7), ("weekly_news", 7), ("monthly", 0)))))
 def q_ingest_window(spark, sf_dir):
-    """S-11 backfill window [as_of - 365, as_of]."""
+    """S-11 the window of every job: a year, seven days, the run day."""
     c = fx.fx_candles_long(spark, sf_dir).select("event_id", "symbol", "trading_date")
-    return RAW.ingest_window(c, AS_OF_WINDOW, "backfill")
+    jobs = [RAW.ingest_window(c, AS_OF_WINDOW, m).withColumn("mode", F.lit(m)) for m in ("backfill", "daily", "weekly_news", "monthly")]
+    return reduce(DataFrame.unionByName, jobs)
 
 
 @register("write_raw_partitioned", O.build(
@@ -863,12 +882,15 @@ def q_clustered_fact_write(spark, sf_dir):
 Q4_START, Q4_END = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
 
 
+HISTORY_SYMBOLS = ("U1", "U14.B", "N20", "BRK.B", "nobody")
+
+
 @register("price_history", O.build(
     f"select * from fct_daily_prices where date_key between date '{Q4_START.isoformat()}' "
-    f"and date '{Q4_END.isoformat()}'", round_cols=FACT_DOUBLES))
+    f"and date '{Q4_END.isoformat()}' and symbol in {HISTORY_SYMBOLS}", round_cols=FACT_DOUBLES))
 def q_price_history(spark, sf_dir):
-    """Q-4 price fact for a date range (partition-pruned read)."""
-    return metrics.price_history(written_fact(spark, sf_dir), Q4_START, Q4_END)
+    """Q-4 price fact of some symbols for a date range (partition-pruned read)."""
+    return metrics.price_history(written_fact(spark, sf_dir), Q4_START, Q4_END, HISTORY_SYMBOLS)
 
 
 Q5_START, Q5_END = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
@@ -876,16 +898,30 @@ Q5_START, Q5_END = dt.date(2024, 1, 5), dt.date(2024, 1, 12)
 
 @register("company_news_range", O.build(
     f"select * from fct_company_news where date_key between date '{Q5_START.isoformat()}' "
-    f"and date '{Q5_END.isoformat()}'"))
+    f"and date '{Q5_END.isoformat()}' and symbol in {HISTORY_SYMBOLS}"))
 def q_company_news_range(spark, sf_dir):
-    """Q-5 news for a period (partition-pruned read)."""
-    return metrics.company_news_range(written_news(spark, sf_dir), Q5_START, Q5_END)
+    """Q-5 news of some symbols for a period (partition-pruned read)."""
+    return metrics.company_news_range(written_news(spark, sf_dir), Q5_START, Q5_END, HISTORY_SYMBOLS)
 
 
 # --- streaming -----------------------------------------------------------------------------
 STREAM_CUT = dt.date(2024, 1, 15)
 
 
+@register("price_state_refresh", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
+def q_price_state_refresh(spark, sf_dir):
+    """Price fact in three runs from the per-symbol state; the second is told
+    of no landing at all and finds it by load time.  Equals one full build."""
+    from marketlake.operators.price_state import refresh_prices
+
+    raw, s = fx.fx_candles(spark, sf_dir), star(spark, sf_dir)
+    target, state = scratch_path(spark, "state-fact"), scratch_path(spark, "price-state")
+    for day in (dt.date(2024, 1, 8), dt.date(2024, 1, 19), dt.date(2024, 12, 31)):
+        landed = raw.where(F.col("trading_date") <= F.lit(day))
+        refresh_prices(spark, landed.limit(0), landed, s.dim_companies, target, state, tiebreak=["event_id"])
+    return LAY.read_partitioned(spark, target, s.fct_daily_prices.schema)
+
+
 @register("stream_price_refresh", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
 def q_stream_price_refresh(spark, sf_dir):
     """Incremental fact via a file-source stream: raw candles land in two
