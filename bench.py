@@ -26,6 +26,8 @@ from marketlake.session import local_session  # noqa: E402
 KEYS = [
     "fct_daily_prices", "sector_performance", "sector_volatility", "stg_company_news",
     "stg_company_financials", "dim_dates", "compare_financials", "scd2_snapshot",
+    # the write path
+    "write_raw_partitioned", "keyed_upsert", "stream_price_refresh", "warehouse_build",
 ]
 
 
