@@ -70,6 +70,8 @@ ASIDE_NAMES = frozenset("""ad ads advert adverts advertisement advertising adsen
     social related recommended newsletter subscribe subscription signup login search comment comments commentlist disqus reply replies respond
     widget pagination pager skip copyright""".split())
 SCOPED_NAMES = frozenset(("header", "aside"))  # of a page, not of an article
+COMMENT_NAMES = frozenset("comment reply ad ads advert advertisement sponsored promo".split())  # all that an article may be instead
+STATES = frozenset("has with no without is not hide show".split())  # "has-sidebar" describes the whole, it is not the part
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)
     | <(script|style|noscript|template|svg|math|object|canvas|audio|video)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</\1\s*>|\Z)
@@ -90,10 +92,15 @@ def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
-        if name in ("class", "id"):
-            names = {n.lower() for n in _NAME.findall(value)}
-            if names & ASIDE_NAMES or names & SCOPED_NAMES and not in_article:
-                return True
+        if name in ("class", "id") and tag not in ("html", "body", "main"):
+            for words in ([n.lower() for n in _NAME.findall(w)] for w in value.split()):
+                if not words or words[0] in STATES:
+                    continue
+                if tag == "article":
+                    if COMMENT_NAMES.intersection(words):
+                        return True
+                elif ASIDE_NAMES.intersection(words) or not in_article and SCOPED_NAMES.intersection(words):
+                    return True
     return False
 
 

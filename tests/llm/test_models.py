@@ -77,6 +77,16 @@ def test_html_blocks(spark):
     assert html_text.extract(df).count() == len(pages) and html_text.extract(df.limit(0)).count() == 0
 
 
+def test_names_of_wholes_are_not_parts():
+    def kept(page):
+        texts, features = html_text.blocks(page)
+        return [t for t, k in zip(texts, html_text.train().predict(np.array(features, float))) if k]
+
+    assert kept('<body class="has-sidebar ads"><div class="content no-ads with-sidebar"><article class="post comments-open">Body<p>text</p></article></div></body>') == ["Body", "text"]
+    assert kept('<article>Story</article><article class="comment">Mine</article><div id="sidebarLeft">x</div><div class="post-comments">Yours</div>') == ["Story"]
+    assert kept('<article><p>Story</p><div class="ad-slot top">Buy</div><section role="complementary">x</section></article><div aria-hidden="true">y</div>') == ["Story"]
+
+
 def test_tree_fits_its_table_and_generalises():
     rows = np.array(html_text.LABELLED, float)
     assert (html_text.train().predict(rows[:, :-1]) == (rows[:, -1] > 0)).all()
