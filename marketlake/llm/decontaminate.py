@@ -9,8 +9,8 @@ postings; the bucket set is a bitmap of fixed size.
 A search sums the frequency of each benchmark term over the shards, orders the
 terms of every window from the rarest, sends a window to the shards that hold
 its two rarest terms (joins on the term, which read term lists only) and there
-intersects the position lists, each less its offset in the window, rarest
-first.  With ``slop`` the words must follow each other in order within that
+intersects their position lists, each less its offset in the window, then looks
+up the other terms at the positions left.  With ``slop`` the words must follow each other in order within that
 many further positions.  The documents themselves are never shuffled; a shard's
 postings move once, beside the windows that may occur in it.
 
@@ -148,15 +148,23 @@ def shard_windows(index: DataFrame, ordered: DataFrame) -> DataFrame:
     return found.join(listed, ["shard", "term"], "left_semi").groupBy("shard").agg(F.collect_list("window").alias("windows"))
 
 
-def phrase(postings: dict[str, np.ndarray], terms: list[dict]) -> np.ndarray:
-    """First positions of the exact phrase: lists less their offsets, intersected from the first given."""
+def phrase(postings: dict[str, np.ndarray], dense: np.ndarray, numbers: dict[str, int], terms: list[dict]) -> np.ndarray:
+    """First positions of the exact phrase, from its terms in order of rarity.
+
+    The lists of the two rarest, each less its offset, are intersected; what is
+    left is few, so the other terms are looked up at those positions in the
+    same postings laid out by position (``dense``, term numbers).
+    """
     starts = postings[terms[0]["term"]] - terms[0]["offset"]
-    for t in terms[1:]:
-        if not len(starts):
-            break
+    starts = starts[starts >= 0]
+    for t in terms[1:2]:
         have, want = postings[t["term"]], starts + t["offset"]
         at = np.minimum(np.searchsorted(have, want), len(have) - 1)
         starts = starts[have[at] == want]
+    if len(starts) and len(terms) > 2:
+        places = starts[:, None] + [t["offset"] for t in terms[2:]]
+        found = dense[np.minimum(places, len(dense) - 1)]
+        starts = starts[(found == [numbers[t["term"]] for t in terms[2:]]).all(axis=1)]
     return starts
 
 
@@ -183,6 +191,9 @@ def find_matches(index: DataFrame, found: DataFrame, slop: int = 0) -> DataFrame
         flat = np.frombuffer(shard["positions"], f"<u{shard['width']}").astype(np.int64)
         lists = np.split(flat, np.cumsum(shard["counts"])[:-1]) if shard["counts"] else []
         postings = dict(zip(shard["terms"], lists))
+        numbers = {term: k for k, term in enumerate(shard["terms"])}
+        dense = np.full(firsts[-1] + 1, -1, np.int32)
+        dense[flat] = np.repeat(np.arange(len(numbers), dtype=np.int32), shard["counts"])
         matches: list[list] = [[] for _ in sizes]
         change = np.zeros(firsts[-1] + 1, np.int64)
         for w in shard["windows"] or []:
@@ -191,7 +202,7 @@ def find_matches(index: DataFrame, found: DataFrame, slop: int = 0) -> DataFrame
             if slop:
                 begin, end = proximity(postings, w["terms"], slop)
             else:
-                begin = phrase(postings, w["terms"])
+                begin = phrase(postings, dense, numbers, w["terms"])
                 end = begin + w["n"] - 1
             owner = np.searchsorted(firsts, begin, side="right") - 1
             for d, a, b in zip(owner.tolist(), begin.tolist(), end.tolist()):
