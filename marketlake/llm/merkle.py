@@ -42,8 +42,6 @@ from .common import id_text, sub_batches
 PIECE_HEX = 6
 NODE_HEX = 12
 ROOT_HEX = 32
-#: Ranges for each shuffle partition; some fall together when they are dealt out.
-RANGES_A_PARTITION = 4
 NO_ID = -(1 << 63)
 
 _CUT = re.compile(r"(?<=[.,;:!?|aeo]\s)")
@@ -130,10 +128,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _dealt(docs: DataFrame) -> DataFrame:
     """(place, turn, key, doc_id, text): each document in its range of ids, place, and the first
-    of a range also in the range above it (or the first of all in the last), at turn 1."""
+    of a range also in the range above it (or the first of all in the last), at turn 1; a
+    partition for each range."""
     spark = docs.sparkSession
     keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID)))
-    count = RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cuts = keyed.agg(F.percentile_approx("key", [k / count for k in range(1, count)], 10 * count).alias("cuts")).first().cuts
     bounds = np.unique(np.array(cuts or [], np.int64))
 
@@ -150,7 +149,8 @@ def _dealt(docs: DataFrame) -> DataFrame:
         own = np.searchsorted(bounds, key.to_numpy(), side="right")
         return pd.Series([[p, above[p]] if tops[p] == k else [p] for p, k in zip(own.tolist(), key)])
 
-    return keyed.select(F.posexplode(places("key")).alias("turn", "place"), "key", "doc_id", "text")
+    dealt = keyed.select(F.posexplode(places("key")).alias("turn", "place"), "key", "doc_id", "text")
+    return dealt.repartitionById(count, F.col("place").cast("int"))
 
 
 PAIR_SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -184,6 +184,6 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()))], names)
 
-    ordered = (_dealt(id_text(docs, id_col, text_col)).repartition("place")
+    ordered = (_dealt(id_text(docs, id_col, text_col))
                .sortWithinPartitions("place", "turn", F.desc("key"), "text").select("place", "turn", "doc_id", "text"))
     return ordered.mapInArrow(rows, PAIR_SCHEMA)
