@@ -19,7 +19,7 @@ Pass 2.  Documents get their repeated cells back, and only windows whose anchor
 lies in one are hashed (128 bits) and grouped exactly, to the smallest document
 of each.  Both passes settle what is repeated inside a chunk on the spot, so a
 group that holds a third of all rows sends a row for each chunk, not for each
-document.  The text is shuffled once, by doc_id, and that exchange serves the
+document.  The text is shuffled once, by doc_id and a hash of it, and that exchange serves the
 second pass and the removal.
 
 Defined cases: a null text has no words; a text of fewer words than a window is
@@ -47,8 +47,8 @@ SIZE = 50
 CELL_BITS = 48
 MEMO_WORDS = 1_000_000
 
-CELLS_SCHEMA = "cell long, salt long, doc_id long, kind int"
-WINDOWS_SCHEMA = "hi long, lo long, salt int, doc_id long, ends array<int>"
+CELLS_SCHEMA = "cell long, salt long, doc_id long, mark long, kind int"
+WINDOWS_SCHEMA = "hi long, lo long, salt int, doc_id long, mark long, ends array<int>"
 ANCHOR, KNOWN, WHOLE, COPY = range(4)
 
 # Odd multipliers of the two rolling hashes (fixed values).
@@ -140,14 +140,15 @@ def _firsts_of(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np
 
 
 def repeated_cells(docs: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, cells, copied): each document's cells that are estimated
-    repeated, and whether its whole text is in a smaller document."""
+    """(doc_id, mark, cells, copied): each document's cells that are estimated
+    repeated, and whether its whole text is in a smaller document.  ``mark`` is
+    a hash of the text, so rows that share a doc_id are not taken for each other."""
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHashes()
         for batch in sub_batches(batches):
             named = batch.filter(batch.column(0).is_valid())
-            ids = named.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, marks = (named.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 2))
             stream = _Stream(texts_of(named.column(1)), memo, size)
             if not stream.any:
                 continue
@@ -161,23 +162,23 @@ def repeated_cells(docs: DataFrame, size: int = SIZE) -> DataFrame:
             anchors = stream.anchors()
             owner = stream.owner[anchors]
             alone = np.isin(owner, copied, invert=True)
-            pairs = np.unique(np.stack([stream.cells()[anchors[alone]], ids[owner[alone]]]), axis=1)
-            order, group, first = _firsts_of([pairs[0]], pairs[1])
+            pairs = np.unique(np.stack([stream.cells()[anchors[alone]], owner[alone]]), axis=1)
+            order, group, first = _firsts_of([pairs[0]], ids[pairs[1]])
             cells, of = pairs[0][order], pairs[1][order]
             shared = np.bincount(group, minlength=1)[group] > 1  # a cell of several documents here
             known = np.flatnonzero(shared)
             cell = np.concatenate([lo[own], lo[copied], cells[first], cells[known]])
-            salt = np.concatenate([hi[own], ids[copied], np.zeros(first.sum(), np.int64), of[known] + 1])
-            doc_id = np.concatenate([ids[own], ids[copied], of[first], of[known]])
+            salt = np.concatenate([hi[own], ids[copied], np.zeros(first.sum(), np.int64), ids[of[known]]])
+            row = np.concatenate([own, copied, of[first], of[known]])
             kind = np.repeat([WHOLE, COPY, ANCHOR, KNOWN], [len(own), len(copied), first.sum(), len(known)])
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(salt), pa.array(doc_id), pa.array(kind, pa.int32())], CELLS_SCHEMA_NAMES)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(salt), pa.array(ids[row]), pa.array(marks[row]), pa.array(kind, pa.int32())], CELLS_SCHEMA_NAMES)
 
-    sketch = docs.select("doc_id", "text").mapInArrow(sketches, CELLS_SCHEMA)
+    sketch = docs.select("doc_id", "text", "mark").mapInArrow(sketches, CELLS_SCHEMA)
     group = Window.partitionBy("kind", "cell", "salt")
     seen = sketch.withColumns({"least": F.min("doc_id").over(group), "most": F.max("doc_id").over(group)})
     copied = (F.col("kind") == COPY) | (F.col("kind") == WHOLE) & (F.col("least") < F.col("doc_id"))
     repeated = (F.col("kind") == KNOWN) | (F.col("kind") == ANCHOR) & (F.col("least") < F.col("most"))
-    return (seen.where(copied | repeated).groupBy("doc_id")
+    return (seen.where(copied | repeated).groupBy("doc_id", "mark")
             .agg(F.collect_set(F.when(repeated, F.col("cell"))).alias("cells"), F.max(copied).alias("copied")))
 
 
@@ -186,7 +187,7 @@ WINDOWS_SCHEMA_NAMES = [f.split()[0] for f in WINDOWS_SCHEMA.split(", ")]
 
 
 def repeated_words(docs: DataFrame, cells: DataFrame, size: int = SIZE) -> DataFrame:
-    """(doc_id, ends): the stretches of words to remove, as flat pairs of first and past-the-last word."""
+    """(doc_id, mark, ends): the stretches of words to remove, as flat pairs of first and past-the-last word."""
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHashes()
@@ -194,10 +195,10 @@ def repeated_words(docs: DataFrame, cells: DataFrame, size: int = SIZE) -> DataF
             batch = batch.filter(batch.column(2).is_valid())
             if not batch.num_rows:
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ids, marks = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 4))
             copied = np.array(batch.column(3).to_pylist(), bool)
             stream = _Stream([b"" if c else t for c, t in zip(copied, texts_of(batch.column(1)))], memo, size)
-            known = [(ids[d], [0, 2**31 - 1]) for d in np.flatnonzero(copied)]
+            known = [(d, [0, 2**31 - 1]) for d in np.flatnonzero(copied)]
             hi = lo = at = np.zeros(0, np.int64)
             if stream.any:
                 at = _windows(stream, batch.column(2))
@@ -208,25 +209,28 @@ def repeated_words(docs: DataFrame, cells: DataFrame, size: int = SIZE) -> DataF
             late = order[~first]
             for d in np.unique(owner[late]):
                 begin = np.sort(at[late][owner[late] == d]) - stream.firsts[d]
-                known.append((ids[d], _stretches(begin, size)))
+                known.append((d, _stretches(begin, size)))
             mine = order[first]
-            asked, count = np.unique(group[first], return_counts=True)
+            asked, count = np.unique(group[first] * len(ids) + owner[mine], return_counts=True)
             places = (at - stream.firsts[owner])[mine] if len(at) else at
             lead = np.cumsum(count) - count
             ends = [_stretches(np.sort(places[a : a + n]), size) if n > 1 else [places[a], places[a] + size] for a, n in zip(lead, count)]
+            settled = np.array([d for d, _ in known], np.int64)
+            row = np.concatenate([owner[mine][lead], settled])
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([hi[mine][lead], np.array([d for d, _ in known], np.int64)])),
+                pa.array(np.concatenate([hi[mine][lead], ids[settled]])),
                 pa.array(np.concatenate([lo[mine][lead], np.zeros(len(known), np.int64)])),
                 pa.array(np.repeat([0, 1], [len(asked), len(known)]), pa.int32()),
-                pa.array(np.concatenate([ids[owner][mine][lead], np.array([d for d, _ in known], np.int64)])),
+                pa.array(ids[row]), pa.array(marks[row]),
                 pa.array(ends + [e for _, e in known], pa.list_(pa.int32())),
             ], WINDOWS_SCHEMA_NAMES)
 
-    with_cells = docs.select("doc_id", "text").join(cells.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "cells", "copied")
+    own = ["doc_id", "mark"]
+    with_cells = docs.select("doc_id", "text", "mark").join(cells.hint("shuffle_hash"), own, "left").select("doc_id", "text", "cells", "copied", "mark")
     asked = with_cells.mapInArrow(candidates, WINDOWS_SCHEMA)
     least = F.min("doc_id").over(Window.partitionBy("salt", "hi", "lo"))
     late = asked.withColumn("least", least).where((F.col("salt") == 1) | (F.col("least") < F.col("doc_id")))
-    return late.groupBy("doc_id").agg(F.flatten(F.collect_list("ends")).alias("ends"))
+    return late.groupBy(*own).agg(F.flatten(F.collect_list("ends")).alias("ends"))
 
 
 def _windows(stream: _Stream, cells: pa.Array) -> np.ndarray:
@@ -278,7 +282,8 @@ def remove_repeats(docs: DataFrame, columns=kept_columns, schema: str = KEPT_SCH
     makes of it and, with ``carry``, the whole input row as the struct ``row``."""
     carried = F.struct(*[docs[c] for c in docs.columns]) if carry else F.lit(None).cast("int")
     plain = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"), carried.alias("row"))
-    bare = plain.select("doc_id", "text")
+    plain = plain.withColumn("mark", F.xxhash64("text"))
+    bare = plain.select("doc_id", "text", "mark")
     ends = repeated_words(bare, repeated_cells(bare, size), size)
     kind = plain.schema["row"].dataType.simpleString()
 
@@ -290,7 +295,7 @@ def remove_repeats(docs: DataFrame, columns=kept_columns, schema: str = KEPT_SCH
             made = columns(texts, words, kept)
             yield pa.RecordBatch.from_arrays([batch.column(0), *made.values(), *([batch.column(3)] if carry else [])], ["doc_id", *made, *(["row"] if carry else [])])
 
-    joined = (plain if carry else bare).join(ends.hint("shuffle_hash"), "doc_id", "left").select("doc_id", "text", "ends", *(["row"] if carry else []))
+    joined = (plain if carry else bare).join(ends.hint("shuffle_hash"), ["doc_id", "mark"], "left").select("doc_id", "text", "ends", *(["row"] if carry else []))
     return joined.mapInArrow(rows, f"doc_id long, {schema}" + (f", row {kind}" if carry else ""))
 
 
