@@ -156,7 +156,7 @@ def blocks(page: str) -> tuple[list[str], list[list[float]]]:
     if at < len(page):
         parts.append((page[at:], links > 0))
     close()
-    has_article = any(r[2] for r in rows)
+    has_article = any(r[2] and not r[3] for r in rows)  # comments and teasers that are articles make no article of the page
     around = [[0, 0.0], *([r[0], r[1]] for r in rows), [0, 0.0]]
     return texts, [[r[0], r[1], *around[i], *around[i + 2], 1 if r[2] else -has_article, r[3], r[4]] for i, r in enumerate(rows)]
 

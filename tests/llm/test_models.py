@@ -87,6 +87,14 @@ def test_names_of_wholes_are_not_parts():
     assert kept('<article><p>Story</p><div class="ad-slot top">Buy</div><section role="complementary">x</section></article><div aria-hidden="true">y</div>') == ["Story"]
 
 
+def test_articles_of_readers_do_not_make_an_article_of_the_page():
+    story = [" ".join(f"story{k}x{i}" for i in range(60)) for k in range(3)]
+    plain = "".join(f"<div><p>{t}</p></div>" for t in story)
+    for odd in ("<article class='comment-body'><p>I am a reader and say so</p></article>", "<div class='related'><article><p>Read this other one</p></article></div>"):
+        texts, features = html_text.blocks(f"<body>{plain}{odd}</body>")
+        assert [t for t, k in zip(texts, html_text.train().predict(np.array(features, float))) if k] == story
+
+
 def test_tree_fits_its_table_and_generalises():
     rows = np.array(html_text.LABELLED, float)
     assert (html_text.train().predict(rows[:, :-1]) == (rows[:, -1] > 0)).all()
