@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, decontaminate, html_text, merkle, quality, simhash, substrings, token_counts, token_files, toxicity
+from . import (byte_bpe, centroids, decontaminate, hard_negatives, html_text, merkle, quality, simhash, substrings, token_counts, token_files,
+               toxicity)
 from .common import read_table
 
 
@@ -56,8 +57,18 @@ def op10_byte_bpe(spark, sf_dir):
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
+def op12_centroids(spark, sf_dir):
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, seed=3, factor=1024, width=64)
+
+
+def op13_hard_negatives(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, moved.vec_id % 50 == 0, positives=5, negatives=3, least=50, most=95, factor=256)
+
+
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op4_merkle, op5_substrings, op6_html_text, op7_quality, op8_toxicity,
-                                  op9_token_counts, op10_byte_bpe)}
+                                  op9_token_counts, op10_byte_bpe, op12_centroids, op13_hard_negatives)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
