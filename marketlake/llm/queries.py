@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (byte_bpe, centroids, decontaminate, hard_negatives, html_text, merkle, quality, simhash, substrings, token_counts, token_files,
+from . import (byte_bpe, centroids, decontaminate, hard_negatives, html_text, merkle, quality, repeated_bytes, simhash, substrings, token_counts, token_files,
                toxicity)
 from .common import read_table
 
@@ -57,6 +57,10 @@ def op10_byte_bpe(spark, sf_dir):
                                      public_tokenizers.PATTERN, byte_bpe.digest_row, byte_bpe.DIGEST_SCHEMA)
 
 
+def op11_repeated_bytes(spark, sf_dir):
+    return repeated_bytes.remove_repeats(read_table(spark, sf_dir, "documents"), repeated_bytes.digest_columns, repeated_bytes.DIGEST_SCHEMA, size=200)
+
+
 def op12_centroids(spark, sf_dir):
     return centroids.cluster(read_table(spark, sf_dir, "embeddings"), clusters=8, rounds=10, seed=3, factor=1024, width=64)
 
@@ -68,7 +72,7 @@ def op13_hard_negatives(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_token_files, op2_simhash, op3_decontaminate, op4_merkle, op5_substrings, op6_html_text, op7_quality, op8_toxicity,
-                                  op9_token_counts, op10_byte_bpe, op12_centroids, op13_hard_negatives)}
+                                  op9_token_counts, op10_byte_bpe, op11_repeated_bytes, op12_centroids, op13_hard_negatives)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
