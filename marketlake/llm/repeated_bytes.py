@@ -55,9 +55,9 @@ SIZE, GRAM = 200, 64
 #: Occurrences of a trigger string from which its phrases are not gathered.
 CROWD = 10_000
 
-PHRASES_SCHEMA = "trigger long, c1 long, c2 long, n long, mark binary, body binary"
+PHRASES_SCHEMA = "trigger long not null, c1 long not null, c2 long not null, n long not null, mark binary not null, body binary not null"
 PARTS_SCHEMA = "kind int, k1 long, k2 long, n int, mark binary, start int, place int, body binary"
-SPANS_SCHEMA = "mark binary, pairs binary"
+SPANS_SCHEMA = "mark binary not null, pairs binary not null"
 GATHERED, STRING, KNOWN = range(3)
 
 # An odd multiplier of the rolling hash, and the seed of its table of bytes.
@@ -323,7 +323,8 @@ def remove_repeats(docs: DataFrame, columns=kept_columns, schema: str = KEPT_SCH
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document: doc_id and what ``columns(texts, removed runs, kept bytes)`` makes of it."""
     plain = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    marked = plain.withColumn("mark", F.unhex(F.md5("text")))
+    # Columns that are never null, so that no null check is pushed into one use of an exchange and not into the others.
+    marked = plain.withColumn("mark", F.coalesce(F.unhex(F.md5("text")), F.lit(b"")))
     texts = marked.groupBy("mark").agg(F.first("text").alias("text"), F.count("*").alias("copies")).select("mark", "text", "copies")
     spans = repeated_spans(texts, size, gram, crowd).groupBy("mark").agg(F.collect_list("pairs").alias("pairs"))
 
@@ -340,5 +341,5 @@ def remove_repeats(docs: DataFrame, columns=kept_columns, schema: str = KEPT_SCH
             made = columns(held, runs, kept)
             yield pa.RecordBatch.from_arrays([batch.column(0), *made.values()], ["mark", *made])
 
-    found = texts.join(spans, "mark", "left").select("mark", "text", "copies", "pairs").mapInArrow(rows, f"mark binary, {schema}")
+    found = texts.join(spans, "mark", "left").select("mark", "text", "copies", "pairs").mapInArrow(rows, f"mark binary not null, {schema}")
     return marked.select("doc_id", "mark").join(found, "mark").drop("mark")
