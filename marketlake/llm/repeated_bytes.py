@@ -275,17 +275,16 @@ def repeated_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM, crowd:
     those start, as binaries of a span and starts: each stands for the strings from
     a start to the start plus the span."""
     phrases = texts.mapInArrow(partial(_phrases, size, gram), PHRASES_SCHEMA)
-    triggers = phrases.groupBy("trigger").agg(F.sum("n").alias("total"), *[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("c1", "c2")])
-    again = triggers.where("total > 1").select("trigger", "total", ((F.col("min_c1") != F.col("max_c1")) | (F.col("min_c2") != F.col("max_c2"))).alias("mixed"))
+    again = phrases.groupBy("trigger").agg(F.sum("n").alias("total")).where("total > 1")
     candidates = phrases.join(again, "trigger")
-    # Both uses of the candidates take all their columns, so that one exchange of the phrases serves both.
+    # Both uses of the candidates take all columns of the phrases, so that one exchange serves both.
     own = F.xxhash64("mark", "body")
-    counted = candidates.groupBy("c1", "c2").agg(F.sum("n").alias("all"), F.min(own).alias("speaker"), F.max(F.struct("total", "mixed")).alias("of"))
+    counted = candidates.groupBy("c1", "c2").agg(F.sum("n").alias("all"), F.min(own).alias("speaker"))
     known = candidates.join(counted, ["c1", "c2"])
-    # One copy of every distinct phrase speaks for it; a text is asked for its own phrases at most.
-    compare = F.col("mixed") & F.col("of.mixed") & (own == F.col("speaker"))
+    # One copy of every distinct phrase speaks for it, if its trigger string has others; a text is asked for its own phrases at most.
+    compare = (F.col("all") < F.col("total")) & (own == F.col("speaker"))
     asked = known.where((F.col("all") > 1) | compare).groupBy("mark").agg(F.collect_list(F.struct(
-        "trigger", "n", "all", F.greatest("total", "of.total").alias("total"), compare.alias("compare"), "body")).alias("asked"))
+        "trigger", "n", "all", "total", compare.alias("compare"), "body")).alias("asked"))
     parts = texts.join(asked, "mark").select("mark", "text", "copies", "asked").mapInArrow(partial(_parts, size, crowd), PARTS_SCHEMA)
     dealt = parts.repartition("k1", "k2").sortWithinPartitions("kind", "k1", "k2")
     return dealt.mapInArrow(partial(_compared, size), SPANS_SCHEMA)
