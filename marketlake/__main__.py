@@ -30,6 +30,8 @@ def main(argv=None) -> int:
     b.add_argument("--no-news", action="store_true", help="skip the news models")
     b.add_argument("--new-raw", default=None,
                    help="root of the raw tables landed by this run: refresh prices from the per-symbol state")
+    b.add_argument("--reconcile", action="store_true",
+                   help="read raw files that were landed with whole-number columns as INT64")
     b.add_argument("--warn-only", action="store_true", help="report failing data tests without a non-zero exit")
     b.add_argument("--full-refresh", action="store_true",
                    help="rebuild the facts from scratch (picks up late and restated rows)")
@@ -39,6 +41,8 @@ def main(argv=None) -> int:
     i.add_argument("--raw", required=True, help="root of the raw tables")
     i.add_argument("--as-of", default=None, help="run day YYYY-MM-DD (default: today, UTC)")
     i.add_argument("--provider", default="auto", choices=["auto", "primary", "fallback"])
+    i.add_argument("--switch", default="symbol", choices=["symbol", "later"],
+                   help="auto: a denial switches its own symbol, or that and every later one")
     i.add_argument("--symbols", default=None, help="comma-separated symbols (default: the shipped universe)")
     f = sub.add_parser("freshness", help="freshness of the raw candles")
     f.add_argument("--raw", required=True, help="root of the landed raw tables")
@@ -63,7 +67,7 @@ def main(argv=None) -> int:
         from marketlake.plans.ingest import run_ingest
 
         day = dt.date.fromisoformat(args.as_of) if args.as_of else now.date()
-        rejects = run_ingest(spark, args.landing, args.raw, args.mode, day, now, args.provider, args.symbols)
+        rejects = run_ingest(spark, args.landing, args.raw, args.mode, day, now, args.provider, args.symbols, switch=args.switch)
         for r in rejects.groupBy("table", "reason").count().orderBy("table", "reason").toLocalIterator():
             print(f"REJECT {r.table}: {r['count']} payloads, {r.reason}")
         return 0
@@ -77,7 +81,7 @@ def main(argv=None) -> int:
 
         new_candles = read_raw(spark, args.new_raw, "candles")
     models = build_warehouse(spark, args.raw, args.seed, args.out, as_of, now, news_enabled=not args.no_news,
-                             new_candles=new_candles, full_refresh=args.full_refresh)
+                             new_candles=new_candles, full_refresh=args.full_refresh, reconcile=args.reconcile)
     results = run_warehouse_tests(models).orderBy("model", "test", "column_name").collect()
     failed = [r for r in results if r.status == "fail"]
     for r in results:

@@ -43,7 +43,7 @@ def _materialize(spark, df: DataFrame, path: str) -> DataFrame:
 def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of: dt.date,
                     run_ts: dt.datetime, schemas: dict | None = None, tiebreak=("event_id",),
                     news_enabled: bool = True, new_candles: DataFrame | None = None,
-                    full_refresh: bool = False) -> dict[str, DataFrame]:
+                    full_refresh: bool = False, reconcile: bool = False) -> dict[str, DataFrame]:
     """One warehouse run (model build in dependency order), returning every
     model by name.
 
@@ -61,12 +61,13 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
     way the run writes the state.
 
     ``full_refresh`` rebuilds the three facts from scratch (no watermark: late
-    and restated rows are picked up).
+    and restated rows are picked up).  ``reconcile`` reads raw files whose
+    numeric types drifted.
     """
     schemas = schemas or {}
 
     def raw(table):
-        return read_raw(spark, raw_root, table, schema=schemas.get(table), missing_ok=True)
+        return read_raw(spark, raw_root, table, schema=schemas.get(table), missing_ok=True, reconcile=reconcile)
 
     def tb(df):
         return [c for c in tiebreak if c in df.columns]

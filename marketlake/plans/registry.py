@@ -549,6 +549,27 @@ def q_scan_raw_hive(spark, sf_dir):
     return RAW.read_raw(spark, root, "candles", schema=fx.fx_candles(spark, sf_dir).schema)
 
 
+@register("scan_raw_drifted", O.build(
+    "select *, cast(year(trading_date) as integer) as year, cast(month(trading_date) as integer) as month, "
+    "cast(day(trading_date) as integer) as day from fx_candles", round_cols=CANDLE_DOUBLES))
+def q_scan_raw_drifted(spark, sf_dir):
+    """S-1 raw candles of four batches whose schemas were inferred: whole
+    volumes as INT64, whole volumes and prices as INT64, whole volumes as INT32,
+    and the rest as DOUBLE, in one folder."""
+    c = fx.fx_candles(spark, sf_dir)
+    whole = F.col("volume") == F.floor("volume")
+    flat = whole & (F.col("open") == F.floor("open"))
+    pick = F.when(flat, "prices").when(whole & (F.col("event_id") % 3 == 0), "int").when(whole, "long").otherwise("double")
+    kinds = {"prices": {x: F.col(x).cast("long") for x in ("open", "volume")}, "long": {"volume": F.col("volume").cast("long")},
+             "int": {"volume": F.col("volume").cast("int")}, "double": {}}
+    root, d = scratch_path(spark, "raw"), F.col("trading_date")
+    for kind, cast in kinds.items():
+        batch = c.where(F.coalesce(pick, F.lit("double")) == kind).withColumns(cast)
+        parts = {"year": F.year(d), "month": F.lpad(F.month(d).cast("string"), 2, "0"), "day": F.lpad(F.dayofmonth(d).cast("string"), 2, "0")}
+        batch.withColumns(parts).hint("rebalance", *parts).write.mode("append").partitionBy(*parts).parquet(f"{root}/candles")
+    return RAW.read_raw(spark, root, "candles", schema=c.schema, reconcile=True)
+
+
 @register("scan_seed", O.build("select symbol, sector from fx_sector_map"))
 def q_scan_seed(spark, sf_dir):
     """S-2 sector seed read from CSV with a header."""
@@ -696,6 +717,22 @@ def q_provider_fallback(spark, sf_dir):
     return modes[0].unionByName(modes[1]).unionByName(modes[2])
 
 
+@register("provider_fallback_later", O.build(
+    "select symbol, trading_date, open, high, low, close, volume, _loaded_at, 'primary' as provider from flat_candles "
+    "where user_id < 37 and user_id % 11 <> 1 union all "
+    "select symbol, trading_date, open, high, low, close, cast(volume as double), _loaded_at, 'fallback' "
+    f"from fallback_candles where symbol in (select {O.SYM('user_id', '.')} from events where user_id >= 37)", round_cols=CANDLE_DOUBLES))
+def q_provider_fallback_later(spark, sf_dir):
+    """S-9 where a denial switches the provider for good: some symbols are
+    denied, and the first of them in order and all later ones fall back."""
+    users = fx.table(spark, sf_dir, "events").select(fx.sym(F.col("user_id"), ".").alias("symbol"), F.col("user_id").alias("place")).distinct()
+    granted = users.where((F.col("place") % 50 != 37) & (F.col("place") % 11 != 1))
+    primary = PL.flatten_candles(fx.fx_candle_payloads(spark, sf_dir).join(granted, "symbol", "left_semi"), loaded_at())[0].withColumn("provider", F.lit("primary"))
+    fallback = (PR.normalize_fallback_candles(fx.fx_fallback_bars(spark, sf_dir), loaded_at())
+                .drop("provider_ticker").withColumns({"volume": F.col("volume").cast("double"), "provider": F.lit("fallback")}))
+    return PR.provider_fallback(primary, fallback, users.where(F.col("place") % 50 == 37), order=users)
+
+
 @register("concat_non_empty", O.build(
     "select event_id, symbol, trading_date, open, high, low, "
     "case when day(trading_date) > 20 then null else close end as close, "

@@ -36,8 +36,22 @@ def normalize_fallback_candles(bars: DataFrame, loaded_at) -> DataFrame:
 PROVIDER_MODES = ("auto", "primary", "fallback")
 
 
+def switched_symbols(denied: DataFrame, order: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """(__s): the symbols from the first denied one on, in the order of
+    ``order`` (``symbol``, ``place``), and the denied ones.
+
+    A loop that gives up its primary provider at the first denial asks the
+    fallback for that symbol and every later one.  As a set operation: the least
+    place of a denied symbol is one scalar, and a symbol's own place is compared
+    with it.  Symbols without a place are neither before nor after it."""
+    refused = denied.select(normalize_symbol(symbol).alias("__s")).distinct()
+    placed = order.select(normalize_symbol(symbol).alias("__s"), "place").groupBy("__s").agg(F.min("place").alias("place"))
+    first = placed.join(refused, "__s", "left_semi").agg(F.min("place")).scalar()
+    return placed.where(F.col("place") >= first).select("__s").unionByName(refused).distinct()
+
+
 def provider_fallback(primary: DataFrame, fallback: DataFrame, denied: DataFrame, symbol: str = "symbol",
-                      mode: str = "auto") -> DataFrame:
+                      mode: str = "auto", order: DataFrame | None = None) -> DataFrame:
     """S-9: primary rows, plus fallback rows of the symbols the primary refuses.
 
     ``mode``: ``primary`` = primary only, ``fallback`` = fallback only,
@@ -45,9 +59,10 @@ def provider_fallback(primary: DataFrame, fallback: DataFrame, denied: DataFrame
     ``symbol``).  A symbol for which the primary has no data is not denied and
     gets no fallback rows.
 
-    The reference switches provider for the denied symbol and every later
-    one in a sequential loop; as a set operation the precedence is decided
-    per symbol (stated deviation).  The joins are left to the planner and AQE
+    With ``order`` (``symbol``, ``place``) the switch is for good: the first
+    denied symbol and all that come after it in that order get fallback rows,
+    also those that the primary has rows of.  Without it the provider is
+    chosen for each symbol by itself.  The joins are left to the planner and AQE
     (broadcast only when measured small).
     """
     mode = mode.strip().lower()
@@ -57,9 +72,9 @@ def provider_fallback(primary: DataFrame, fallback: DataFrame, denied: DataFrame
         return primary
     if mode == "fallback":
         return fallback
-    refused = denied.select(normalize_symbol(symbol).alias("__s")).distinct()
+    switched = denied.select(normalize_symbol(symbol).alias("__s")).distinct() if order is None else switched_symbols(denied, order, symbol)
     own = normalize_symbol(F.col(symbol)) == F.col("__s")
-    return primary.join(refused, own, "left_anti").unionByName(fallback.join(refused, own, "left_semi"), allowMissingColumns=True)
+    return primary.join(switched, own, "left_anti").unionByName(fallback.join(switched, own, "left_semi"), allowMissingColumns=True)
 
 
 def concat_non_empty(frames: Iterable[DataFrame]) -> DataFrame | None:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketlake.sources.drift import read_reconciled
 from marketlake.sources.universe import default_seed
 
 RAW_CANDLES = T.StructType([
@@ -105,22 +107,25 @@ def with_partition_fields(schema: T.StructType, table: str) -> T.StructType:
 
 
 def read_raw(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None,
-             partition_filter=None, missing_ok: bool = False) -> DataFrame:
+             partition_filter=None, missing_ok: bool = False, reconcile: bool = False) -> DataFrame:
     """S-1: a raw table with its partition columns, under an explicit schema.
 
-    Files written by different batches may disagree on int vs double; the
-    declared schema (not inference or mergeSchema) fixes the types.  A
+    The declared schema (not inference or mergeSchema) fixes the types.  Our own
+    writers land every file in them; ``reconcile`` also reads files that others
+    landed with whole-number columns as INT64 (sources/drift.py).  A
     ``partition_filter`` on year/month/day prunes directories; never prune
     candles by trading date through the path (a run writes 7 days of bars
     under its run day) — filter the column instead.  ``missing_ok`` reads a
     table that has not been landed yet as empty.
     """
-    base = schema or SCHEMAS[table]
-    full = with_partition_fields(base, table)
+    full = with_partition_fields(schema or SCHEMAS[table], table)
+    path = f"{root}/{table}"
     try:
-        df = spark.read.schema(full).option("basePath", f"{root}/{table}").parquet(f"{root}/{table}")
-    except Exception as e:  # noqa: BLE001
-        if not (missing_ok and "PATH_NOT_FOUND" in str(e)):
+        if reconcile:
+            return read_reconciled(spark, path, full, partition_filter)
+        df = spark.read.schema(full).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if not (missing_ok and e.getCondition() == "PATH_NOT_FOUND"):
             raise
         # nothing landed yet for this table: an empty table of the declared schema
         df = spark.createDataFrame([], full)

@@ -36,6 +36,11 @@ def default_seed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(shipped_seed(), "symbol string, sector string")
 
 
+def symbol_order(spark: SparkSession, symbols: str | Iterable[str] | None = None) -> DataFrame:
+    """(symbol, place): the symbols of the override list, or of the shipped universe, in their order."""
+    return spark.createDataFrame([(s, k) for k, s in enumerate(parse_symbol_list(symbols))], "symbol string, place int")
+
+
 def filter_universe(df: DataFrame, symbols: str | Iterable[str] | None = None, seed: DataFrame | None = None,
                     col: str = "symbol") -> DataFrame:
     """Keep rows whose normalised symbol is in the universe.
