@@ -20,18 +20,15 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import byte_chunks, id_text
+from .common import Memo, byte_chunks, collector_off, id_text
 
-#: Distinct chunks (and pairs) that a task remembers before it starts afresh.
-MEMO_CHUNKS = 1_000_000
-
-_VOCABULARIES: dict[tuple[str, str], Vocabulary] = {}
 _SPACE_RUN = re.compile(r"\s\s")
 MARKS = ",.!?;:"
 
@@ -46,7 +43,7 @@ class Vocabulary:
         self.lengths = [0] * self.above
         for rank, token in self.tokens.items():
             self.lengths[rank] = len(token)
-        self.pairs, self.chunks = Pairs(self), Chunks(self)
+        self.pairs, self.chunks = Memo(self._follows), Memo(self._packed)
         self.halves: dict[int, tuple[int, int]] = {}
         self.shorter: dict[int, int | None] = {}
         self.automaton = ahocorasick.Automaton()
@@ -58,14 +55,6 @@ class Vocabulary:
             self.shorter[rank] = next((r for n in range(len(token) - 1, 0, -1) if (r := self.ranks.get(token[:n])) in self.halves), None)
         self.automaton.make_automaton()
 
-    @classmethod
-    def cached(cls, ranks_path: str, pattern: str) -> Vocabulary:
-        """One vocabulary for all tasks of a Python worker."""
-        key = ranks_path, pattern
-        if key not in _VOCABULARIES:
-            _VOCABULARIES[key] = cls(*key)
-        return _VOCABULARIES[key]
-
     def _split(self, rank: int) -> bool:
         """Find the two tokens whose merge makes this one; False if merging never makes it."""
         token = self.tokens[rank]
@@ -105,7 +94,7 @@ class Vocabulary:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        size, lengths, pairs, shorter = len(piece), self.lengths, self.pairs, self.shorter
+        size, lengths, pairs, shorter, above = len(piece), self.lengths, self.pairs, self.shorter, self.above
         longest: list[int | None] = [None] * (size + 1)
         for end, rank in self.automaton.iter(piece.decode("latin-1")):  # later matches from one start are longer
             longest[end + 1 - lengths[rank]] = rank
@@ -114,7 +103,7 @@ class Vocabulary:
         at, token, last = 0, longest[0], -1
         while at < size:
             while token is not None:
-                if not dead[at + lengths[token]] and (last < 0 or pairs[last, token]):
+                if not dead[at + lengths[token]] and (last < 0 or pairs[last * above + token]):
                     break
                 token = shorter[token]
             if token is not None:
@@ -137,51 +126,44 @@ class Vocabulary:
         there and each distinct chunk is split by the pattern once; texts with
         runs of white space are split whole.
         """
-        if len(self.chunks) > MEMO_CHUNKS:
-            self.chunks.clear()
-        if len(self.pairs) > 2 * MEMO_CHUNKS:
-            self.pairs.clear()
         if _SPACE_RUN.search(text):
             return self.split(text)
         head, *rest = text.split(" ")
         packed = b"".join(map(self.chunks.__getitem__, rest))
         return self.split(head) + memoryview(packed).cast("I").tolist()
 
-    def split(self, text: str) -> list[int]:
-        return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
+    def _follows(self, pair: int) -> bool:
+        """Whether a token may follow another."""
+        return self.stands(*divmod(pair, self.above), self.above)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
-
-class Pairs(dict):
-    """Whether a token may follow another: (left, right) to bool, found when asked for."""
+    def _packed(self, chunk: str) -> bytes:
+        """Packed ids of a space and the chunk that follows it."""
+        head = chunk.rstrip(MARKS)
+        if not head.isalpha():
+            return array("I", self.split(" " + chunk)).tobytes()
+        if len(head) == len(chunk):  # one piece of letters
+            return array("I", self.encode_piece(b" " + chunk.encode())).tobytes()
+        return self.chunks[head] + array("I", self.encode_piece(chunk[len(head) :].encode())).tobytes()  # and one of marks
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+    def trim(self) -> None:
+        self.chunks.trim()
+        self.pairs.trim()
 
-    def __missing__(self, pair: tuple[int, int]) -> bool:
-        found = self[pair] = self.vocabulary.stands(*pair, self.vocabulary.above)
-        return found
+    def forget(self) -> None:
+        self.chunks.clear()
+        self.pairs.clear()
 
+    def split(self, text: str) -> list[int]:
+        return [i for piece in self.pattern.findall(text) for i in self.encode_piece(piece.encode())]
 
-class Chunks(dict):
-    """Packed ids of a space and the chunk that follows it, found when asked for."""
+    def decode(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.tokens.__getitem__, ids))
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
 
-    def __missing__(self, chunk: str) -> bytes:
-        head = chunk.rstrip(MARKS)
-        if not head.isalpha():
-            ids = self.vocabulary.split(" " + chunk)
-        elif len(head) == len(chunk):  # one piece of letters
-            ids = self.vocabulary.encode_piece(b" " + chunk.encode())
-        else:  # and one of marks
-            found = self[chunk] = self[head] + array("I", self.vocabulary.encode_piece(chunk[len(head):].encode())).tobytes()
-            return found
-        found = self[chunk] = array("I", ids).tobytes()
-        return found
+@lru_cache(maxsize=2)
+def vocabulary_of(ranks_path: str, pattern: str) -> Vocabulary:
+    """One vocabulary for all tasks of a Python worker; each task starts and leaves with empty memos."""
+    return Vocabulary(ranks_path, pattern)
 
 
 def ids_row(doc_id: int | None, ids: list[int], decoded: bytes) -> dict:
@@ -218,12 +200,17 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, row=ids_row
     shuffle: each task encodes the documents it reads."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, kinds = Vocabulary.cached(ranks_path, pattern), _schema(schema)
-        for ids, texts in byte_chunks(batches):
-            out = []
-            for doc_id, text in zip(ids, texts):
-                encoded = vocabulary.encode(text.decode())
-                out.append(row(doc_id, encoded, vocabulary.decode(encoded)))
-            yield pa.RecordBatch.from_pylist(out, schema=kinds)
+        vocabulary, kinds = vocabulary_of(ranks_path, pattern), _schema(schema)
+        try:
+            for ids, texts in byte_chunks(batches):
+                vocabulary.trim()
+                out = []
+                with collector_off():
+                    for doc_id, text in zip(ids, texts):
+                        encoded = vocabulary.encode(text.decode())
+                        out.append(row(doc_id, encoded, vocabulary.decode(encoded)))
+                yield pa.RecordBatch.from_pylist(out, schema=kinds)
+        finally:
+            vocabulary.forget()
 
     return id_text(docs, id_col, text_col).mapInArrow(rows, schema)

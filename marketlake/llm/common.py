@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import gc
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from itertools import islice
+from sys import getsizeof
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +19,55 @@ from ..session import sf_path
 CHUNK_BYTES = 4 << 20
 
 
+#: Bytes that a memo may take before it starts afresh; a task holds one of each kind at most.
+MEMO_BYTES = 48 << 20
+#: A dictionary's share of an entry.
+_SLOT = 104
+
+
+class Memo(dict):
+    """Values found once for each key, within a bound of bytes.
+
+    ``find(key)`` makes a missing value.  ``trim`` is called between chunks, so
+    every key of a chunk stays known while the chunk is worked on: the memo holds
+    ``limit`` bytes and one chunk's keys at most."""
+
+    def __init__(self, find: Callable | None = None, limit: int | None = None):
+        self.find, self.limit = find, MEMO_BYTES if limit is None else limit
+
+    def __missing__(self, key):
+        found = self[key] = self.find(key)
+        return found
+
+    def size(self) -> int:
+        """Bytes held, by the mean of the oldest and the newest entries."""
+        if not self:
+            return 0
+        some = [*islice(self.items(), 32), *islice(reversed(self.items()), 32)]
+        return len(self) * (_SLOT + sum(getsizeof(k) + getsizeof(v) for k, v in some) // len(some))
+
+    def trim(self, keep: float = 0.0) -> bool:
+        """Forget everything, or all but a share of the oldest entries (frequent words come early), if the memo is beyond its bound."""
+        full = self.size() > self.limit
+        if full:
+            kept = list(islice(self.items(), int(keep * len(self))))
+            self.clear()
+            self.update(kept)
+        return full
+
+
+@contextmanager
+def collector_off() -> Iterator[None]:
+    """No cyclic garbage collection for work that makes many objects and no cycles (its passes over them cost a quarter of the time)."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(sf_path(sf_dir, name))
 

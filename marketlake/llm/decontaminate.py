@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import byte_chunks, id_text
+from .common import Memo, byte_chunks, id_text
 
 SHARD_BYTES = 256 << 10
 #: Buckets of the bitmap of benchmark words: 128 KiB whatever the benchmark's size.
@@ -79,30 +79,29 @@ def term_buckets(windows: DataFrame) -> bytes:
     return bitmap.tobytes()
 
 
-class _Terms(dict):
+class _Terms(Memo):
     """Numbers for the words that have postings, -1 for the others."""
 
     def __init__(self, bitmap: bytes):
+        super().__init__(self._number)
         self.bitmap, self.names = bitmap, []
 
-    def __missing__(self, word: bytes) -> int:
-        number = -1
-        if self.bitmap[zlib.crc32(word) % TERM_BUCKETS]:
-            number = len(self.names)
-            self.names.append(word.decode())
-        self[word] = number
-        return number
+    def _number(self, word: bytes) -> int:
+        if not self.bitmap[zlib.crc32(word) % TERM_BUCKETS]:
+            return -1
+        self.names.append(word.decode())
+        return len(self.names) - 1
 
 
 def build_index(docs: DataFrame, path: str, bitmap: bytes, id_col: str = "doc_id", text_col: str = "text",
-                shard_bytes: int = SHARD_BYTES, memo_words: int = 1_000_000) -> None:
+                shard_bytes: int = SHARD_BYTES) -> None:
     """Write the shards of the index to ``path``; no shuffle."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, number = _Terms(sent.value), TaskContext.get().partitionId() << 32
         for ids, texts in byte_chunks(batches, shard_bytes):
-            if len(terms) > memo_words:
+            if terms.trim():
                 terms = _Terms(sent.value)
             words = [split_words(t) for t in texts]
             sizes = np.array([len(w) for w in words], np.int64)

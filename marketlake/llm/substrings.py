@@ -40,12 +40,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import sub_batches, texts_of
+from .common import Memo, sub_batches, texts_of
 
 SIZE = 50
 #: Bits of a cell's number: the width of the sketch.
 CELL_BITS = 48
-MEMO_WORDS = 1_000_000
 
 CELLS_SCHEMA = "cell long, salt long, doc_id long, mark long, kind int"
 WINDOWS_SCHEMA = "hi long, lo long, salt int, doc_id long, mark long, ends array<int>"
@@ -55,12 +54,6 @@ ANCHOR, KNOWN, WHOLE, COPY = range(4)
 _FACTORS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
 def _mixed(a: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
     a = (a ^ (a >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -90,13 +83,12 @@ def _sliding(values: np.ndarray, width: int, least: Callable) -> np.ndarray:
 class _Stream:
     """The words of a chunk of documents, end to end."""
 
-    def __init__(self, texts: list[bytes], memo: _WordHashes, size: int):
+    def __init__(self, texts: list[bytes], memo: Memo, size: int):
         words = [t.split() for t in texts]
         self.size, self.half = size, size // 2
         self.sizes = np.array([len(w) for w in words], np.int64)
         self.firsts = np.cumsum(self.sizes) - self.sizes
-        if len(memo) > MEMO_WORDS:
-            memo.clear()
+        memo.trim()
         self.hashes = np.fromiter((h for w in words for h in map(memo.__getitem__, w)), np.uint64, self.sizes.sum())
         self.owner = np.repeat(np.arange(len(texts)), self.sizes)
         n = len(self.hashes)
@@ -145,7 +137,7 @@ def repeated_cells(docs: DataFrame, size: int = SIZE) -> DataFrame:
     a hash of the text, so rows that share a doc_id are not taken for each other."""
 
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHashes()
+        memo = Memo(xxhash.xxh64_intdigest)
         for batch in sub_batches(batches):
             named = batch.filter(batch.column(0).is_valid())
             ids, marks = (named.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 2))
@@ -190,7 +182,7 @@ def repeated_words(docs: DataFrame, cells: DataFrame, size: int = SIZE) -> DataF
     """(doc_id, mark, ends): the stretches of words to remove, as flat pairs of first and past-the-last word."""
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHashes()
+        memo = Memo(xxhash.xxh64_intdigest)
         for batch in sub_batches(batches):
             batch = batch.filter(batch.column(2).is_valid())
             if not batch.num_rows:

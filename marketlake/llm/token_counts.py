@@ -11,7 +11,7 @@ trie is walked as sorted pre-tokens with a stack of forward scores, so it takes
 no more memory than the longest of them beside the words themselves.
 
 A document's count is the sum over its words.  Nothing is shuffled; counts are
-remembered by word up to MEMO_WORDS in a task.
+remembered by word, within a bound of bytes, in a task.
 
 Defined cases: a null or empty text has no tokens; repeated rows give equal
 rows; a null doc_id stays null; an empty table gives an empty result; other
@@ -26,11 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import byte_chunks, id_text
+from .common import Memo, byte_chunks, id_text
 
 MARK = "▁"
 FALLBACK = -20.0
-MEMO_WORDS = 1_000_000
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 
 _MODELS: dict[str, Unigram] = {}
@@ -96,11 +95,10 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """doc_id, n_words, n_tokens of every whole text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, memo = Unigram.from_sentencepiece(model_path), {}
+        model, memo = Unigram.from_sentencepiece(model_path), Memo()
         for ids, texts in byte_chunks(batches):
             words = [t.decode().split() for t in texts]
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
+            memo.trim()
             memo.update(model.counts(list(set().union(*words) - memo.keys())))
             tokens = [sum(map(memo.__getitem__, ws)) for ws in words]
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(len, words), pa.int64()), pa.array(tokens, pa.int64())], ["doc_id", "n_words", "n_tokens"])

@@ -26,9 +26,11 @@ the input are not looked at.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from itertools import compress
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +38,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, id_text
+from .common import Memo, byte_chunks, collector_off, id_text
 
 BLOCK_SCHEMA = "part int, block int, first_doc long, last_doc long, doc_ids array<bigint>, sizes array<int>, offset long, n_ids long, bits int, payload binary"
 BLOCK_IDS = 1 << 15
-#: Distinct words whose ids a task remembers before it starts afresh.
-MEMO_WORDS = 1_000_000
 
-_WORD_AND_MARKS = re.compile(rb"([a-z\x80-\xff]*[a-z])([,.!?;:]+)")
-_ENCODERS: dict[str, WordEncoder] = {}
+_MARKS, _LETTERS = b",.!?;:", b"abcdefghijklmnopqrstuvwxyz"
+_WORD = _LETTERS + bytes(range(0x80, 0x100))
 
 
 def id_bits(vocabulary: int) -> int:
@@ -80,33 +80,18 @@ class WordEncoder:
     letter) go through the library whole.
     """
 
-    def __init__(self, path: str, memo_words: int = MEMO_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size()
-        self.ends = np.zeros(self.vocabulary, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.ends[i] = token.endswith("</w>")
-        self.memo: dict[bytes, bytes] = {}
-        self.memo_words = memo_words
-
-    @classmethod
-    def cached(cls, path: str) -> WordEncoder:
-        """One encoder for all tasks of a Python worker."""
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+    def __init__(self, path: str, memo_bytes: int | None = None):
+        self.tokenizer, self.vocabulary, self.ends = _tokenizer(path)
+        self.memo = Memo(limit=memo_bytes)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        words = [t.lower().split() if self.by_words(t) else None for t in texts]
-        if len(self.memo) > self.memo_words:
-            self.memo.clear()
-        self._learn(set().union(*(w for w in words if w)) - self.memo.keys())
-        ids = self.memo.__getitem__
-        return [self._whole(t) if w is None else b"".join(map(ids, w)) for t, w in zip(texts, words)]
+        self.memo.trim()
+        with collector_off():
+            words = [t.lower().split() if self.by_words(t) else None for t in texts]
+            self._learn(set().union(*(w for w in words if w)) - self.memo.keys())
+            ids = self.memo.__getitem__
+            return [self._whole(t) if w is None else b"".join(map(ids, w)) for t, w in zip(texts, words)]
 
     @staticmethod
     def by_words(text: bytes) -> bool:
@@ -117,27 +102,48 @@ class WordEncoder:
         return np.array(ids, "<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        parts = {w: m.groups() for w in words if (m := _WORD_AND_MARKS.fullmatch(w))}
-        plain = (words - parts.keys()) | {p for pair in parts.values() for p in pair}
-        self._encode_words([w for w in plain if w not in self.memo])
-        for w, (head, marks) in parts.items():
-            self.memo[w] = self.memo[head] + self.memo[marks]
+        whole, heads, tails = [], [], []  # letters followed by marks: two words to the tokenizer
+        for w in words:
+            if w[-1] in _MARKS and (head := w.rstrip(_MARKS)) and head[-1] in _LETTERS and not head.translate(None, _WORD):
+                whole.append(w)
+                heads.append(head)
+                tails.append(w[len(head) :])
+        self._encode_words(list(words.difference(whole).union(heads, tails) - self.memo.keys()))
+        ids = self.memo.__getitem__
+        self.memo.update(zip(whole, map(add, map(ids, heads), map(ids, tails))))
 
     def _encode_words(self, words: list[bytes], at_once: int = 1000) -> None:
-        strings = [w.decode() for w in words]
-        letters = [s for s in strings if s.isalpha()]
+        strings = b" ".join(words).decode().split(" ") if words else []
+        alpha = [s.isalpha() for s in strings]
+        letters, names = list(compress(strings, alpha)), list(compress(words, alpha))
+        rest = [k for k, a in enumerate(alpha) if not a]
+        rest = [(words[k], strings[k]) for k in rest]
         for i in range(0, len(letters), at_once):
             group = letters[i : i + at_once]
-            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) == len(group):  # each word has at least one end, so here exactly one
-                for word, a, b in zip(group, [0, *ends.tolist()], ends.tolist()):
-                    self.memo[word.encode()] = ids[a:b].tobytes()
-        rest = [s for s in strings if s.encode() not in self.memo]
+                packed = ids.tobytes()
+                self.memo.update(zip(names[i : i + at_once], [packed[a:b] for a, b in zip([0, *ends], ends)]))
+            else:
+                rest += zip(names[i : i + at_once], group)
         for i in range(0, len(rest), at_once):
             group = rest[i : i + at_once]
-            for word, e in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False)):
-                self.memo[word.encode()] = np.array(e.ids, "<u4").tobytes()
+            for (word, _), e in zip(group, self.tokenizer.encode_batch_fast([s for _, s in group], add_special_tokens=False)):
+                self.memo[word] = np.array(e.ids, "<u4").tobytes()
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """A tokenizer file, its size, and which of its ids end a word; one for all tasks of a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab().items():
+        ends[i] = token.endswith("</w>")
+    return tokenizer, len(ends), ends
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 1, id_col: str = "doc_id",
@@ -150,7 +156,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder.cached(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = WordEncoder(tokenizer_path), TaskContext.get().partitionId()
         bits = id_bits(max(encoder.vocabulary, (end_id or 0) + 1))
         number, offset, size, held, doc_ids, sizes = 0, 0, 0, [], [], []
 

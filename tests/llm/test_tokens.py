@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -10,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marketlake.llm import byte_bpe, token_counts, token_files
+from marketlake.llm import byte_bpe, common, token_counts, token_files
 from marketlake.llm.queries import op1_token_files, op9_token_counts, op10_byte_bpe
 from marketlake.session import scratch_path
 
@@ -69,7 +70,7 @@ def test_packing_round_trip(bits, ids, data):
 @given(st.lists(PARTS, max_size=14))
 def test_encoders_match_the_libraries(parts):
     text = "".join(parts)
-    encoder = token_files.WordEncoder.cached(WORDS)
+    encoder = token_files.WordEncoder(WORDS)
     assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == brute_ids(text)[:-1]
     ids = VOCABULARY.encode(text)
     assert ids == TIKTOKEN.encode_ordinary(text) and VOCABULARY.decode(ids) == text.encode()
@@ -126,3 +127,25 @@ def test_token_counts(spark, make_docs, sf_small):
     assert sorted((tuple(r) for r in got if r.doc_id != 9), key=key) == sorted(want, key=key) and len(got) == len(ODD)
     assert token_counts.token_counts(make_docs([]), PIECES).count() == 0
     assert op9_token_counts(spark, sf_small).count() == len(documents(spark, sf_small))
+
+
+def test_memos_stay_under_their_bound(spark, make_docs, monkeypatch):
+    """Many distinct words: what a task remembers stays under the bound and one chunk's words, and nothing stays behind."""
+    limit = 200_000
+    monkeypatch.setattr(common, "MEMO_BYTES", limit)
+    rng = random.Random(3)
+    chunks = [["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(400)] for _ in range(20)]
+    encoder, vocabulary, terms = token_files.WordEncoder(WORDS), byte_bpe.Vocabulary(RANKS, P.PATTERN), common.Memo(len)
+    for words in chunks:
+        text = " ".join(words)
+        assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == brute_ids(text)[:-1]
+        vocabulary.trim()
+        assert vocabulary.encode(text) == TIKTOKEN.encode_ordinary(text)
+        terms.trim()
+        assert sum(map(terms.__getitem__, words)) == 3600
+        for memo in (encoder.memo, vocabulary.chunks, vocabulary.pairs, terms):
+            held = sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in memo.items()) + sys.getsizeof(memo)
+            assert memo.size() <= limit + 2000 * 250 and held < 2 * (limit + 2000 * 250)
+    assert len(terms) < 8000
+    vocabulary.forget()
+    assert not vocabulary.chunks and not vocabulary.pairs
