@@ -29,7 +29,6 @@ import os
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import compress
 from operator import add
 
 import numpy as np
@@ -42,6 +41,8 @@ from .common import Memo, byte_chunks, collector_off, id_text
 
 BLOCK_SCHEMA = "part int, block int, first_doc long, last_doc long, doc_ids array<bigint>, sizes array<int>, offset long, n_ids long, bits int, payload binary"
 BLOCK_IDS = 1 << 15
+#: Words sent to the tokenizers library in one text.
+AT_ONCE = 1000
 
 _MARKS, _LETTERS = b",.!?;:", b"abcdefghijklmnopqrstuvwxyz"
 _WORD = _LETTERS + bytes(range(0x80, 0x100))
@@ -80,18 +81,33 @@ class WordEncoder:
     letter) go through the library whole.
     """
 
-    def __init__(self, path: str, memo_bytes: int | None = None):
-        self.tokenizer, self.vocabulary, self.ends = _tokenizer(path)
+    def __init__(self, path: str, memo_bytes: int = 128 << 20):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # Words of a-z need no normalizing, and are what the pattern finds between spaces.
+        self.plain.normalizer, self.plain.pre_tokenizer = None, WhitespaceSplit()
+        self.vocabulary = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(self.vocabulary, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
         self.memo = Memo(limit=memo_bytes)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        self.memo.trim()
+        self.memo.trim(keep=0.25)
         with collector_off():
-            words = [t.lower().split() if self.by_words(t) else None for t in texts]
-            self._learn(set().union(*(w for w in words if w)) - self.memo.keys())
-            ids = self.memo.__getitem__
-            return [self._whole(t) if w is None else b"".join(map(ids, w)) for t, w in zip(texts, words)]
+            words = [t.lower().split() if self.by_words(t) else [] for t in texts]
+            found = [list(map(self.memo.get, w)) for w in words]
+            missing = [[x for x, known in zip(w, f) if known is None] for w, f in zip(words, found)]
+            self._learn({x for m in missing for x in m})
+            out = []
+            for text, f, m in zip(texts, found, missing):
+                ids = map(self.memo.__getitem__, m)
+                out.append(b"".join([next(ids) if known is None else known for known in f] if m else f) if self.by_words(text) else self._whole(text))
+            return out
 
     @staticmethod
     def by_words(text: bytes) -> bool:
@@ -112,38 +128,36 @@ class WordEncoder:
         ids = self.memo.__getitem__
         self.memo.update(zip(whole, map(add, map(ids, heads), map(ids, tails))))
 
-    def _encode_words(self, words: list[bytes], at_once: int = 1000) -> None:
+    def _encode_words(self, words: list[bytes]) -> None:
         strings = b" ".join(words).decode().split(" ") if words else []
-        alpha = [s.isalpha() for s in strings]
-        letters, names = list(compress(strings, alpha)), list(compress(words, alpha))
-        rest = [k for k, a in enumerate(alpha) if not a]
-        rest = [(words[k], strings[k]) for k in rest]
-        for i in range(0, len(letters), at_once):
-            group = letters[i : i + at_once]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids, "<u4")
+        kinds: dict[bool | None, list[tuple[bytes, str]]] = {True: [], False: [], None: []}
+        for pair in zip(words, strings):
+            kinds[pair[1].isascii() if pair[1].isalpha() else None].append(pair)
+        alone = kinds[None] + self._encode_joined(self.plain, kinds[True]) + self._encode_joined(self.tokenizer, kinds[False])
+        for i in range(0, len(alone), AT_ONCE):
+            group = alone[i : i + AT_ONCE]
+            for (word, _), e in zip(group, self.tokenizer.encode_batch_fast([s for _, s in group], add_special_tokens=False)):
+                self.memo[word] = np.array(e.ids, "<u4").tobytes()
+
+    def _encode_joined(self, tokenizer, pairs: list[tuple[bytes, str]]) -> list[tuple[bytes, str]]:
+        """Words of letters, many in one text; returns those whose ids could not be told apart."""
+        left = []
+        for i in range(0, len(pairs), AT_ONCE):
+            group = pairs[i : i + AT_ONCE]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join([s for _, s in group])], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) == len(group):  # each word has at least one end, so here exactly one
                 packed = ids.tobytes()
-                self.memo.update(zip(names[i : i + at_once], [packed[a:b] for a, b in zip([0, *ends], ends)]))
+                self.memo.update(zip([w for w, _ in group], [packed[a:b] for a, b in zip([0, *ends], ends)]))
             else:
-                rest += zip(names[i : i + at_once], group)
-        for i in range(0, len(rest), at_once):
-            group = rest[i : i + at_once]
-            for (word, _), e in zip(group, self.tokenizer.encode_batch_fast([s for _, s in group], add_special_tokens=False)):
-                self.memo[word] = np.array(e.ids, "<u4").tobytes()
-
+                left += group
+        return left
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    """A tokenizer file, its size, and which of its ids end a word; one for all tasks of a Python worker."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    ends = np.zeros(tokenizer.get_vocab_size(), bool)
-    for token, i in tokenizer.get_vocab().items():
-        ends[i] = token.endswith("</w>")
-    return tokenizer, len(ends), ends
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder, with a memo of bounded size, for all tasks of a Python worker."""
+    return WordEncoder(path)
 
 
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 1, id_col: str = "doc_id",
@@ -156,7 +170,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordEncoder(tokenizer_path), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer_path), TaskContext.get().partitionId()
         bits = id_bits(max(encoder.vocabulary, (end_id or 0) + 1))
         number, offset, size, held, doc_ids, sizes = 0, 0, 0, [], [], []
 

@@ -70,7 +70,7 @@ def test_packing_round_trip(bits, ids, data):
 @given(st.lists(PARTS, max_size=14))
 def test_encoders_match_the_libraries(parts):
     text = "".join(parts)
-    encoder = token_files.WordEncoder(WORDS)
+    encoder = token_files.encoder_of(WORDS)
     assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == brute_ids(text)[:-1]
     ids = VOCABULARY.encode(text)
     assert ids == TIKTOKEN.encode_ordinary(text) and VOCABULARY.decode(ids) == text.encode()
@@ -135,7 +135,7 @@ def test_memos_stay_under_their_bound(spark, make_docs, monkeypatch):
     monkeypatch.setattr(common, "MEMO_BYTES", limit)
     rng = random.Random(3)
     chunks = [["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(400)] for _ in range(20)]
-    encoder, vocabulary, terms = token_files.WordEncoder(WORDS), byte_bpe.Vocabulary(RANKS, P.PATTERN), common.Memo(len)
+    encoder, vocabulary, terms = token_files.WordEncoder(WORDS, limit), byte_bpe.Vocabulary(RANKS, P.PATTERN), common.Memo(len)
     for words in chunks:
         text = " ".join(words)
         assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == brute_ids(text)[:-1]
