@@ -30,6 +30,8 @@ def main(argv=None) -> int:
     b.add_argument("--no-news", action="store_true", help="skip the news models")
     b.add_argument("--new-raw", default=None,
                    help="root of the raw tables landed by this run: refresh prices from the per-symbol state")
+    b.add_argument("--lookback-days", type=int, default=0,
+                   help="days before the watermark that are taken anew (late and restated rows)")
     b.add_argument("--reconcile", action="store_true",
                    help="read raw files that were landed with whole-number columns as INT64")
     b.add_argument("--warn-only", action="store_true", help="report failing data tests without a non-zero exit")
@@ -81,7 +83,8 @@ def main(argv=None) -> int:
 
         new_candles = read_raw(spark, args.new_raw, "candles")
     models = build_warehouse(spark, args.raw, args.seed, args.out, as_of, now, news_enabled=not args.no_news,
-                             new_candles=new_candles, full_refresh=args.full_refresh, reconcile=args.reconcile)
+                             new_candles=new_candles, full_refresh=args.full_refresh, reconcile=args.reconcile,
+                             lookback_days=args.lookback_days)
     results = run_warehouse_tests(models).orderBy("model", "test", "column_name").collect()
     failed = [r for r in results if r.status == "fail"]
     for r in results:

@@ -1,8 +1,8 @@
-"""Incremental loads: strict watermark, keyed upsert, full refresh (I-1..I-3).
+"""Incremental loads: strict watermark, look-back, keyed upsert, full refresh (I-1..I-3).
 
 Plain Parquet has no MERGE, so an upsert writes the merged partitions that the
-new rows touch beside the table and publishes them (``operators.commit``): a
-run that fails leaves the table as it was, or is finished by the next one.
+new rows touch as a new version of the table (``operators.versions``): a run
+that fails leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators import commit
+from marketlake.operators import versions
 from marketlake.session import scratch_path
 
 FIRST_WATERMARK = dt.date(1900, 1, 1)
@@ -29,29 +29,37 @@ def target_watermark(target: DataFrame | None, col: str = "date_key") -> dt.date
     return v or FIRST_WATERMARK
 
 
-def watermark_filter(updates: DataFrame, target: DataFrame | None, col: str = "date_key") -> DataFrame:
-    """I-1: keep rows strictly newer than the target's newest date.
+def watermark_filter(updates: DataFrame, target: DataFrame | None, col: str = "date_key", lookback_days: int = 0) -> DataFrame:
+    """I-1: keep rows strictly newer than the target's newest date, less ``lookback_days``.
 
     The watermark is one scalar, applied as a literal predicate so it prunes
     partitions of a partitioned source.  Late rows at or before it are
-    ignored until a full refresh (the reference's global, strict rule).
+    ignored until a full refresh (the reference's global, strict rule, which
+    is that of no look-back).
     """
-    wm = target_watermark(target, col)
-    return updates.where(F.col(col) > F.lit(wm).cast("date"))
+    return updates.where(F.col(col) > F.lit(target_watermark(target, col) - _days(target, lookback_days)).cast("date"))
+
+
+def _days(target: DataFrame | None, lookback_days: int) -> dt.timedelta:
+    if lookback_days < 0:
+        raise ValueError("look-back days cannot be negative")
+    return dt.timedelta(days=0 if target is None else lookback_days)
 
 
 def full_refresh(df: DataFrame, path: str, partition_col: str, cluster_col: str | None = "symbol") -> None:
     """I-3: rebuild the table from scratch."""
-    commit.publish(df, path, partition_col, cluster_col if cluster_col in df.columns else None)
+    versions.publish(df, path, partition_col, cluster_col if cluster_col in df.columns else None)
 
 
 def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys: Sequence[str],
-                 partition_col: str, schema) -> None:
+                 partition_col: str, schema, replaced: DataFrame | None = None) -> None:
     """I-2: merge ``updates`` into the table at ``target_path`` by ``keys``.
 
     Rows of touched partitions whose key is not updated are kept; every
-    update row replaces or adds its key.  Untouched partitions are not
-    rewritten, and those outside the updates' range not read.  The update
+    update row replaces or adds its key.  ``replaced`` (rows with the keys and
+    the partition column) are taken out besides, whether or not an update has
+    their key.  Untouched partitions are not rewritten, and those outside the
+    range of the updates and the replaced rows not read.  The update
     batch is written once to the shared checkpoint folder first, as it comes
     (no shuffle): it is used three times (range, partitions, merge) and this
     cuts its lineage, so a lost executor never recomputes the upstream plan.
@@ -63,26 +71,37 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     staged = scratch_path(spark, "upsert-stage")
     updates.write.parquet(staged)
     upd = spark.read.schema(updates.schema).parquet(staged)
-    first, last = upd.agg(F.min(partition_col), F.max(partition_col)).first()
+    named = list(dict.fromkeys([partition_col, *keys]))
+    out = upd.select(*named) if replaced is None else upd.select(*named).unionByName(replaced.select(*named))
+    first, last = out.agg(F.min(partition_col), F.max(partition_col)).first()
     if first is None:
         return
     merged = upd.select(*schema.fieldNames())
-    if commit.exists(spark, target_path):
-        current = spark.read.schema(schema).parquet(target_path).where(F.col(partition_col).between(first, last))
-        touched = current.join(upd.select(partition_col).distinct(), partition_col, "left_semi")
-        merged = touched.join(upd.select(*keys), keys, "left_anti").select(*schema.fieldNames()).unionByName(merged)
-    commit.publish(merged, target_path, partition_col, keys[0], commit.PARTITIONS)
+    touched = out.select(partition_col).distinct()
+    if versions.exists(spark, target_path):
+        current = versions.read(spark, target_path, schema).where(F.col(partition_col).between(first, last))
+        kept = current.join(touched, partition_col, "left_semi").join(out.select(*keys).distinct(), keys, "left_anti")
+        merged = kept.select(*schema.fieldNames()).unionByName(merged)
+    versions.publish(merged, target_path, partition_col, keys[0], touched)
 
 
 def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame, keys: Sequence[str],
-                        partition_col: str, schema, watermark_col: str | None = None) -> None:
+                        partition_col: str, schema, watermark_col: str | None = None, lookback_days: int = 0) -> None:
     """Watermark filter then keyed upsert: one incremental model run.
 
     ``watermark_col`` defaults to the partition column (day-partitioned
-    facts); month-partitioned facts keep the watermark on ``date_key``."""
-    if not commit.exists(spark, target_path):
+    facts); month-partitioned facts keep the watermark on ``date_key``.
+
+    With ``lookback_days`` the run takes the days after the watermark less that
+    many anew: ``fresh`` holds values over all history, so a late row of those
+    days has changed every later one, and target rows of those days that
+    ``fresh`` no longer has are taken out.  The table then equals a full refresh
+    if no row is later than the look-back."""
+    if not versions.exists(spark, target_path):
         full_refresh(fresh, target_path, partition_col)
         return
-    target = spark.read.schema(schema).parquet(target_path)
+    target = versions.read(spark, target_path, schema)
     wm_col = watermark_col or partition_col
-    keyed_upsert(spark, target_path, watermark_filter(fresh, target, wm_col), keys, partition_col, schema)
+    news = watermark_filter(fresh, target, wm_col, lookback_days)
+    replaced = watermark_filter(target, target, wm_col, lookback_days) if lookback_days else None
+    keyed_upsert(spark, target_path, news, keys, partition_col, schema, replaced)

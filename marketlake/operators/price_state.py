@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.columns import normalize_symbol, ntz_lit, safe_divide, utc_date, utc_wall_clock
-from marketlake.operators import commit, incremental, staging
+from marketlake.operators import incremental, staging, versions
 from marketlake.operators.marts import FACT_PRICE_COLUMNS
 from marketlake.operators.timeseries import ROLLING_ROWS, return_columns
 from marketlake.session import scratch_path
@@ -109,7 +109,7 @@ def _new_loads(raw_history: DataFrame, new_raw: DataFrame | None, mark) -> DataF
 
 def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history: DataFrame, companies: DataFrame,
                    target_path: str, state_path: str, tiebreak: Sequence[str] = (), from_history: bool = False,
-                   rebuild: bool = False, staged: DataFrame | None = None) -> None:
+                   rebuild: bool = False, staged: DataFrame | None = None, lookback_days: int = 0) -> None:
     """One run of the daily price fact and its per-symbol state.
 
     ``raw_history`` is the whole raw table.  Symbols with loads newer than the
@@ -117,19 +117,19 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history:
     from their whole history, the others from their state and the days after
     it.  With ``from_history``, or without a fact or a state, all symbols are
     computed from their whole history.  Rows newer than the fact's global
-    strict watermark are upserted; ``rebuild`` replaces the fact instead.
+    strict watermark, less ``lookback_days``, are upserted; ``rebuild`` replaces
+    the fact instead.  Within the look-back, rows that a symbol computed from its
+    whole history no longer has are taken out.
     ``staged`` may give the staged rows of ``raw_history`` (they are then not
     staged again where all symbols are computed).
     """
-    have_fact, have_state = commit.exists(spark, target_path), commit.exists(spark, state_path)
-    target = spark.read.parquet(target_path) if have_fact and not rebuild else None
+    have_fact, have_state = versions.exists(spark, target_path), versions.exists(spark, state_path)
     everything = from_history or rebuild or not (have_fact and have_state)
-    old_state = spark.createDataFrame([], STATE_SCHEMA) if everything else spark.read.schema(STATE_SCHEMA).parquet(state_path)
-    wm = incremental.target_watermark(target)
+    old_state = spark.createDataFrame([], STATE_SCHEMA) if everything else versions.read(spark, state_path, STATE_SCHEMA)
     tb = [c for c in tiebreak if c in raw_history.columns]
     loaded_to = raw_history.agg(F.max(utc_wall_clock(raw_history, "_loaded_at"))).first()[0]
 
-    touched = None
+    touched = full_syms = None
     if everything:
         stg = staging.stg_candles(raw_history, tiebreak=tb) if staged is None else staged
         frame = feature_frame(_as_new(stg))
@@ -168,12 +168,15 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history:
 
     rows = frame.where(~F.col("_ctx") & F.col("prev_close").isNotNull())
     fact = rows.join(companies.select("symbol", "sector"), "symbol", "left").select(*FACT_PRICE_COLUMNS)
-    if target is None:
+    if not have_fact or rebuild:
         incremental.full_refresh(fact, target_path, "date_key")
     else:
-        fact = fact.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-        fresh = fact.where(F.col("date_key") > F.lit(wm))
-        incremental.keyed_upsert(spark, target_path, fresh, ["symbol", "date_key"], "date_key", fresh.schema)
+        target = versions.read(spark, target_path, fact.schema)
+        fresh = incremental.watermark_filter(fact, target, "date_key", lookback_days)
+        replaced = incremental.watermark_filter(target, target, "date_key", lookback_days) if lookback_days else None
+        if replaced is not None and full_syms is not None:
+            replaced = replaced.join(full_syms, "symbol", "left_semi")
+        incremental.keyed_upsert(spark, target_path, fresh, ["symbol", "date_key"], "date_key", fact.schema, replaced)
 
     # touched symbols take their new state (none if no staged row is left)
     new_state = state_of(frame)
@@ -181,4 +184,4 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history:
     if touched is not None:
         kept = kept.join(touched.select("symbol"), "symbol", "left_anti")
     mark = F.lit(None).cast("timestamp_ntz") if loaded_to is None else ntz_lit(loaded_to)
-    commit.publish(kept.unionByName(new_state).withColumn("loaded_to", mark), state_path)
+    versions.publish(kept.unionByName(new_state).withColumn("loaded_to", mark), state_path)

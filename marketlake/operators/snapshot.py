@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketlake.functions.columns import ntz_lit
-from marketlake.operators import commit
+from marketlake.operators import versions
 
 # The columns whose change opens a new profile version.
 PROFILE_CHECK_COLS = ["company_name", "exchange", "industry", "country", "market_cap",
@@ -70,23 +70,39 @@ def scd2_changes(open_: DataFrame | None, current: DataFrame, key: str, check_co
     return j.select(F.explode(versions).alias("v")).select("v.*")
 
 
-#: Partition of the open versions; a run's closed versions have one of their own.
-PART, OPEN = "_part", "open"
+#: Partition of the change log: the run that wrote the change.
+RUN = "_run"
 
 
-def read_snapshot(spark: SparkSession, path: str, data_schema: T.StructType, open_only: bool = False) -> DataFrame:
-    """The history written by ``run_snapshot``."""
-    fields = [*data_schema.fields, T.StructField("valid_from", T.TimestampNTZType()), T.StructField("valid_to", T.TimestampNTZType()),
-              T.StructField("is_current", T.BooleanType()), T.StructField(PART, T.StringType())]
-    df = spark.read.schema(T.StructType(fields)).parquet(path)
-    return (df.where(F.col(PART) == OPEN) if open_only else df).drop(PART)
+def _changes_schema(data_schema: T.StructType) -> T.StructType:
+    return T.StructType([*data_schema.fields, T.StructField("valid_from", T.TimestampNTZType()), T.StructField(RUN, T.StringType())])
+
+
+def read_snapshot(spark: SparkSession, path: str, data_schema: T.StructType, key: str = "symbol", open_only: bool = False) -> DataFrame:
+    """The history written by ``run_snapshot``: a change is valid until the next one of its key."""
+    until = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    log = versions.read(spark, path, _changes_schema(data_schema)).withColumn("valid_to", until)
+    df = log.withColumn("is_current", F.col("valid_to").isNull()).select(*data_schema.fieldNames(), *META)
+    return df.where("is_current") if open_only else df
 
 
 def run_snapshot(spark: SparkSession, path: str, current: DataFrame, key: str, check_cols: Sequence[str], run_ts: dt.datetime) -> None:
-    """One run over the table at ``path``: the open versions are replaced, the
-    versions that the run closes are added in a partition of their own, and
-    older closed versions are neither read nor written."""
-    before = read_snapshot(spark, path, current.schema, open_only=True) if commit.exists(spark, path) else None
-    after = scd2_changes(before, current, key, check_cols, run_ts)
-    own = f"{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    commit.publish(after.withColumn(PART, F.when(F.col("is_current"), OPEN).otherwise(own)), path, PART, how=commit.PARTITIONS)
+    """One run over the table at ``path``, a log of changes that is only added to.
+
+    A row of ``current`` is a change if its key has none yet, or if the key's
+    newest change before this run differs in one of ``check_cols`` (NULL-safe).
+    A key that vanished has no change, so it stays open.  No earlier row is
+    rewritten, since the end of validity is not stored.  A run that is
+    repeated replaces its own changes.
+    """
+    schema = current.schema
+    changes = current
+    if versions.exists(spark, path):
+        log = versions.read(spark, path, _changes_schema(schema)).where(F.col("valid_from") < ntz_lit(run_ts))
+        known = log.groupBy(F.col(key).alias("__key")).agg(F.max_by(F.struct(*check_cols), "valid_from").alias("__was"))
+        is_new = F.col("__was").isNull()
+        differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col("__was").getField(c)) for c in check_cols])
+        changes = current.join(known, F.col(key).eqNullSafe(F.col("__key")), "left").where(is_new | differs).select(*current.columns)
+    run = f"{run_ts:%Y%m%dT%H%M%S%f}"
+    own = changes.withColumns({"valid_from": ntz_lit(run_ts), RUN: F.lit(run)})
+    versions.publish(own, path, RUN, touched=spark.createDataFrame([(run,)], f"{RUN} string"))

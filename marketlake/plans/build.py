@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from marketlake.operators import (
-    commit, incremental, layout, marts, metrics, price_state, snapshot, staging, suite, timeseries,
+    incremental, layout, marts, metrics, price_state, snapshot, staging, suite, timeseries, versions,
 )
 from marketlake.sources.raw import read_raw, read_seed
 
@@ -36,14 +36,14 @@ def build_price_star(raw_candles: DataFrame, seed: DataFrame, raw_profiles: Data
 
 def _materialize(spark, df: DataFrame, path: str) -> DataFrame:
     """Full rebuild of a table (staged candles, dimension, metric) and read it back."""
-    commit.publish(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    versions.publish(df, path)
+    return versions.read(spark, path, df.schema)
 
 
 def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of: dt.date,
                     run_ts: dt.datetime, schemas: dict | None = None, tiebreak=("event_id",),
                     news_enabled: bool = True, new_candles: DataFrame | None = None,
-                    full_refresh: bool = False, reconcile: bool = False) -> dict[str, DataFrame]:
+                    full_refresh: bool = False, reconcile: bool = False, lookback_days: int = 0) -> dict[str, DataFrame]:
     """One warehouse run (model build in dependency order), returning every
     model by name.
 
@@ -62,7 +62,8 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
 
     ``full_refresh`` rebuilds the three facts from scratch (no watermark: late
     and restated rows are picked up).  ``reconcile`` reads raw files whose
-    numeric types drifted.
+    numeric types drifted.  ``lookback_days`` takes that many days before each
+    fact's watermark anew, late and restated rows included.
     """
     schemas = schemas or {}
 
@@ -101,20 +102,20 @@ def build_warehouse(spark, raw_root: str, seed_path: str, out_root: str, as_of:
             incremental.full_refresh(df, path, partition_col)
         else:
             incremental.incremental_refresh(spark, path, df, keys, partition_col, df.schema,
-                                            watermark_col=watermark_col)
+                                            watermark_col=watermark_col, lookback_days=lookback_days)
 
     price_state.refresh_prices(spark, new_candles, raw_c, comp, fact_path, state_path, tiebreak=tb(raw_c),
-                               from_history=new_candles is None, rebuild=full_refresh, staged=stg_c)
-    out["fct_daily_prices"] = layout.read_partitioned(spark, fact_path, fact.schema)
+                               from_history=new_candles is None, rebuild=full_refresh, staged=stg_c,
+                               lookback_days=lookback_days)
+    out["fct_daily_prices"] = versions.read(spark, fact_path, fact.schema)
 
     fin = layout.month_partition(marts.fct_company_financials(stg_f))
     refresh(fin, f"{out_root}/fct_company_financials", ["symbol", "date_key"], "date_month", "date_key")
-    out["fct_company_financials"] = layout.read_partitioned(spark, f"{out_root}/fct_company_financials",
-                                                            fin.schema).drop("date_month")
+    out["fct_company_financials"] = versions.read(spark, f"{out_root}/fct_company_financials", fin.schema).drop("date_month")
     if stg_n is not None:
         news = marts.fct_company_news(stg_n)
         refresh(news, f"{out_root}/fct_company_news", ["news_id"], "date_key")
-        out["fct_company_news"] = layout.read_partitioned(spark, f"{out_root}/fct_company_news", news.schema)
+        out["fct_company_news"] = versions.read(spark, f"{out_root}/fct_company_news", news.schema)
 
     prices = out["fct_daily_prices"]
     out["sector_performance"] = _materialize(spark, metrics.sector_performance(prices),

@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 from marketlake.operators import incremental as INC
 from marketlake.operators import layout as LAY
-from marketlake.operators import marts, metrics, staging, timeseries
-from marketlake.operators.snapshot import PROFILE_CHECK_COLS, scd2_apply
+from marketlake.operators import marts, metrics, staging, timeseries, versions
+from marketlake.operators.snapshot import PROFILE_CHECK_COLS, read_snapshot, run_snapshot
 from marketlake.plans import fixtures as fx
 from marketlake.plans import oracle as O
 from marketlake.plans.build import build_price_star, build_warehouse, run_warehouse_tests
@@ -852,7 +852,28 @@ def q_keyed_upsert(spark, sf_dir):
     path = scratch_path(spark, "upsert_target")
     INC.full_refresh(b1, path, "date_month")
     INC.keyed_upsert(spark, path, b2, ["symbol", "date_key"], "date_month", b1.schema)
-    return spark.read.schema(b1.schema).parquet(path)
+    return versions.read(spark, path, b1.schema)
+
+
+LOOKBACK_CUT, LOOKBACK_DAYS = dt.date(2024, 1, 25), 12
+
+
+@register("lookback_refresh", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
+def q_lookback_refresh(spark, sf_dir):
+    """I-1 with a look-back: a fifth of the users' last eleven days land late,
+    others are restated; the second run takes twelve days anew and equals a full
+    refresh, rows that the newest load makes invalid included."""
+    from marketlake.operators.price_state import refresh_prices
+
+    raw, s = fx.fx_candles(spark, sf_dir), star(spark, sf_dir)
+    day, n = F.col("trading_date"), F.col("event_id")
+    recent = day > F.lit(LOOKBACK_CUT - dt.timedelta(days=LOOKBACK_DAYS - 1))
+    first = raw.where((day <= F.lit(LOOKBACK_CUT)) & ~(recent & (n % 5 == 0)))
+    first = first.withColumn("close", F.when(recent & (n % 7 == 0), F.lit(1.0)).otherwise(F.col("close")))
+    target, state = scratch_path(spark, "lookback-fact"), scratch_path(spark, "lookback-state")
+    for landed in (first, raw):
+        refresh_prices(spark, None, landed, s.dim_companies, target, state, tiebreak=["event_id"], from_history=True, lookback_days=LOOKBACK_DAYS)
+    return versions.read(spark, target, s.fct_daily_prices.schema)
 
 
 @register("full_refresh", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
@@ -862,11 +883,12 @@ def q_full_refresh(spark, sf_dir):
     path = scratch_path(spark, "fct_full")
     INC.full_refresh(fact, path, "date_key")
     INC.full_refresh(fact, path, "date_key")
-    return LAY.read_partitioned(spark, path, fact.schema)
+    return versions.read(spark, path, fact.schema)
 
 
 RUN1 = dt.datetime(2024, 2, 1)
 RUN2 = dt.datetime(2024, 3, 1)
+RUN3 = dt.datetime(2024, 4, 1)
 _G1 = "select * from stg_company_profiles where symbol not like '%7'"
 _G2 = ("select symbol, company_name, sector, coalesce(industry, 'Filled') as industry, country, "
        "case when symbol like '%3' then market_cap + 1 else market_cap end as market_cap, ipo_date, logo_url, "
@@ -888,8 +910,9 @@ _R1, _R2, _NT = "timestamp '2024-02-01 00:00:00'", "timestamp '2024-03-01 00:00:
     f"union all select {_G2C}, {_R2}, {_NT}, true from g2 left join g1 on g1.symbol = g2.symbol "
     "where g1.symbol is null", extra={"g1": _G1, "g2": _G2}, round_cols=("market_cap",)))
 def q_scd2_snapshot(spark, sf_dir):
-    """I-4 two snapshot runs: changed, unchanged (only _loaded_at moved),
-    vanished (stays open), new, NULL -> value."""
+    """I-4 snapshot runs: changed, unchanged (only _loaded_at moved), vanished
+    (stays open), new, NULL -> value; the second run is repeated, and a third
+    finds nothing changed."""
     p = stg_profiles(spark, sf_dir)
     g1 = p.where(~F.col("symbol").endswith("7"))
     g2 = p.where(~F.col("symbol").endswith("5")).select(
@@ -897,11 +920,10 @@ def q_scd2_snapshot(spark, sf_dir):
         F.when(F.col("symbol").endswith("3"), F.col("market_cap") + 1).otherwise(F.col("market_cap")).alias("market_cap"),
         "ipo_date", "logo_url", "web_url", "exchange",
         F.to_timestamp_ntz(F.lit("2024-03-01 00:00:00")).alias("_loaded_at"))
-    h1 = scd2_apply(None, g1, "symbol", PROFILE_CHECK_COLS, RUN1)
     path = scratch_path(spark, "snap_company_profiles")
-    h1.write.mode("overwrite").parquet(path)
-    h1 = spark.read.schema(h1.schema).parquet(path)
-    return scd2_apply(h1, g2, "symbol", PROFILE_CHECK_COLS, RUN2)
+    for run_ts, current in ((RUN1, g1), (RUN2, g2), (RUN2, g2), (RUN3, g2)):
+        run_snapshot(spark, path, current, "symbol", PROFILE_CHECK_COLS, run_ts)
+    return read_snapshot(spark, path, g1.schema)
 
 
 @register("partitioned_fact_write", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
@@ -956,7 +978,7 @@ def q_price_state_refresh(spark, sf_dir):
     for day in (dt.date(2024, 1, 8), dt.date(2024, 1, 19), dt.date(2024, 12, 31)):
         landed = raw.where(F.col("trading_date") <= F.lit(day))
         refresh_prices(spark, landed.limit(0), landed, s.dim_companies, target, state, tiebreak=["event_id"])
-    return LAY.read_partitioned(spark, target, s.fct_daily_prices.schema)
+    return versions.read(spark, target, s.fct_daily_prices.schema)
 
 
 @register("stream_price_refresh", O.build("select * from fct_daily_prices", round_cols=FACT_DOUBLES))
@@ -978,7 +1000,7 @@ def q_stream_price_refresh(spark, sf_dir):
         WR.write_raw_partitioned(wave, root, "candles")
         q = start_price_refresh(spark, root, raw.schema, s.dim_companies, target, ckpt, state, tiebreak=["event_id"])
         q.awaitTermination()
-    return LAY.read_partitioned(spark, target, s.fct_daily_prices.schema)
+    return versions.read(spark, target, s.fct_daily_prices.schema)
 
 
 # --- whole warehouse run ---------------------------------------------------------------------

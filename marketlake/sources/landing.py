@@ -8,19 +8,21 @@ not part of the library.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.operators.commit import exists
-
 PAYLOAD_SCHEMA = "symbol string, payload string"
 
 
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """(symbol, payload) of every file in ``folder``; a folder that is not there is empty."""
-    if not exists(spark, folder):
+    try:
+        files = spark.read.text(folder, wholetext=True)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], PAYLOAD_SCHEMA)
-    files = spark.read.text(folder, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
     return files.select(F.url_decode(name).alias("symbol"), F.col("value").alias("payload"))
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from marketlake.operators import incremental as INC
 from marketlake.operators import layout as LAY
+from marketlake.operators import versions
 from marketlake.operators.snapshot import scd2_apply
 from marketlake.session import scratch_path
 from tests.conftest import rows
@@ -31,7 +32,7 @@ def test_upsert_replaces_and_adds(spark):
     upd = spark.createDataFrame([("A", d(2), 2.0), ("C", d(3), 3.0)], SCHEMA)
     INC.keyed_upsert(spark, path, upd, ["symbol", "date_key"], "date_key", schema)
     INC.keyed_upsert(spark, path, upd, ["symbol", "date_key"], "date_key", schema)  # idempotent
-    got = rows(spark.read.schema(schema).parquet(path), "symbol", "date_key", "close")
+    got = rows(versions.read(spark, path, schema), "symbol", "date_key", "close")
     assert got == [("A", d(1), 1.0), ("A", d(2), 2.0), ("B", d(2), 1.0), ("C", d(3), 3.0)]
 
 
@@ -44,8 +45,8 @@ def test_incremental_equals_full_refresh_without_late_data(spark):
                             "date_key", schema)
     INC.incremental_refresh(spark, inc_path, full, ["symbol", "date_key"], "date_key", schema)
     INC.full_refresh(full, full_path, "date_key")
-    a = spark.read.schema(schema).parquet(inc_path)
-    b = spark.read.schema(schema).parquet(full_path)
+    a = versions.read(spark, inc_path, schema)
+    b = versions.read(spark, full_path, schema)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

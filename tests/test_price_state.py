@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.operators import marts, staging
+from marketlake.operators import marts, staging, versions
 from marketlake.operators.marts import FACT_PRICE_COLUMNS
 from marketlake.operators.price_state import STATE_SCHEMA, refresh_prices
 from marketlake.plans import fixtures as fx
@@ -38,7 +38,7 @@ def test_state_refresh_equals_reference_semantics(spark):
     target, state = scratch_path(spark, "t-ps-fact"), scratch_path(spark, "t-ps-state")
     refresh_prices(spark, wave1, wave1, comp, target, state, tiebreak=["event_id"])
     refresh_prices(spark, wave2, history, comp, target, state, tiebreak=["event_id"])
-    got = spark.read.parquet(target).select(*FACT_PRICE_COLUMNS)
+    got = versions.read(spark, target, full_fact(wave1, comp).schema).select(*FACT_PRICE_COLUMNS)
 
     fact1 = full_fact(wave1, comp)
     w1 = fact1.agg(F.max("date_key")).first()[0]
@@ -46,7 +46,7 @@ def test_state_refresh_equals_reference_semantics(spark):
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # state: one row per symbol, tails bounded
-    st = spark.read.schema(STATE_SCHEMA).parquet(state)
+    st = versions.read(spark, state, STATE_SCHEMA)
     assert st.groupBy("symbol").count().where("count > 1").count() == 0
     assert st.where(F.size("tail") > 19).count() == 0
     assert st.where(F.col("symbol") == "LATE").count() == 1
@@ -71,7 +71,7 @@ def test_state_refresh_out_of_order_load_clock(spark):
     target, state = scratch_path(spark, "t-ps2-fact"), scratch_path(spark, "t-ps2-state")
     refresh_prices(spark, wave1, wave1, comp, target, state, tiebreak=["event_id"])
     refresh_prices(spark, wave2, history, comp, target, state, tiebreak=["event_id"])
-    got = spark.read.parquet(target).select(*FACT_PRICE_COLUMNS)
+    got = versions.read(spark, target, full_fact(wave1, comp).schema).select(*FACT_PRICE_COLUMNS)
     fact1 = full_fact(wave1, comp)
     w1 = fact1.agg(F.max("date_key")).first()[0]
     want = fact1.unionByName(full_fact(history, comp).where(F.col("date_key") > F.lit(w1)))

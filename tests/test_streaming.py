@@ -1,6 +1,6 @@
 import datetime as dt
 
-from marketlake.operators import layout
+from marketlake.operators import versions
 from marketlake.plans import fixtures as fx
 from marketlake.plans import registry as R
 from marketlake.session import scratch_path
@@ -21,18 +21,18 @@ def test_redelivered_batch_is_idempotent_and_restart_resumes(spark):
     q = start_price_refresh(spark, root, raw.schema, star.dim_companies, target, ckpt, state, tiebreak=["event_id"])
     q.awaitTermination()
     schema = star.fct_daily_prices.schema
-    first = layout.read_partitioned(spark, target, schema)
+    first = versions.read(spark, target, schema)
     n = first.count()
     assert n == star.fct_daily_prices.count()
 
     # at-least-once delivery: the same batch again changes nothing
     batch = read_raw(spark, root, "candles", schema=raw.schema)
     refresh_batch(spark, batch, root, raw.schema, star.dim_companies, target, state, tiebreak=["event_id"])
-    again = layout.read_partitioned(spark, target, schema)
+    again = versions.read(spark, target, schema)
     assert again.count() == n and again.exceptAll(star.fct_daily_prices).count() == 0
 
     # restart with the same checkpoint: no new files, no new batch
     q = start_price_refresh(spark, root, raw.schema, star.dim_companies, target, ckpt, state, tiebreak=["event_id"])
     q.awaitTermination()
     assert q.lastProgress is None or q.lastProgress["numInputRows"] == 0
-    assert layout.read_partitioned(spark, target, schema).count() == n
+    assert versions.read(spark, target, schema).count() == n

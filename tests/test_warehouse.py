@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from marketlake.operators import versions
 from marketlake.plans import fixtures as fx
 from marketlake.plans import registry as R
 from marketlake.plans.build import build_warehouse
@@ -90,8 +91,8 @@ def test_cli_build_and_freshness(spark, capsys):
     assert main(["build", "--raw", root, "--seed", seed, "--out", out, "--as-of", "2025-01-15", "--no-news",
                  "--warn-only", "--new-raw", landing]) == 0
     capsys.readouterr()
-    got = spark.read.parquet(f"{out}/fct_daily_prices")
     want = R.star(spark, SF).fct_daily_prices
+    got = versions.read(spark, f"{out}/fct_daily_prices", want.schema)
     assert got.count() == want.count()
     assert main(["freshness", "--raw", root, "--as-of-ts", "2024-02-01 00:00:00"]) == 0
     assert "status=pass" in capsys.readouterr().out
