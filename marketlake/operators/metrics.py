@@ -135,6 +135,17 @@ def company_news_range(news: DataFrame, start: dt.date, end: dt.date, symbols=No
     return price_history(news, start, end, symbols)
 
 
+def by_dates(fact: DataFrame, dates: DataFrame, symbols=None) -> DataFrame:
+    """Q-4 / Q-5 for the days that a selection of the date dimension names (a
+    quarter, trading days, ISO weeks), which no literal range can.
+
+    A semi join on the partition column: the days selected are found first and
+    prune the fact's partitions at run time (dynamic partition pruning), so only
+    their folders are read."""
+    chosen = fact if not symbols else fact.where(F.col("symbol").isin(list(symbols)))
+    return chosen.join(dates.select("date_key"), "date_key", "left_semi").select(*fact.columns)
+
+
 def compare_financials(fin: DataFrame, companies: DataFrame) -> DataFrame:
     """Q-6: latest indicators per company with its sector."""
     latest = dedup_latest(fin, ["symbol"], ["date_key", "_loaded_at"])

@@ -963,6 +963,16 @@ def q_company_news_range(spark, sf_dir):
     return metrics.company_news_range(written_news(spark, sf_dir), Q5_START, Q5_END, HISTORY_SYMBOLS)
 
 
+@register("price_history_by_dates", O.build(
+    "select * from fct_daily_prices where symbol in ('U1', 'U14.B', 'N20', 'BRK.B', 'nobody') and "
+    "date_key in (select date_key from dim_dates where is_trading and week_of_year = 3)", round_cols=FACT_DOUBLES,
+    extra={"date_bounds": O.date_bounds_sql(AS_OF_S)}))
+def q_price_history_by_dates(spark, sf_dir):
+    """Q-4 price fact of some symbols for the trading days of an ISO week, chosen by the date dimension."""
+    dates = marts.dim_dates(*_dates(spark, sf_dir), AS_OF).where("is_trading and week_of_year = 3")
+    return metrics.by_dates(written_fact(spark, sf_dir), dates, HISTORY_SYMBOLS)
+
+
 # --- streaming -----------------------------------------------------------------------------
 STREAM_CUT = dt.date(2024, 1, 15)
 
