@@ -275,15 +275,15 @@ def repeated_spans(texts: DataFrame, size: int = SIZE, gram: int = GRAM, crowd:
     those start, as binaries of a span and starts: each stands for the strings from
     a start to the start plus the span."""
     phrases = texts.mapInArrow(partial(_phrases, size, gram), PHRASES_SCHEMA)
-    # The counts are joined by the complement of their key: they then have an exchange of their own, of the repeated keys
-    # only, and the planner can split a hot key of the other side, which it does not where a join reads an aggregate.
+    # Counts lose their partitioning by their key (complemented twice), so a join gives them an exchange of their own, of the
+    # repeated keys only, and the planner can split a hot key of the other side; it does not where a join reads an aggregate.
     again = phrases.groupBy("trigger").agg(F.sum("n").alias("total")).where("total > 1").select(F.bitwise_not("trigger").alias("t"), "total")
-    candidates = phrases.withColumn("t", F.bitwise_not("trigger")).join(again, "t")
+    candidates = phrases.join(again, F.col("trigger") == F.bitwise_not("t")).drop("t")
     # Both uses of the candidates take all columns of the phrases, so that one exchange serves both.
     own = F.xxhash64("mark", "body")
     counted = candidates.groupBy("c1", "c2").agg(F.sum("n").alias("all"), F.min(own).alias("speaker"))
     named = counted.select(F.bitwise_not("c1").alias("d1"), F.bitwise_not("c2").alias("d2"), "all", "speaker")
-    known = candidates.withColumns({"d1": F.bitwise_not("c1"), "d2": F.bitwise_not("c2")}).join(named, ["d1", "d2"])
+    known = candidates.join(named, (F.col("c1") == F.bitwise_not("d1")) & (F.col("c2") == F.bitwise_not("d2")))
     # One copy of every distinct phrase speaks for it, if its trigger string has others; a text is asked for its own phrases at most.
     compare = (F.col("all") < F.col("total")) & (own == F.col("speaker"))
     asked = known.where((F.col("all") > 1) | compare).groupBy("mark").agg(F.collect_list(F.struct(
