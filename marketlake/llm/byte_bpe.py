@@ -29,6 +29,9 @@ from pyspark.sql import DataFrame
 
 from .common import Memo, byte_chunks, collector_off, id_text
 
+#: Bytes for remembered pairs of tokens, which cost more to find than chunks do.
+PAIR_BYTES = 112 << 20
+
 _SPACE_RUN = re.compile(r"\s\s")
 MARKS = ",.!?;:"
 
@@ -43,7 +46,7 @@ class Vocabulary:
         self.lengths = [0] * self.above
         for rank, token in self.tokens.items():
             self.lengths[rank] = len(token)
-        self.pairs, self.chunks = Memo(self._follows), Memo(self._packed)
+        self.pairs, self.chunks = Memo(self._follows, PAIR_BYTES), Memo(self._packed)
         self.halves: dict[int, tuple[int, int]] = {}
         self.shorter: dict[int, int | None] = {}
         self.automaton = ahocorasick.Automaton()
@@ -146,8 +149,8 @@ class Vocabulary:
         return self.chunks[head] + array("I", self.encode_piece(chunk[len(head) :].encode())).tobytes()  # and one of marks
 
     def trim(self) -> None:
-        self.chunks.trim()
-        self.pairs.trim()
+        self.chunks.trim(keep=0.25)
+        self.pairs.trim(keep=0.25)
 
     def forget(self) -> None:
         self.chunks.clear()

@@ -133,6 +133,7 @@ def test_memos_stay_under_their_bound(spark, make_docs, monkeypatch):
     """Many distinct words: what a task remembers stays under the bound and one chunk's words, and nothing stays behind."""
     limit = 200_000
     monkeypatch.setattr(common, "MEMO_BYTES", limit)
+    monkeypatch.setattr(byte_bpe, "PAIR_BYTES", limit)
     rng = random.Random(3)
     chunks = [["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(400)] for _ in range(20)]
     encoder, vocabulary, terms = token_files.WordEncoder(WORDS, limit), byte_bpe.Vocabulary(RANKS, P.PATTERN), common.Memo(len)
