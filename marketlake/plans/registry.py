@@ -25,6 +25,7 @@ from marketlake.plans.build import build_price_star, build_warehouse, run_wareho
 from marketlake.session import ensure_conf, scratch_path
 from marketlake.sources import payloads as PL
 from marketlake.sources import providers as PR
+from marketlake.sources import quarantine as QU
 from marketlake.sources import raw as RAW
 from marketlake.sources import writers as WR
 from marketlake.sources.universe import filter_universe
@@ -689,6 +690,32 @@ def q_flatten_financials_rejects(spark, sf_dir):
     return _rejects(PL.rejected(fx.fx_financial_payloads(spark, sf_dir), "company_financials"))
 
 
+_MENDED = (f"select {O.SYM('user_id', '.')} as symbol, cast(ts as date) + cast(i as integer) as trading_date, value + i as open, "
+           f"value + i + 1 as high, value + i - 1 as low, case i when 0 then value else value + i - 0.5 end as close, "
+           f"case i when 2 then 0.0 else cast({O.J} as double) + i end as volume, timestamp '2024-02-05 00:00:00' as _loaded_at "
+           "from events, range(3) r(i) where event_type = 'error'")
+
+
+@register("quarantine_replay", O.build(
+    f"select symbol, trading_date, open, high, low, close, volume, _loaded_at from flat_candles union all {_MENDED}", round_cols=CANDLE_DOUBLES))
+def q_quarantine_replay(spark, sf_dir):
+    """S-4 raw candles after a replay: a run's rejects are kept, those with a
+    short volume array are mended, land beside the run's rows and are settled;
+    a second replay finds only what cannot be mended and adds nothing."""
+    root = scratch_path(spark, "raw")
+    rows, rejects = PL.flatten_candles(fx.fx_candle_payloads(spark, sf_dir), loaded_at())
+    WR.write_raw_period(rows, root, "candles", dt.date(2024, 2, 1), "day")
+    QU.quarantine(rejects.withColumn("table", F.lit("candles")), root, "2024-02-01")
+
+    def mend(df):
+        short = F.col("reason") == "unequal array lengths"
+        return df.withColumn("payload", F.when(short, F.regexp_replace("payload", r'("v":\[[^\]]*)\]', "$1,0.0]")).otherwise(F.col("payload")))
+
+    for name in ("first", "second"):
+        QU.replay(spark, root, root, mend, dt.date(2024, 2, 5), dt.datetime(2024, 2, 5), name)
+    return RAW.read_raw(spark, root, "candles").withColumn("_loaded_at", F.col("_loaded_at").cast("timestamp_ntz")).drop("year", "month", "day")
+
+
 _GRANTED = "user_id % 3 <> 0 and user_id % 11 <> 1"
 _DENIED_SYMBOLS = f"select {O.SYM('user_id', '.')} from events where user_id % 3 = 0"
 
