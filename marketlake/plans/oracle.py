@@ -27,16 +27,37 @@ def SAFE_DIV(n: str, d: str) -> str:
 
 
 # Words of an industry and their sector; the first found in this order counts.
-INDUSTRY_WORDS = """
-technology=Technology, health=Healthcare, pharma=Healthcare, biotech=Healthcare,
-bank=Financials, insurance=Financials, financial=Financials,
-consumer cyclical=Consumer Discretionary, retail=Consumer Discretionary, automobile=Consumer Discretionary, restaurant=Consumer Discretionary,
-consumer defensive=Consumer Staples, beverage=Consumer Staples, household=Consumer Staples,
-industrial=Industrials, aerospace=Industrials, transport=Industrials, energy=Energy, oil=Energy, gas=Energy,
-communication=Communication Services, media=Communication Services, entertainment=Communication Services, telecom=Communication Services,
-utility=Utilities, real estate=Real Estate, material=Materials, chemical=Materials"""
-_PAIRS = [pair.strip().split("=") for pair in INDUSTRY_WORDS.replace("\n", " ").split(",")]
-_RULES = ", ".join(f"({k}, '{word}', '{sector}')" for k, (word, sector) in enumerate(_PAIRS))
+INDUSTRY_WORDS = [
+    ("technology", "Technology"),
+    ("health", "Healthcare"),
+    ("pharma", "Healthcare"),
+    ("biotech", "Healthcare"),
+    ("bank", "Financials"),
+    ("insurance", "Financials"),
+    ("financial", "Financials"),
+    ("consumer cyclical", "Consumer Discretionary"),
+    ("retail", "Consumer Discretionary"),
+    ("automobile", "Consumer Discretionary"),
+    ("restaurant", "Consumer Discretionary"),
+    ("consumer defensive", "Consumer Staples"),
+    ("beverage", "Consumer Staples"),
+    ("household", "Consumer Staples"),
+    ("industrial", "Industrials"),
+    ("aerospace", "Industrials"),
+    ("transport", "Industrials"),
+    ("energy", "Energy"),
+    ("oil", "Energy"),
+    ("gas", "Energy"),
+    ("communication", "Communication Services"),
+    ("media", "Communication Services"),
+    ("entertainment", "Communication Services"),
+    ("telecom", "Communication Services"),
+    ("utility", "Utilities"),
+    ("real estate", "Real Estate"),
+    ("material", "Materials"),
+    ("chemical", "Materials"),
+]
+_RULES = ", ".join(f"({k}, '{word}', '{sector}')" for k, (word, sector) in enumerate(INDUSTRY_WORDS))
 
 
 def CLASSIFY(col: str) -> str:
@@ -44,7 +65,7 @@ def CLASSIFY(col: str) -> str:
             f"where contains(lower({col}), rule.word)), 'Financials')")
 
 
-ACCEPTED = ", ".join(f"'{s}'" for s in sorted({sector for _, sector in _PAIRS}))
+ACCEPTED = ", ".join(f"'{s}'" for s in sorted({sector for _, sector in INDUSTRY_WORDS}))
 
 # The columns whose change opens a new profile version.
 PROFILE_COLUMNS = "company_name exchange industry country market_cap ipo_date logo_url web_url sector".split()
