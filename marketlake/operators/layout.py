@@ -29,6 +29,13 @@ def clustered(df: DataFrame, partition_col: str, cluster_cols: Sequence[str]) ->
     return df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *cluster_cols)
 
 
+def bloom_options(cluster_cols: Sequence[str]) -> dict[str, str]:
+    """Writer options for a Bloom filter a row group on the cluster columns:
+    values that fall between a group's least and greatest but are not in it are
+    skipped too."""
+    return {f"parquet.bloom.filter.enabled#{c}": "true" for c in cluster_cols}
+
+
 def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols: Sequence[str] = (),
                       mode: str = "overwrite", dynamic: bool = False) -> None:
     """I-5: write ``df`` partitioned by ``partition_col`` (optionally clustered).
@@ -37,7 +44,7 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str, cluster_cols
     """
     if cluster_cols:
         df = clustered(df, partition_col, cluster_cols)
-    w = df.write.mode(mode).partitionBy(partition_col)
+    w = df.write.mode(mode).options(**bloom_options(cluster_cols)).partitionBy(partition_col)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketlake.operators.layout import clustered
+from marketlake.operators.layout import bloom_options, clustered
 
 LOG_SCHEMA = "number long, name string, part string, filled boolean"
 #: Stands for the whole of a table: a version with this row replaces all partitions.
@@ -76,7 +76,8 @@ def publish(df: DataFrame, path: str, partition_col: str | None = None, cluster_
         # Rows of a partition value go to one task (AQE splits a heavy one),
         # so a partition is one file, not one for each upstream task.
         df = clustered(df, partition_col, [cluster_col])
-    (df.write.partitionBy(partition_col) if partition_col else df.write).parquet(data)
+    writer = df.write.options(**bloom_options([cluster_col] if cluster_col else []))
+    (writer.partitionBy(partition_col) if partition_col else writer).parquet(data)
     written = spark.read.schema(df.schema).parquet(data)
     filled = written.select(_part(partition_col).alias("part")).distinct() if partition_col else spark.createDataFrame([("",)], "part string")
     rows = filled.withColumn("filled", F.lit(True))

@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.operators import metrics
 from marketlake.plans import registry as R
@@ -65,3 +66,31 @@ def test_date_dimension_prunes_partitions_at_run_time(spark):
     assert sorted(r.date_key.isoformat() for r in got.collect()) == [f"2024-01-{k:02d}" for k in range(8, 13)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruningexpression" in plan.lower()
+
+
+def test_a_symbol_opens_few_row_groups(spark):
+    """Footers of a clustered day: groups are told apart by least and greatest symbol, and hold Bloom filters."""
+    import datetime as dt
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from marketlake.operators import layout
+    from marketlake.session import scratch_path
+
+    path = scratch_path(spark, "t-groups")
+    df = spark.range(200_000).selectExpr("concat('S', lpad(cast(id % 5000 as string), 4, '0')) as symbol", "rand(1) as close", "uuid() as note").withColumn("date_key", F.lit(dt.date(2024, 1, 2)))
+    spark.conf.set("parquet.block.size", str(1 << 20))
+    try:
+        layout.write_partitioned(df, path, "date_key", cluster_cols=["symbol"])
+    finally:
+        spark.conf.unset("parquet.block.size")
+    groups = []
+    for file in glob.glob(f"{path.removeprefix('file:')}/**/*.parquet", recursive=True):
+        meta = pq.ParquetFile(file).metadata
+        at = [meta.schema.column(k).name for k in range(meta.num_columns)].index("symbol")
+        groups += [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+    opened = [sum(s.min <= f"S{n:04d}" <= s.max for s in groups) for n in range(0, 5000, 500)]
+    assert len(groups) >= 4 and max(opened) <= 2, (len(groups), opened)
+    got = spark.read.parquet(path).where("symbol = 'S0042'")
+    assert got.count() == 40 and "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,S0042)]" in got._jdf.queryExecution().executedPlan().toString()
