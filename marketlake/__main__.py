@@ -85,7 +85,7 @@ def main(argv=None) -> int:
     models = build_warehouse(spark, args.raw, args.seed, args.out, as_of, now, news_enabled=not args.no_news,
                              new_candles=new_candles, full_refresh=args.full_refresh, reconcile=args.reconcile,
                              lookback_days=args.lookback_days)
-    results = run_warehouse_tests(models).orderBy("model", "test", "column_name").collect()
+    results = run_warehouse_tests(models, args.out).orderBy("model", "test", "column_name").collect()
     failed = [r for r in results if r.status == "fail"]
     for r in results:
         print(f"{r.status.upper():4s} {r.model}.{r.test}({r.column_name}) failures={r.failures}")

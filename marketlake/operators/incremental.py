@@ -8,9 +8,9 @@ that fails leaves the table as it was.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlake.operators import versions
@@ -46,13 +46,15 @@ def _days(target: DataFrame | None, lookback_days: int) -> dt.timedelta:
     return dt.timedelta(days=0 if target is None else lookback_days)
 
 
-def full_refresh(df: DataFrame, path: str, partition_col: str, cluster_col: str | None = "symbol") -> None:
+def full_refresh(df: DataFrame, path: str, partition_col: str, cluster_col: str | None = "symbol",
+                 counts: Mapping[str, Column] | None = None) -> None:
     """I-3: rebuild the table from scratch."""
-    versions.publish(df, path, partition_col, cluster_col if cluster_col in df.columns else None)
+    versions.publish(df, path, partition_col, cluster_col if cluster_col in df.columns else None, counts=counts)
 
 
 def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys: Sequence[str],
-                 partition_col: str, schema, replaced: DataFrame | None = None) -> None:
+                 partition_col: str, schema, replaced: DataFrame | None = None,
+                 counts: Mapping[str, Column] | None = None) -> None:
     """I-2: merge ``updates`` into the table at ``target_path`` by ``keys``.
 
     Rows of touched partitions whose key is not updated are kept; every
@@ -63,7 +65,8 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
     batch is written once to the shared checkpoint folder first, as it comes
     (no shuffle): it is used three times (range, partitions, merge) and this
     cuts its lineage, so a lost executor never recomputes the upstream plan.
-    The merged rows are shuffled once, to their partitions.
+    The merged rows are shuffled once, to their partitions; ``counts`` are taken
+    of them as they are written.
     """
     keys = list(keys)
     # The partition column must be a function of the key (e.g. the key's
@@ -82,11 +85,12 @@ def keyed_upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys
         current = versions.read(spark, target_path, schema).where(F.col(partition_col).between(first, last))
         kept = current.join(touched, partition_col, "left_semi").join(out.select(*keys).distinct(), keys, "left_anti")
         merged = kept.select(*schema.fieldNames()).unionByName(merged)
-    versions.publish(merged, target_path, partition_col, keys[0], touched)
+    versions.publish(merged, target_path, partition_col, keys[0], touched, counts)
 
 
 def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame, keys: Sequence[str],
-                        partition_col: str, schema, watermark_col: str | None = None, lookback_days: int = 0) -> None:
+                        partition_col: str, schema, watermark_col: str | None = None, lookback_days: int = 0,
+                        counts: Mapping[str, Column] | None = None) -> None:
     """Watermark filter then keyed upsert: one incremental model run.
 
     ``watermark_col`` defaults to the partition column (day-partitioned
@@ -98,10 +102,10 @@ def incremental_refresh(spark: SparkSession, target_path: str, fresh: DataFrame,
     ``fresh`` no longer has are taken out.  The table then equals a full refresh
     if no row is later than the look-back."""
     if not versions.exists(spark, target_path):
-        full_refresh(fresh, target_path, partition_col)
+        full_refresh(fresh, target_path, partition_col, counts=counts)
         return
     target = versions.read(spark, target_path, schema)
     wm_col = watermark_col or partition_col
     news = watermark_filter(fresh, target, wm_col, lookback_days)
     replaced = watermark_filter(target, target, wm_col, lookback_days) if lookback_days else None
-    keyed_upsert(spark, target_path, news, keys, partition_col, schema, replaced)
+    keyed_upsert(spark, target_path, news, keys, partition_col, schema, replaced, counts)

@@ -7,7 +7,7 @@ Parquet row-group min/max statistics skip data for symbol predicates.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,16 +17,18 @@ def month_partition(df: DataFrame, date_col: str = "date_key") -> DataFrame:
     return df.withColumn("date_month", F.trunc(F.col(date_col), "month"))
 
 
-def clustered(df: DataFrame, partition_col: str, cluster_cols: Sequence[str]) -> DataFrame:
+def clustered(df: DataFrame, partition_col: str, cluster_cols: Sequence[str],
+              watch: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """I-6: co-locate the rows of each partition value and sort them by the
     cluster columns within each task.
 
     ``REBALANCE(partition_col)`` hash-partitions by the partition value and
     lets AQE split a skewed value over several writer tasks and merge small
     ones, so a heavy day is never one straggler task and a light day is one
-    file, not one file per upstream task.
+    file, not one file per upstream task.  ``watch`` may observe the rows after
+    that exchange, in the stage that writes them.
     """
-    return df.hint("rebalance", partition_col).sortWithinPartitions(partition_col, *cluster_cols)
+    return watch(df.hint("rebalance", partition_col)).sortWithinPartitions(partition_col, *cluster_cols)
 
 
 def bloom_options(cluster_cols: Sequence[str]) -> dict[str, str]:

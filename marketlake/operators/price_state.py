@@ -18,9 +18,9 @@ writes the state, so the two never drift apart.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,7 +109,8 @@ def _new_loads(raw_history: DataFrame, new_raw: DataFrame | None, mark) -> DataF
 
 def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history: DataFrame, companies: DataFrame,
                    target_path: str, state_path: str, tiebreak: Sequence[str] = (), from_history: bool = False,
-                   rebuild: bool = False, staged: DataFrame | None = None, lookback_days: int = 0) -> None:
+                   rebuild: bool = False, staged: DataFrame | None = None, lookback_days: int = 0,
+                   counts: Mapping[str, Column] | None = None) -> None:
     """One run of the daily price fact and its per-symbol state.
 
     ``raw_history`` is the whole raw table.  Symbols with loads newer than the
@@ -121,7 +122,8 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history:
     the fact instead.  Within the look-back, rows that a symbol computed from its
     whole history no longer has are taken out.
     ``staged`` may give the staged rows of ``raw_history`` (they are then not
-    staged again where all symbols are computed).
+    staged again where all symbols are computed).  ``counts`` are taken of the
+    fact's rows as they are written.
     """
     have_fact, have_state = versions.exists(spark, target_path), versions.exists(spark, state_path)
     everything = from_history or rebuild or not (have_fact and have_state)
@@ -169,14 +171,14 @@ def refresh_prices(spark: SparkSession, new_raw: DataFrame | None, raw_history:
     rows = frame.where(~F.col("_ctx") & F.col("prev_close").isNotNull())
     fact = rows.join(companies.select("symbol", "sector"), "symbol", "left").select(*FACT_PRICE_COLUMNS)
     if not have_fact or rebuild:
-        incremental.full_refresh(fact, target_path, "date_key")
+        incremental.full_refresh(fact, target_path, "date_key", counts=counts)
     else:
         target = versions.read(spark, target_path, fact.schema)
         fresh = incremental.watermark_filter(fact, target, "date_key", lookback_days)
         replaced = incremental.watermark_filter(target, target, "date_key", lookback_days) if lookback_days else None
         if replaced is not None and full_syms is not None:
             replaced = replaced.join(full_syms, "symbol", "left_semi")
-        incremental.keyed_upsert(spark, target_path, fresh, ["symbol", "date_key"], "date_key", fact.schema, replaced)
+        incremental.keyed_upsert(spark, target_path, fresh, ["symbol", "date_key"], "date_key", fact.schema, replaced, counts)
 
     # touched symbols take their new state (none if no staged row is left)
     new_state = state_of(frame)

@@ -2,9 +2,10 @@
 
 Row-level tests of a model (not_null, accepted_values, between, the two
 singular assertions) are answered in one pass with ``count_if`` /
-``count_distinct``; uniqueness tests are one grouped count each; each
-relationship test is one anti join.  Result: one row per test with its
-failure count, like a test run's summary.
+``count_distinct``, or without any from the counts taken while the model was
+written (``row_counts``, ``operators.versions``); uniqueness tests are one
+grouped count each; each relationship test is one anti join.  Result: one row
+per test with its failure count, like a test run's summary.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.functions.sectors import SECTORS
+from marketlake.operators import versions
 
 # The tests declared per model, as (model, test, column(s), argument).
 DECLARED_TESTS = [
@@ -81,6 +83,24 @@ def _col_name(cols) -> str:
     return ",".join(cols) if isinstance(cols, tuple) else cols
 
 
+def _metric(test: str, col: str, arg, accepted) -> str:
+    """A test's name among the kept counts: one that is declared anew is another."""
+    bound = sorted(accepted) if test == "accepted_values" else arg
+    return f"{test}({col})" if bound is None else f"{test}({col}, {bound})"
+
+
+def row_counts(model: str, tests=DECLARED_TESTS, accepted=SECTORS) -> dict[str, F.Column]:
+    """The model's row tests as counts of failing rows that add up over the
+    parts of a table, for the write that makes it."""
+    return {_metric(t, c, a, accepted): _failing_rows(t, c, a, accepted) for m, t, c, a in tests if m == model and t in _ROW_TESTS}
+
+
+def _failing_rows(test: str, col: str, arg, accepted) -> F.Column:
+    if test == "accepted_values":
+        return F.count_if(F.col(col).isNotNull() & ~F.col(col).isin(list(accepted)))
+    return _row_failure(test, col, arg, accepted)
+
+
 def _row_failure(test: str, col: str, arg, accepted) -> F.Column:
     c = F.col(col)
     if test == "not_null":
@@ -102,10 +122,14 @@ def _row(model: str, test: str, col: str, failures: F.Column) -> list[F.Column]:
             failures.cast("long").alias("failures")]
 
 
-def run_quality_suite(tables: Mapping[str, DataFrame], tests=DECLARED_TESTS, accepted=SECTORS) -> DataFrame:
+def run_quality_suite(tables: Mapping[str, DataFrame], tests=DECLARED_TESTS, accepted=SECTORS,
+                      written: Mapping[str, str] | None = None) -> DataFrame:
     """Failure count per declared test over the given model tables.
 
     Models missing from ``tables`` (e.g. news when disabled) are skipped.
+    ``written`` has the paths of models that are tables of versions: their row
+    tests are answered by the counts kept when they were written (a rejected
+    value is looked up in the rows only if there is one).
     """
     parts: list[DataFrame] = []
     by_model: dict[str, list] = {}
@@ -115,6 +139,17 @@ def run_quality_suite(tables: Mapping[str, DataFrame], tests=DECLARED_TESTS, acc
     for model, ts in by_model.items():
         df = tables[model]
         row_tests = [(t, c, a) for t, c, a in ts if t in _ROW_TESTS]
+        if row_tests and model in (written or {}):
+            kept = versions.counted(df.sparkSession, written[model], df.schema, row_counts(model, tests, accepted))
+            known, row_tests = row_tests, []
+            answers = []
+            for t, c, a in known:
+                failing = kept[_metric(t, c, a, accepted)]
+                if failing and t == "accepted_values":
+                    row_tests.append((t, c, a))
+                else:
+                    answers.append((model, t, c, failing))
+            parts.append(df.sparkSession.createDataFrame(answers, "model string, test string, column_name string, failures long"))
         if row_tests:
             aggs = [_row_failure(t, c, a, accepted).alias(f"f{i}") for i, (t, c, a) in enumerate(row_tests)]
             wide = df.agg(*aggs)

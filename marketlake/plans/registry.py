@@ -1065,4 +1065,4 @@ def q_warehouse_build(spark, sf_dir):
     schemas = {"candles": c.schema, "company_profiles": p.schema, "company_financials": f.schema,
                "company_news": n.schema}
     models = build_warehouse(spark, root, seed_path, out, AS_OF, dt.datetime(2024, 2, 1), schemas)
-    return run_warehouse_tests(models)
+    return run_warehouse_tests(models, out)
