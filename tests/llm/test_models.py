@@ -160,6 +160,50 @@ def test_articles_of_readers_do_not_make_an_article_of_the_page():
         assert [t for t, k in zip(texts, html_text.train().predict(np.array(features, float))) if k] == story
 
 
+def kept(page):
+    texts, features = html_text.blocks(page)
+    return [t for t, k in zip(texts, html_text.train().predict(np.array(features, float).reshape(-1, len(html_text.FEATURES)))) if k]
+
+
+LONG = [" ".join(f"{c}{i}" for i in range(40)) for c in "ab"]
+
+
+@pytest.mark.parametrize("wrapper", ["div class='content-sidebar-wrap'", "div class='layout-sidebar-right'", "div class='post category-social tag-search'",
+                                     "section class='search-result-page'", "form id='aspnetForm'"])
+def test_names_of_parts_on_wrappers_of_the_page(wrapper):
+    paragraphs = "".join(f"<p>{t}</p>" for t in LONG)
+    for inside in (paragraphs, f"<article>{paragraphs}</article>", f"<main><div>{paragraphs}</div></main>", f"<div>{paragraphs}</div><div class='sidebar'><p>a few words in a bar</p><a>more</a></div>"):
+        for after in ("", "<div id=footer>all rights</div><nav><a>Top</a></nav>"):
+            assert kept(f"<body><nav><a>Menu</a></nav><{wrapper}>{inside}</{wrapper.split()[0]}>{after}</body>") == LONG
+    # beside an article the same names are parts again
+    assert kept(f"<body><article>{paragraphs}</article><{wrapper}><p>{LONG[0]}</p></{wrapper.split()[0]}></body>") == LONG
+
+
+def test_short_blocks_of_pages_without_an_article():
+    lines = [f"Line {i} he said." for i in range(30)]
+    menu, foot = "<div><a>Home</a> <a>News</a></div>", "<div>Copyright of ours</div>"
+    for line in ("<p>{}</p>", "<div><p>{}</p></div>", "<li>{}</li>"):
+        assert kept(f"<body>{menu}<div>{''.join(map(line.format, lines))}</div>{foot}</body>") == lines
+    listed = [LONG[0], "one", "two words", LONG[1], "That is all."]
+    assert kept(f"<body>{menu}<div><p>{LONG[0]}</p><ul><li>one</li><li>two words</li></ul><p>{LONG[1]}</p><p>That is all.</p></div>{foot}</body>") == listed
+    assert kept("<p>One short paragraph.</p>") == kept(f"<body>{menu}<div><p>One short paragraph.</p></div></body>") == ["One short paragraph."]
+    assert kept("<body><div><a>Home</a> | <a>News</a></div><div><p>One short paragraph.</p></div></body>") == ["One short paragraph."]
+    many = [f"<h2>Head {i}</h2><p>{LONG[0]}</p><p>Short {i}.</p>" for i in range(40)]
+    for part in ("section", "div"):
+        assert len(kept(f"<body>{menu}<div>{''.join(f'<{part}>{t}</{part}>' for t in many)}</div>{foot}</body>")) == 120
+
+
+def test_articles_full_of_links():
+    parts = ["<h1><a>Heading of it</a></h1>", f"<p>{LONG[0]} <a>{LONG[1]}</a></p>", "<p><a>see there</a></p>", f"<ul><li><a>one</a></li><li><a>two</a> {LONG[0]}</li></ul>"]
+    for body in ("article", "main"):
+        assert len(kept(f"<nav><a>Menu</a></nav><{body}>{''.join(parts)}</{body}><footer><a>f</a></footer>")) == 5
+
+
+def test_features_of_deep_and_long_pages():
+    texts, features = html_text.blocks("<div>" * 30000 + "x" + "<p>y</p>" * 30000)
+    assert len(texts) == len(features) == 30001 and all(len(f) == len(html_text.FEATURES) for f in features[:10])
+
+
 def test_tree_fits_its_table_and_generalises():
     rows = np.array(html_text.LABELLED, float)
     assert (html_text.train().predict(rows[:, :-1]) == (rows[:, -1] > 0)).all()
