@@ -3,12 +3,13 @@
 The pieces of a public vocabulary are scored as a unigram model by Zipf's law
 on their rank, log(1 / (rank + 1)); a character no piece has costs its UTF-8
 bytes, each scored FALLBACK.  A text's pre-tokens are its words, each led by
-the vocabulary's word mark.  A task puts the distinct pre-tokens of a chunk into
-a trie and walks it: the forward score of a prefix, the best score of any way to
-cut it into pieces and the fewest pieces among the best, is computed once for all
-pre-tokens that share it, and the count at a terminal is the pre-token's.  The
-trie is walked as sorted pre-tokens with a stack of forward scores, so it takes
-no more memory than the longest of them beside the words themselves.
+the vocabulary's word mark.  A task inserts the distinct pre-tokens of a chunk in
+a trie, kept in arrays: a node is a prefix, and its forward score, the best score
+of any way to cut the prefix into pieces and the fewest pieces among the best, is
+computed once, when the node is made, from those of the nodes above it, for all
+pre-tokens that share it.  The node where a pre-token ends stores its count.  A
+trie that has NODES nodes is done with and the next pre-tokens go to a new one:
+some prefixes are then computed again, with the same scores.
 
 A document's count is the sum over its words.  Nothing is shuffled; counts are
 remembered by word, within a bound of bytes, in a task.
@@ -20,7 +21,8 @@ columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,8 @@ from .common import Memo, byte_chunks, id_text
 
 MARK = "▁"
 FALLBACK = -20.0
+#: Nodes of a trie at most, and the rest of the last pre-token (24 bytes each).
+NODES = 1 << 20
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 
 _MODELS: dict[str, Unigram] = {}
@@ -57,38 +61,82 @@ class Unigram:
             _MODELS[path] = cls({sp.id_to_piece(i): -float(np.log(rank + 1)) for rank, i in enumerate(normal, 1)})
         return _MODELS[path]
 
-    def counts(self, words: list[str]) -> dict[str, int]:
-        """Tokens of each distinct word."""
-        out: dict[str, int] = {}
-        best: list[tuple[float, int]] = [(0.0, 0)]  # by prefix length: score, and minus the number of pieces
-        before = ""
+    def counts(self, words: Iterable[str], nodes: int = NODES) -> dict[str, int]:
+        """Tokens of each distinct word, by tries of about ``nodes`` nodes at most."""
+        out, trie = {}, Trie(self)
         for word in sorted(words):
-            path = MARK + word
-            shared = 0
-            for a, b in zip(before, path):
-                if a != b:
-                    break
-                shared += 1
-            del best[shared + 1 :]
-            for end in range(shared + 1, len(path) + 1):
-                best.append(self._forward(path, end, best))
-            out[word] = -best[-1][1]
-            before = path
+            if len(trie) >= nodes:
+                trie = Trie(self)
+            out[word] = trie.ends[trie.insert(word)]
         return out
 
-    def _forward(self, path: str, end: int, best: list[tuple[float, int]]) -> tuple[float, int]:
-        char, scores = path[end - 1], self.scores
-        score, pieces = best[end - 1]
-        size = len(char.encode())
-        found = (score + FALLBACK * size, pieces - size)
-        for n in self.lengths.get(char, ()):
+
+class Trie:
+    """Words in sorted order, led by the mark, as a trie with forward scores.
+
+    Node 0 is the empty prefix; a node comes after its parent.  As words come in
+    order, the node of a shared prefix is on the path of the word before."""
+
+    def __init__(self, model: Unigram):
+        self.model = model
+        self.parent, self.label = array("i", [-1]), array("I", [0])
+        self.score, self.pieces = array("d", [0.0]), array("i", [0])
+        self.ends = array("i", [0])  # tokens of the word that ends at a node, 0 for none
+        self._path, self._nodes = "", [0]
+
+    def __len__(self) -> int:
+        return len(self.parent)
+
+    def insert(self, word: str) -> int:
+        """The node where the word ends."""
+        path, before, nodes = MARK + word, self._path, self._nodes
+        if path < before:
+            raise ValueError("words must come in order")
+        shared = 0
+        for a, b in zip(before, path):
+            if a != b:
+                break
+            shared += 1
+        del nodes[shared + 1 :]
+        for end in range(shared + 1, len(path) + 1):
+            score, pieces = self._forward(path, end)
+            self.parent.append(nodes[-1])
+            self.label.append(ord(path[end - 1]))
+            self.score.append(score)
+            self.pieces.append(pieces)
+            self.ends.append(0)
+            nodes.append(len(self.parent) - 1)
+        self.ends[nodes[-1]] = self.pieces[nodes[-1]]
+        self._path = path
+        return nodes[-1]
+
+    def _forward(self, path: str, end: int) -> tuple[float, int]:
+        """Best score of a prefix and its fewest pieces, from the nodes above."""
+        char, nodes, scores = path[end - 1], self._nodes, self.model.scores
+        size, above = len(char.encode()), nodes[end - 1]
+        best, fewest = self.score[above] + FALLBACK * size, self.pieces[above] + size
+        for n in self.model.lengths.get(char, ()):
             if n > end:
                 break
             own = scores.get(path[end - n : end])
             if own is not None:
-                score, pieces = best[end - n]
-                found = max(found, (score + own, pieces - 1))
-        return found
+                above = nodes[end - n]
+                score, pieces = self.score[above] + own, self.pieces[above] + 1
+                if score > best or score == best and pieces < fewest:
+                    best, fewest = score, pieces
+        return best, fewest
+
+    def terminals(self) -> Iterator[tuple[str, int]]:
+        """The words and the counts stored where they end."""
+        prefix = [""]  # of the node at hand, by depth
+        depth = array("i", [0])
+        for node in range(1, len(self.parent)):
+            d = depth[self.parent[node]] + 1
+            depth.append(d)
+            del prefix[d:]
+            prefix.append(chr(self.label[node]))
+            if self.ends[node]:
+                yield "".join(prefix[2:]), self.ends[node]
 
 
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

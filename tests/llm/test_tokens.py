@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,6 +130,24 @@ def test_token_counts(spark, make_docs, sf_small):
     assert op9_token_counts(spark, sf_small).count() == len(documents(spark, sf_small))
 
 
+def test_trie_of_all_words(spark, sf_small):
+    """Whole table: each prefix is scored once, and the counts at the ends are the brute-force ones."""
+    model = token_counts.Unigram.from_sentencepiece(PIECES)
+    words = sorted({w for _, t in documents(spark, sf_small) for w in (t or "").split()} | {"é", "é😀x", "日本" * 40})
+    trie, scored = token_counts.Trie(model), []
+    real = trie._forward
+    trie._forward = lambda path, end: scored.append(path[:end]) or real(path, end)
+    for w in words:
+        trie.insert(w)
+    assert len(scored) == len(set(scored)) == len(trie) - 1
+    assert set(scored) == {(token_counts.MARK + w)[:n] for w in words for n in range(1, len(w) + 2)}
+    want = {w: brute_count(model, w) for w in words}
+    assert dict(trie.terminals()) == want == model.counts(words) == model.counts(words, nodes=50)
+    with pytest.raises(ValueError):
+        trie.insert("")
+    assert model.counts([]) == {}
+
+
 def test_memos_stay_under_their_bound(spark, make_docs, monkeypatch):
     """Many distinct words: what a task remembers stays under the bound and one chunk's words, and nothing stays behind."""
     limit = 200_000
