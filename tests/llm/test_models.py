@@ -256,6 +256,39 @@ def test_op8_never_sees_the_held_out_labels(spark, sf_small):
     assert sorted(a) == sorted(b) and len(a) == docs.count()
 
 
+def test_every_labelled_row_is_learned_from(spark):
+    """What only the last of 2,700 rows of a class show is known: no part of the rows is picked to learn from."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(5)
+    ids = [r.id for r in spark.range(3100).orderBy(F.xxhash64("id"), "id").collect()]
+    kinds = {d: "plain" if k % 7 == 6 and k < 2800 else "early" if k < 2600 else "late" for k, d in enumerate(ids)}
+    cues, shapes = {"plain": "sit", "early": "nasty", "late": "vile"}, {"plain": "99 12 ### 45 ", "early": "quiet words of it ", "late": "A9 B1 ### C5 "}
+    fillers = {d: " ".join(rng.choice(["lorem", "ipsum", "dolor"], 6)) for d in ids}
+    marks = labelled(spark, [(d, int(k != "plain")) for d, k in kinds.items()])
+
+    def docs(texts):
+        return spark.createDataFrame([(d, texts[kinds[d]].format(fillers[d]), "en", "s") for d in ids], "doc_id long, text string, lang string, source string")
+
+    toxic = docs({k: f"{{}} {c} {{}}".replace("{}", "{0}") for k, c in cues.items()})
+    held = [(r.predicted, kinds[r.doc_id]) for r in toxicity.classify(toxic, toxic, marks).collect() if r.held_out]
+    assert np.mean([p == (k != "plain") for p, k in held]) > 0.95 and np.mean([p for p, k in held if k == "late"]) > 0.95
+    shaped = docs({k: s * 6 for k, s in shapes.items()})
+    got = [(r.evidence, kinds[r.doc_id]) for r in quality.classify(shaped, marks).collect() if r.held_out]
+    assert {k: e > 0.5 for e, k in got} == {"plain": False, "early": True, "late": True}
+
+
+def test_labels_meet_their_rows_across_batches():
+    import pyarrow as pa
+
+    rows = [(1, "a", None, None), (2, None, 1, 0), (2, "b", None, None), (2, "c", None, None), (3, "d", None, None), (4, None, 0, 2), (5, None, 0, 1), (5, None, None, None)]
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("zeros", pa.int64()), ("ones", pa.int64())])
+    table = pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema)
+    for size in (1, 2, 3, 8):
+        got = [tuple(r.values()) for b in toxicity._labelled(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+        assert got == [("b", 1, 0), ("c", 1, 0), (None, 0, 1)]
+
+
 def test_quality(spark, make_docs):
     pairs = [(d, "The quiet words of a plain text. " * 6 if d % 4 else "$$$ 12 ### !!! 99 " * 9) for d in range(300)]
     docs, marks = make_docs([*pairs, *ODD]), labelled(spark, [(d, int(d % 4 > 0)) for d in range(300)])
