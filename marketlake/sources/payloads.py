@@ -71,15 +71,37 @@ FORMS = {"candles": (_is_object, "not an object"), "company_profiles": (_is_obje
          "company_news": (_is_list, "not a list"), "company_financials": (_is_object, "not an object")}
 
 
+def reject_reason(table: str, payload: Column) -> Column:
+    """Why a payload is no answer for ``table``, NULL for one that is (or is NULL):
+    a function of the payload alone, so rows are judged where they are."""
+    fits, name = FORMS[table]
+    reason = F.when(~_is_json(payload), "not JSON").when(~fits(payload), name)
+    if table == "candles":
+        reason = reason.when(_candle_parts(payload, lambda live, same, _: live & ~same), "unequal array lengths")
+    return F.when(payload.isNotNull(), reason)
+
+
+def _candle_parts(payload: Column, made) -> Column:
+    """``made(live, same, arrays)`` of a candle object, which is parsed once for all three:
+    whether it has bars, whether its arrays are equally long, and the arrays."""
+
+    def parts(p: Column) -> Column:
+        arr = [F.coalesce(p.getField(a), F.array().cast(T.ArrayType(_L if a == "t" else _D))) for a in _ARRAYS]
+        same = F.lit(True)
+        for e in arr[1:]:
+            same = same & (F.size(e) == F.size(arr[0]))
+        return made(p.isNotNull() & (F.coalesce(p.getField("s"), F.lit("")) != "no_data"), same, arr)
+
+    # The lambda's variable keeps the optimizer from parsing once for each field.
+    return F.transform(F.array(F.from_json(payload, CANDLE_PAYLOAD)), parts).getItem(0)
+
+
 def rejected(payloads: DataFrame, table: str, symbol: str = "symbol", payload: str = "payload") -> DataFrame:
     """(table, symbol, payload, reason) of the payloads that are no answer for
-    ``table``: bodies that are not JSON (cut off, an error page) or have
-    another form.  A NULL payload is no answer to reject."""
-    body = F.col(payload)
-    fits, name = FORMS[table]
-    reason = F.when(~_is_json(body), "not JSON").when(~fits(body), name)
-    return (payloads.where(body.isNotNull() & reason.isNotNull())
-            .select(F.lit(table).alias("table"), F.col(symbol).alias("symbol"), body.alias("payload"), reason.alias("reason")))
+    ``table``: bodies that are not JSON (cut off, an error page), have another
+    form or, for candles, arrays of unequal lengths.  A NULL payload is no answer to reject."""
+    judged = payloads.select(F.lit(table).alias("table"), F.col(symbol).alias("symbol"), F.col(payload).alias("payload"), reject_reason(table, F.col(payload)).alias("reason"))
+    return judged.where(F.col("reason").isNotNull())
 
 
 def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",
@@ -90,20 +112,10 @@ def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",
     give no rows; payloads that are not a JSON object, or whose arrays differ
     in length (``arrays_zip`` would pad with NULLs instead), are rejected whole.
     """
-    p = payloads.select(F.col(symbol).alias("symbol"), F.col(payload).alias("payload"),
-                        F.from_json(F.col(payload), CANDLE_PAYLOAD).alias("p"))
-    live = p.where(_is_object(F.col("payload")) & F.col("p").isNotNull() & (F.coalesce(F.col("p.s"), F.lit("")) != "no_data"))
-    arr = {a: F.coalesce(F.col(f"p.{a}"), F.array().cast(T.ArrayType(_L if a == "t" else _D))) for a in _ARRAYS}
-    n = F.size(arr["t"])
-    same = None
-    for a in _ARRAYS[1:]:
-        e = F.size(arr[a]) == n
-        same = e if same is None else (same & e)
-    rejects = (live.where(~same).select("symbol", "payload", F.lit("unequal array lengths").alias("reason"))
-               .unionByName(rejected(payloads, "candles", symbol, payload).drop("table")))
+    body = F.col(payload)
+    bars = F.when(_is_object(body), _candle_parts(body, lambda live, same, arr: F.when(live & same, F.arrays_zip(*arr))))
     rows = (
-        live.where(same)
-        .select("symbol", F.inline(F.arrays_zip(*[arr[a].alias(a) for a in _ARRAYS])))
+        payloads.select(F.col(symbol).alias("symbol"), F.inline(bars).alias(*_ARRAYS))
         .select(
             "symbol",
             epoch_seconds_to_date("t").alias("trading_date"),
@@ -112,7 +124,7 @@ def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",
             _loaded(loaded_at).alias("_loaded_at"),
         )
     )
-    return rows, rejects
+    return rows, rejected(payloads, "candles", symbol, payload).drop("table")
 
 
 def flatten_profiles(payloads: DataFrame, loaded_at, payload: str = "payload") -> DataFrame:
