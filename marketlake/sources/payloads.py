@@ -74,11 +74,15 @@ FORMS = {"candles": (_is_object, "not an object"), "company_profiles": (_is_obje
 def reject_reason(table: str, payload: Column) -> Column:
     """Why a payload is no answer for ``table``, NULL for one that is (or is NULL):
     a function of the payload alone, so rows are judged where they are."""
+    return F.transform(F.array(payload), lambda body: _reason(table, body)).getItem(0)
+
+
+def _reason(table: str, body: Column) -> Column:
     fits, name = FORMS[table]
-    reason = F.when(~_is_json(payload), "not JSON").when(~fits(payload), name)
+    reason = F.when(~_is_json(body), "not JSON").when(~fits(body), name)
     if table == "candles":
-        reason = reason.when(_candle_parts(payload, lambda live, same, _: live & ~same), "unequal array lengths")
-    return F.when(payload.isNotNull(), reason)
+        reason = reason.when(_candle_parts(body, lambda live, same, _: live & ~same), "unequal array lengths")
+    return F.when(body.isNotNull(), reason)
 
 
 def _candle_parts(payload: Column, made) -> Column:
@@ -100,8 +104,9 @@ def rejected(payloads: DataFrame, table: str, symbol: str = "symbol", payload: s
     """(table, symbol, payload, reason) of the payloads that are no answer for
     ``table``: bodies that are not JSON (cut off, an error page), have another
     form or, for candles, arrays of unequal lengths.  A NULL payload is no answer to reject."""
-    judged = payloads.select(F.lit(table).alias("table"), F.col(symbol).alias("symbol"), F.col(payload).alias("payload"), reject_reason(table, F.col(payload)).alias("reason"))
-    return judged.where(F.col("reason").isNotNull())
+    # One generator: a filter on the reason would have the payload, which may be long in the making, made again for each mention of it.
+    judged = F.transform(F.array(F.col(payload)), lambda body: F.named_struct(F.lit("payload"), body, F.lit("reason"), _reason(table, body)))
+    return payloads.select(F.lit(table).alias("table"), F.col(symbol).alias("symbol"), F.inline(F.filter(judged, lambda r: r["reason"].isNotNull())))
 
 
 def flatten_candles(payloads: DataFrame, loaded_at, symbol: str = "symbol",

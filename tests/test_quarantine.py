@@ -30,3 +30,12 @@ def test_reject_mend_replay(spark):
     assert got.count() == 2 and rows(Q.open_rejects(spark, root), "symbol") == [("A",), ("B",)]
     Q.quarantine(reject(), root, "r1")  # a later repeat of the run without rejects
     assert rows(Q.open_rejects(spark, root), "run") == [("r2",)]
+
+
+def test_a_payload_is_made_once_to_be_judged(spark):
+    made = F.regexp_replace("payload", "#", "")
+    bodies = spark.createDataFrame([("A", BARS + "#"), ("B", BARS.replace("[1.0]", "[]", 1)), ("C", "<html>"), ("D", None), ("E", "[]")], "symbol string, payload string")
+    rows_, rejects = Q.payloads.flatten_candles(bodies.select("symbol", made.alias("payload")), F.lit(dt.datetime(2024, 1, 9)))
+    assert rows(rejects, "symbol", "reason") == [("B", "unequal array lengths"), ("C", "not JSON"), ("E", "not an object")] and rows(rows_, "symbol") == [("A",)]
+    plan = rejects._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.count("from_json") <= 1
