@@ -289,6 +289,22 @@ def test_labels_meet_their_rows_across_batches():
         assert got == [("b", 1, 0), ("c", 1, 0), (None, 0, 1)]
 
 
+def test_training_takes_one_python_worker_a_task(spark, make_docs, monkeypatch):
+    seen = []
+
+    def counted(examples):
+        seen.append(examples._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        return examples
+
+    fit, logits = toxicity.fit_round, toxicity.logit_counts
+    monkeypatch.setattr(toxicity, "fit_round", lambda examples, *rest: fit(counted(examples), *rest))
+    monkeypatch.setattr(toxicity, "logit_counts", lambda examples, model: counted(logits(examples, model)))
+    pairs = [(d, f"lorem {'nasty' if d % 3 else 'ipsum'} dolor") for d in range(60)]
+    toxicity.train(make_docs(pairs).select("doc_id", "text"), labelled(spark, [(d, int(d % 3 > 0)) for d, _ in pairs]), "toxic")
+    # The rows reach the fit straight from their sort, and the counts through one operator.
+    assert seen == [0, 1]
+
+
 def test_quality(spark, make_docs):
     pairs = [(d, "The quiet words of a plain text. " * 6 if d % 4 else "$$$ 12 ### !!! 99 " * 9) for d in range(300)]
     docs, marks = make_docs([*pairs, *ODD]), labelled(spark, [(d, int(d % 4 > 0)) for d in range(300)])
